@@ -1,0 +1,35 @@
+"""Runs a query on both engines and returns comparable rows."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import duckdb
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def rows_of(names: list[str], rows: list[tuple]) -> list[tuple]:
+    """Rows with columns in order of name, sorted."""
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    picked = [tuple(row[i] for i in order) for row in rows]
+    return sorted(picked, key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
+def duckdb_result(con, sql: str) -> tuple[list[str], list[tuple], dict[str, str]]:
+    cursor = con.execute(sql)
+    names = [d[0] for d in cursor.description]
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    return sorted(names), rows_of(names, cursor.fetchall()), types
+
+
+def spark_result(df) -> tuple[list[str], list[tuple], dict[str, str]]:
+    rows = [tuple(r) for r in df.collect()]
+    return sorted(df.columns), rows_of(df.columns, rows), dict(df.dtypes)
