@@ -1,76 +1,94 @@
-"""Column builders for the derived dimensions. All stay inside code generation."""
+"""Derived dimensions as Spark SQL expressions.
+
+Each function takes a column name (or expression) and gives expression text, for
+``selectExpr``, ``filter``, ``F.expr`` or a SQL statement. All of them are built-in
+expressions, compiled into the stage that uses them.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Iterable
 
 from lagscope.functions import labels as L
 
 
-def cdn_name(code: Column) -> Column:
+def text(value: str) -> str:
+    """A string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def texts(values: Iterable[str]) -> str:
+    """String literals for an IN list or an array."""
+    return ", ".join(text(v) for v in values)
+
+
+def _case(branches: Iterable[tuple[str, str]], otherwise: str) -> str:
+    whens = " ".join(f"WHEN {condition} THEN {result}" for condition, result in branches)
+    return f"CASE {whens} ELSE {otherwise} END"
+
+
+def cdn_name(code: str) -> str:
     """Vendor name of a raw code; unknown and NULL codes share one bucket."""
-    names = dict.fromkeys(L.CDN_BY_CODE.values())
-    chain = F
-    for name in names:
-        codes = [c for c, n in L.CDN_BY_CODE.items() if n == name]
-        chain = chain.when(code.isin(codes), name)
-    return chain.otherwise(L.CDN_OTHER)
+    codes: dict[str, list[str]] = {}
+    for raw, name in L.CDN_BY_CODE.items():
+        codes.setdefault(name, []).append(raw)
+    branches = [(f"{code} IN ({texts(raws)})", text(name)) for name, raws in codes.items()]
+    return _case(branches, text(L.CDN_OTHER))
 
 
-def fold_platform(platform: Column) -> Column:
+def fold_platform(platform: str) -> str:
     """Counts the second PC client as PC."""
-    return F.when(platform == 14, F.lit(5).cast("long")).otherwise(platform)
+    return f"CASE WHEN {platform} = 14 THEN 5 ELSE {platform} END"
 
 
-def device_name(platform: Column) -> Column:
-    chain = F
-    for code, name in L.DEVICE_BY_PLATFORM.items():
-        chain = chain.when(platform == code, name)
-    return chain.otherwise(L.DEVICE_OTHER)
+def device_name(platform: str) -> str:
+    branches = [(f"{platform} = {c}", text(n)) for c, n in L.DEVICE_BY_PLATFORM.items()]
+    return _case(branches, text(L.DEVICE_OTHER))
 
 
-def platform_is(platform: Column, name: str) -> Column:
-    """True for rows of one report class: ``pc``, ``android`` or ``ios``."""
-    return platform.isin(list(L.PLATFORM_CLASSES[name]))
+def platform_is(platform: str, *classes: str) -> str:
+    """True for rows of the named report classes: ``pc``, ``android``, ``ios``."""
+    codes = ", ".join(str(code) for c in classes for code in L.PLATFORM_CLASSES[c])
+    return f"{platform} IN ({codes})"
 
 
-def isp_class(isp: Column) -> Column:
+def isp_class(isp: str) -> str:
     """Three carrier classes; NULL counts as other."""
-    return (
-        F.when(isp.isin(list(L.ISP_BIG_THREE)), L.ISP_BIG_THREE_CLASS)
-        .when(isp == L.ISP_EDU, L.ISP_EDU)
-        .otherwise(L.ISP_OTHER)
+    return _case(
+        [
+            (f"{isp} IN ({texts(L.ISP_BIG_THREE)})", text(L.ISP_BIG_THREE_CLASS)),
+            (f"{isp} = {text(L.ISP_EDU)}", text(L.ISP_EDU)),
+        ],
+        text(L.ISP_OTHER),
     )
 
 
-def contains(text: Column, part: str) -> Column:
-    """True when ``part`` occurs in ``text``; NULL stays NULL."""
-    return F.contains(text, F.lit(part))
+def contains(value: str, part: str) -> str:
+    """True when the literal ``part`` occurs in ``value``; NULL stays NULL."""
+    return f"contains({value}, {text(part)})"
 
 
-def isp_canonical(isp: Column) -> Column:
+def isp_canonical(isp: str) -> str:
     """Carrier found by substring in priority order; NULL counts as other."""
-    chain = F
-    for name in L.ISP_SEARCH_ORDER:
-        chain = chain.when(contains(isp, name), name)
-    return chain.otherwise(L.ISP_OTHER)
+    branches = [(contains(isp, name), text(name)) for name in L.ISP_SEARCH_ORDER]
+    return _case(branches, text(L.ISP_OTHER))
 
 
-def latency_range(ms: Column) -> Column:
+def latency_range(ms: str) -> str:
     """Bucket 1, 2 or 3 of a latency."""
-    return F.when(ms <= L.LATENCY_FAST_MS, 1).when(ms <= L.LATENCY_SLOW_MS, 2).otherwise(3)
+    return _case([(f"{ms} <= {L.LATENCY_FAST_MS}", "1"), (f"{ms} <= {L.LATENCY_SLOW_MS}", "2")], "3")
 
 
-def label_position(value: Column, order: tuple[str, ...]) -> Column:
+def label_position(value: str, order: Iterable[str]) -> str:
     """Place of a label in a fixed order, from 1; 0 when it is not listed."""
-    return F.array_position(F.array(*[F.lit(v) for v in order]), value)
+    return f"array_position(array({texts(order)}), {value})"
 
 
-def cdn_position(cdn: Column) -> Column:
+def cdn_position(cdn: str) -> str:
     return label_position(cdn, L.CDN_ORDER)
 
 
-def trend_arrow(this: Column, last: Column) -> Column:
+def trend_arrow(this: str, last: str) -> str:
     """Arrow up or down; empty when equal or unknown."""
-    return F.when(this > last, "↑").when(this < last, "↓").otherwise("")
+    return f"CASE WHEN {this} > {last} THEN '↑' WHEN {this} < {last} THEN '↓' ELSE '' END"

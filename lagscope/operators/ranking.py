@@ -1,81 +1,70 @@
-"""Order, row numbers, top rows."""
+"""Order, row numbers, top rows. Sort keys are Spark SQL expressions."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def in_order(df: DataFrame, *order: Column | str) -> DataFrame:
+def in_order(df: DataFrame, *order: str) -> DataFrame:
     """Sorts a finished report. Its rows are as few as its labels, so they are
     brought together and sorted once, without the sampling of a range sort."""
-    return df.repartition(1).sortWithinPartitions(*order)
+    return df.repartition(1).sortWithinPartitions(*[F.expr(o) for o in order])
 
 
-def number_rows(df: DataFrame, *order: Column | str) -> DataFrame:
+def number_rows(df: DataFrame, *order: str) -> DataFrame:
     """Puts a running number over a finished report in front of its columns."""
-    number = F.row_number().over(Window.orderBy(*order))
-    return df.select(number.alias("row_number"), "*")
+    return df.selectExpr(f"row_number() OVER (ORDER BY {', '.join(order)}) AS row_number", "*")
 
 
 def top_per_group(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    k: int,
-    number: str = "row_number",
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int, number: str = "row_number"
 ) -> DataFrame:
     """The first ``k`` rows of each group with their number in front.
 
     The bound on the number is applied on both sides of the shuffle, so at most
     ``k`` rows per group and task move.
     """
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.select(F.row_number().over(window).alias(number), "*").filter(F.col(number) <= k)
+    over = f"PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)}"
+    return df.selectExpr(f"row_number() OVER ({over}) AS {number}", "*").filter(f"{number} <= {k}")
 
 
-def stable(ratio: Column, descending: bool) -> Column:
+def by_ratio(ratio: str, descending: bool) -> str:
+    """Sort key for an exact ratio. Unknown ratios come last."""
+    return f"{ratio} {'DESC' if descending else 'ASC'} NULLS LAST"
+
+
+def by_mean(ratio: str, descending: bool) -> str:
     """Sort key for a mean of ratios: its last digits depend on the order of the
-    sum, so they do not decide. Unknown ratios come last."""
-    rounded = F.round(ratio, 9)
-    return rounded.desc_nulls_last() if descending else rounded.asc_nulls_last()
+    sum, so they do not decide."""
+    return by_ratio(f"round({ratio}, 9)", descending)
 
 
 def ranked_pair(
-    df: DataFrame, item: str, left: str, right: str, descending: bool, k: int, suffix: str
+    df: DataFrame, item: str, left: str, right: str, descending: bool, k: int
 ) -> DataFrame:
     """Two top lists over the same items, n-th beside n-th.
 
-    ``left`` and ``right`` name struct columns with ``ratio`` and ``row_n``; an
-    item belongs to a list when it has rows there. The left list sets the length.
+    ``<list>_ratio`` and ``<list>_n`` hold the ratio and rows of an item in each
+    list; it belongs to a list when it has rows there. The left list sets the
+    length; cells of a shorter right list stay NULL.
     """
-    lists = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("list"),
-                        F.col(item).alias("item"),
-                        F.col(name)["ratio"].alias("ratio"),
-                        F.col(name)["row_n"].alias("row_n"),
-                    )
-                    for name in (left, right)
-                ]
-            )
-        )
-    ).filter(F.col("row_n") > 0)
-    order = [stable(F.col("ratio"), descending), F.col("item")]
-    ranked = top_per_group(lists, ["list"], order, k, number="rank")
-    is_left, is_right = F.col("list") == left, F.col("list") == right
-    return (
-        ranked.groupBy("rank")
-        .agg(
-            F.max(F.when(is_left, F.col("item"))).alias(item),
-            F.max(F.when(is_left, F.col("ratio"))).alias("ratio"),
-            F.max(F.when(is_right, F.col("item"))).alias(f"{item}_{suffix}"),
-            F.max(F.when(is_right, F.col("ratio"))).alias(f"ratio_{suffix}"),
+    lists = df.selectExpr(
+        "inline(array("
+        + ", ".join(
+            f"named_struct('list', '{name}', 'item', {item}, 'ratio', {name}_ratio, 'n', {name}_n)"
+            for name in (left, right)
         )
-        .filter(F.col(item).isNotNull())
-    )
+        + "))"
+    ).filter("n > 0")
+    ranked = top_per_group(lists, ["list"], [by_mean("ratio", descending), "item"], k, "rank")
+    cells = {
+        item: f"max(CASE WHEN list = '{left}' THEN item END)",
+        "ratio": f"max(CASE WHEN list = '{left}' THEN ratio END)",
+        f"{item}_{right}": f"max(CASE WHEN list = '{right}' THEN item END)",
+        f"ratio_{right}": f"max(CASE WHEN list = '{right}' THEN ratio END)",
+    }
+    rows = ranked.groupBy("rank").agg(*[F.expr(e).alias(n) for n, e in cells.items()])
+    return rows.filter(f"{item} IS NOT NULL")

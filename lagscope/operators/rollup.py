@@ -7,8 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagscope.functions.measures import any_nonzero, total
 from lagscope.functions import dims
+from lagscope.functions.measures import any_nonzero, total
+from lagscope.operators.grouping import grouped
 from lagscope.operators.views import STALL
 from lagscope.settings import dates_in
 from lagscope.sources.exports import within
@@ -25,13 +26,11 @@ def report_rollup(facts: DataFrame) -> DataFrame:
     with the other dimensions they would leave the map side little to combine.
     """
     keys = [*DIM_KEYS, "v2"]
+    measures = [F.expr(total(m)).alias(m) for m in ("value_sum", "value_n", "row_n")]
     rolled = facts.groupingSets([list(DIM_KEYS), list(NODE_KEYS)], *keys).agg(
-        F.when(F.grouping("v2") == 1, "dims").otherwise("node").alias("level"),
-        total("value_sum").alias("value_sum"),
-        total("value_n").alias("value_n"),
-        total("row_n").alias("row_n"),
+        F.expr("if(grouping(v2) = 1, 'dims', 'node')").alias("level"), *measures
     )
-    return rolled.filter((F.col("level") == "dims") | (F.col("kind") == STALL))
+    return rolled.filter(f"level = 'dims' OR kind = '{STALL}'")
 
 
 def level(rolled: DataFrame, name: str, kind: str) -> DataFrame:
@@ -51,8 +50,8 @@ def write_days(rolled: DataFrame, store: str) -> None:
 
 def read_store(spark: SparkSession, store: str, window: tuple[date, date]) -> DataFrame:
     """The days of a window from a store. A day that was never written raises."""
-    rolled = spark.read.parquet(store).filter(within(F.col("event_date"), window))
-    # One value per day of the window, read from the partition values.
+    rolled = spark.read.parquet(store).filter(within("event_date", window))
+    # At most one value per day of the window comes to the driver.
     present = {row[0] for row in rolled.select("event_date").distinct().collect()}
     missing = [f"{d}" for d in dates_in(window) if d not in present]
     if missing:
@@ -66,22 +65,26 @@ def viewer_counts(facts: DataFrame) -> DataFrame:
     A viewer is affected when any of the viewer's rows stalled. The first
     aggregate spreads by viewer, so no vendor or platform gathers in one task.
     """
-    stalls, evening = F.col("value_sum"), F.col("evening")
-    platform = dims.fold_platform(F.col("platform")).alias("platform1")
-    viewers = facts.groupBy("cdn", platform, "device").agg(
-        any_nonzero(stalls).alias("hit"),
-        F.max(F.when(evening, F.when(stalls != 0, 1).otherwise(0))).alias("evening_hit"),
+    viewers = grouped(
+        facts,
+        {"cdn": "cdn", "platform1": dims.fold_platform("platform"), "device": "device"},
+        {
+            "hit": any_nonzero("value_sum"),
+            "evening_hit": "max(CASE WHEN evening THEN if(value_sum != 0, 1, 0) END)",
+        },
     )
-    return viewers.groupBy("cdn", "platform1").agg(
-        F.sum("hit").alias("lag_person"),
-        F.count("hit").alias("total_person"),
-        F.sum("evening_hit").alias("evening_lag_person"),
-        F.count("evening_hit").alias("evening_total_person"),
+    return grouped(
+        viewers,
+        ["cdn", "platform1"],
+        {
+            "lag_person": "sum(hit)",
+            "total_person": "count(hit)",
+            "evening_lag_person": "sum(evening_hit)",
+            "evening_total_person": "count(evening_hit)",
+        },
     )
 
 
 def point_rollup(facts: DataFrame) -> DataFrame:
     """Sums by all keys of the points; rows of no kind are summed by node alone."""
-    return facts.groupBy(*POINT_KEYS).agg(
-        total("value_sum").alias("value_sum"), total("row_n").alias("row_n")
-    )
+    return grouped(facts, POINT_KEYS, {m: total(m) for m in ("value_sum", "row_n")})

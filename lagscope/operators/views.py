@@ -10,8 +10,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from lagscope.functions import dims
 from lagscope.functions import labels as L
@@ -22,27 +21,24 @@ FIRST = "first"
 CONNECT = "connect"
 
 
-def _valid_room() -> Column:
-    return F.col("room_id") != L.NO_ROOM
+def _valid_row(s: Settings) -> str:
+    condition = f"room_id != {L.NO_ROOM}"
+    if s.blocked_ips:
+        condition += f" AND client_ip NOT IN ({dims.texts(s.blocked_ips)})"
+    return condition
 
 
-def _not_blocked(s: Settings) -> Column:
-    return ~F.col("client_ip").isin(list(s.blocked_ips)) if s.blocked_ips else F.lit(True)
+def _is_stall() -> str:
+    return f"(tag = {dims.text(L.TAG_STALL)} AND v5 > 1)"
 
 
-def _is_stall() -> Column:
-    return (F.col("tag") == L.TAG_STALL) & (F.col("v5") > 1)
+def _is_latency(tag: str, max_ms: int) -> str:
+    return f"(tag = {dims.text(tag)} AND v5 > 0 AND v5 <= {max_ms})"
 
 
-def _is_latency(tag: str, max_ms: int) -> Column:
-    return (F.col("tag") == tag) & (F.col("v5") > 0) & (F.col("v5") <= max_ms)
-
-
-def _with_labels(log: DataFrame) -> DataFrame:
-    return log.select(
-        dims.cdn_name(F.col("v1")).alias("cdn"),
-        dims.fold_platform(F.col("platform")).alias("platform1"),
-        "*",
+def _with_labels(log: DataFrame, *more: str) -> DataFrame:
+    return log.selectExpr(
+        f"{dims.cdn_name('v1')} AS cdn", f"{dims.fold_platform('platform')} AS platform1", *more, "*"
     )
 
 
@@ -51,69 +47,71 @@ def _with_labels(log: DataFrame) -> DataFrame:
 
 def stall_view(log: DataFrame, s: Settings) -> DataFrame:
     """Valid heartbeat rows of the reports."""
-    return _with_labels(log.filter(_is_stall() & _valid_room() & _not_blocked(s)))
+    return _with_labels(log.filter(f"{_is_stall()} AND {_valid_row(s)}"))
 
 
 def first_view(log: DataFrame, s: Settings) -> DataFrame:
     """Valid first-frame rows of the reports."""
-    keep = _is_latency(L.TAG_FIRST, s.first_max_ms) & _valid_room() & _not_blocked(s)
-    return _with_labels(log.filter(keep))
+    return _with_labels(
+        log.filter(f"{_is_latency(L.TAG_FIRST, s.first_max_ms)} AND {_valid_row(s)}")
+    )
 
 
-def _report_facts(rows: DataFrame, s: Settings, kind: Column, value: Column) -> DataFrame:
-    return rows.select(
-        F.to_date("time").alias("event_date"),
-        (F.hour("time") >= s.evening_hour).alias("evening"),
-        kind.alias("kind"),
-        dims.cdn_name(F.col("v1")).alias("cdn"),
+def _report_facts(rows: DataFrame, s: Settings, kind: str, value: str) -> DataFrame:
+    return rows.selectExpr(
+        "CAST(time AS DATE) AS event_date",
+        f"hour(time) >= {s.evening_hour} AS evening",
+        f"{kind} AS kind",
+        f"{dims.cdn_name('v1')} AS cdn",
         "platform",
         "country",
         "province",
         "isp",
         "v2",
         "device",
-        value.alias("value_sum"),
-        value.isNotNull().cast("long").alias("value_n"),
-        F.lit(1).cast("long").alias("row_n"),
+        f"{value} AS value_sum",
+        f"CAST({value} IS NOT NULL AS BIGINT) AS value_n",
+        "1L AS row_n",
     )
 
 
 def stall_facts(log: DataFrame, s: Settings) -> DataFrame:
     """Facts of :func:`stall_view`; the value is the stall count."""
-    return _report_facts(stall_view(log, s), s, F.lit(STALL), F.col("v4"))
+    return _report_facts(stall_view(log, s), s, f"'{STALL}'", "v4")
 
 
 def first_facts(log: DataFrame, s: Settings) -> DataFrame:
     """Facts of :func:`first_view`; the value is the latency."""
-    return _report_facts(first_view(log, s), s, F.lit(FIRST), F.col("v5"))
+    return _report_facts(first_view(log, s), s, f"'{FIRST}'", "v5")
 
 
 def report_facts(log: DataFrame, s: Settings) -> DataFrame:
     """Stall and first-frame facts together, from one pass over the log."""
     is_first = _is_latency(L.TAG_FIRST, s.first_max_ms)
-    rows = log.filter((_is_stall() | is_first) & _valid_room() & _not_blocked(s))
-    stalled = F.col("tag") == L.TAG_STALL
-    kind = F.when(stalled, STALL).otherwise(FIRST)
-    return _report_facts(rows, s, kind, F.when(stalled, F.col("v4")).otherwise(F.col("v5")))
+    rows = log.filter(f"({_is_stall()} OR {is_first}) AND {_valid_row(s)}")
+    stalled = f"tag = {dims.text(L.TAG_STALL)}"
+    return _report_facts(
+        rows, s, f"if({stalled}, '{STALL}', '{FIRST}')", f"if({stalled}, v4, v5)"
+    )
 
 
 # Point views: no blocklist, one country, wider latency bound
 
 
-def _point_condition(kind: str, s: Settings) -> Column:
-    same = _valid_room() & (F.col("country") == s.country)
+def _point_condition(kind: str, s: Settings) -> str:
     if kind == STALL:
-        return _is_stall() & same
-    return _is_latency(L.TAG_FIRST if kind == FIRST else L.TAG_CONNECT, s.point_max_ms) & same
+        event = _is_stall()
+    else:
+        event = _is_latency(L.TAG_FIRST if kind == FIRST else L.TAG_CONNECT, s.point_max_ms)
+    return f"{event} AND room_id != {L.NO_ROOM} AND country = {dims.text(s.country)}"
 
 
 def point_view(log: DataFrame, s: Settings, kind: str) -> DataFrame:
     """Valid rows of one kind for the points, before the check of the node."""
-    rows = _with_labels(log.filter(_point_condition(kind, s)))
-    rows = rows.withColumn("isp1", dims.isp_canonical(F.col("isp")))
+    added = [f"{dims.isp_canonical('isp')} AS isp1"]
     if kind != STALL:
-        rows = rows.withColumn(f"{kind}_range", dims.latency_range(F.col("v5")))
-    return rows
+        added.append(f"{dims.latency_range('v5')} AS {kind}_range")
+    return _with_labels(log.filter(_point_condition(kind, s)), *added)
 
 
 def point_facts(log: DataFrame, s: Settings, kinds: tuple[str, ...] = ()) -> DataFrame:
@@ -123,26 +121,19 @@ def point_facts(log: DataFrame, s: Settings, kinds: tuple[str, ...] = ()) -> Dat
     kind keep only their node, as the number of rows per node counts them too.
     """
     wanted = {k: _point_condition(k, s) for k in kinds or (STALL, FIRST, CONNECT)}
-    kind = F
-    for name, condition in wanted.items():
-        kind = kind.when(condition, name)
     if kinds:
-        keep = F.lit(False)
-        for condition in wanted.values():
-            keep = keep | condition
-        log = log.filter(keep)
-    rows = log.withColumn("kind", kind)
-    known = F.col("kind").isNotNull()
-    return rows.select(
+        log = log.filter(" OR ".join(f"({condition})" for condition in wanted.values()))
+    whens = " ".join(f"WHEN {condition} THEN '{kind}'" for kind, condition in wanted.items())
+    return log.selectExpr(f"CASE {whens} END AS kind", "*").selectExpr(
         "kind",
-        F.when(known, dims.cdn_name(F.col("v1"))).alias("cdn"),
-        F.when(known, F.col("platform")).alias("platform"),
-        F.when(known, F.col("province")).alias("province"),
-        F.when(known, dims.isp_canonical(F.col("isp"))).alias("isp"),
-        F.col("v2").alias("cdn_ip"),
-        F.when(F.col("kind") == FIRST, dims.latency_range(F.col("v5"))).alias("first_range"),
-        F.when(F.col("kind") == STALL, F.col("v4")).when(known, F.col("v5")).alias("value_sum"),
-        F.lit(1).cast("long").alias("row_n"),
+        f"if(kind IS NOT NULL, {dims.cdn_name('v1')}, NULL) AS cdn",
+        "if(kind IS NOT NULL, platform, NULL) AS platform",
+        "if(kind IS NOT NULL, province, NULL) AS province",
+        f"if(kind IS NOT NULL, {dims.isp_canonical('isp')}, NULL) AS isp",
+        "v2 AS cdn_ip",
+        f"if(kind = '{FIRST}', {dims.latency_range('v5')}, NULL) AS first_range",
+        f"CASE WHEN kind = '{STALL}' THEN v4 WHEN kind IS NOT NULL THEN v5 END AS value_sum",
+        "1L AS row_n",
     )
 
 

@@ -4,32 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from lagscope.functions import dims
 from lagscope.functions import labels as L
 from lagscope.functions.measures import per_row, per_value, total
 from lagscope.operators.compare import dense, side_by_side
-from lagscope.operators.ranking import in_order, number_rows, top_per_group
+from lagscope.operators.grouping import grouped
+from lagscope.operators.ranking import by_ratio, in_order, number_rows, top_per_group
 from lagscope.settings import Settings
 
-_COUNTS = ("lag_count", "total_count", "lag_ratio")
-
-
-def _counts() -> tuple[Column, ...]:
-    return (
-        total("value_sum").alias("lag_count"),
-        total("value_n").alias("total_count"),
-        per_value().alias("lag_ratio"),
-    )
+_COUNTS = {
+    "lag_count": total("value_sum"),
+    "total_count": total("value_n"),
+    "lag_ratio": per_value(),
+}
+_BY_CDN = dims.cdn_position("cdn")
+_BY_ISP = dims.label_position("isp", L.ISP_REPORT_ORDER)
+_BY_CLASS = dims.label_position("isp", L.ISP_CLASS_ORDER)
 
 
 def lag_requests(stalls: DataFrame) -> DataFrame:
     """Stalls, rows and their ratio by vendor and platform, numbered."""
-    platform = dims.fold_platform(F.col("platform")).alias("platform1")
-    rows = stalls.groupBy("cdn", platform).agg(*_counts())
-    return number_rows(rows, dims.cdn_position(F.col("cdn")), "platform1")
+    keys = {"cdn": "cdn", "platform1": dims.fold_platform("platform")}
+    return number_rows(grouped(stalls, keys, _COUNTS), _BY_CDN, "platform1")
 
 
 def evening_lag_requests(stalls: DataFrame) -> DataFrame:
@@ -51,75 +49,57 @@ def evening_lag_viewers(counts: DataFrame) -> DataFrame:
 
 
 def _viewers(counts: DataFrame, hit: str, seen: str) -> DataFrame:
-    rows = counts.filter(F.col(seen) > 0).select(
+    rows = counts.filter(f"{seen} > 0").selectExpr(
         "cdn",
         "platform1",
-        F.col(hit).alias("lag_person"),
-        F.col(seen).alias("total_person"),
-        (F.col(hit) / F.col(seen)).alias("lag_ratio"),
+        f"{hit} AS lag_person",
+        f"{seen} AS total_person",
+        f"{hit} / {seen} AS lag_ratio",
     )
-    return number_rows(rows, dims.cdn_position(F.col("cdn")), "platform1")
+    return number_rows(rows, _BY_CDN, "platform1")
 
 
 def worst_provinces(stalls: DataFrame, s: Settings) -> DataFrame:
     """Provinces that stall most, for each vendor and main carrier."""
-    rows = (
-        stalls.filter(F.col("country") == s.country)
-        .filter(F.col("isp").isin(list(L.ISP_REPORT_ORDER)))
-        .groupBy("cdn", "isp", "province")
-        .agg(*_counts())
-        .filter(F.col("total_count") > s.province_min_rows)
-    )
-    order = [F.col("lag_ratio").desc_nulls_last(), F.col("province")]
+    carriers = dims.texts(L.ISP_REPORT_ORDER)
+    rows = grouped(
+        stalls.filter(f"country = {dims.text(s.country)} AND isp IN ({carriers})"),
+        ["cdn", "isp", "province"],
+        _COUNTS,
+    ).filter(f"total_count > {s.province_min_rows}")
+    order = [by_ratio("lag_ratio", descending=True), "province"]
     top = top_per_group(rows, ["cdn", "isp"], order, s.province_top)
-    return in_order(top, dims.cdn_position(F.col("cdn")), _isp_position(), "row_number")
+    return in_order(top, _BY_CDN, _BY_ISP, "row_number")
 
 
 def worst_provinces_side_by_side(worst: DataFrame) -> DataFrame:
     """:func:`worst_provinces` with one block of columns for each vendor."""
-    wide = side_by_side(
-        worst,
-        "cdn",
-        L.CDN_ORDER,
-        [_isp_position(), F.col("row_number")],
-        ["row_number", "cdn", "isp", "province", *_COUNTS],
-    )
-    return in_order(wide, "line")
+    cells = ["row_number", "cdn", "isp", "province", *_COUNTS]
+    return in_order(side_by_side(worst, "cdn", L.CDN_ORDER, [_BY_ISP, "row_number"], cells), "line")
 
 
 def worst_nodes(nodes: DataFrame, s: Settings) -> DataFrame:
     """Delivery nodes that stall most, for each vendor."""
-    rows = (
-        nodes.filter(F.col("v2") != "")
-        .groupBy("cdn", F.col("v2").alias("cdn_ip"))
-        .agg(*_counts())
-        .filter(F.col("total_count") > s.node_min_rows)
-    )
-    order = [F.col("lag_ratio").desc_nulls_last(), F.col("cdn_ip")]
-    top = top_per_group(rows, ["cdn"], order, s.node_top)
-    return in_order(top, dims.cdn_position(F.col("cdn")), "row_number")
+    rows = grouped(nodes.filter("v2 != ''"), {"cdn": "cdn", "cdn_ip": "v2"}, _COUNTS)
+    order = [by_ratio("lag_ratio", descending=True), "cdn_ip"]
+    kept = rows.filter(f"total_count > {s.node_min_rows}")
+    return in_order(top_per_group(kept, ["cdn"], order, s.node_top), _BY_CDN, "row_number")
 
 
 def total_lag(stalls: DataFrame) -> DataFrame:
     """Stall ratio of the whole platform."""
-    return stalls.agg(per_row().alias("lag_ratio"))
+    return grouped(stalls, [], {"lag_ratio": per_row()})
 
 
 def lag_by_cdn(stalls: DataFrame) -> DataFrame:
     """Stall ratio by vendor."""
-    rows = stalls.groupBy("cdn").agg(per_row().alias("lag_ratio"))
-    return in_order(rows, dims.cdn_position(F.col("cdn")))
+    return in_order(grouped(stalls, ["cdn"], {"lag_ratio": per_row()}), _BY_CDN)
 
 
 def lag_by_isp_class(stalls: DataFrame) -> DataFrame:
     """Stall ratio by vendor and carrier class."""
-    isp = dims.isp_class(F.col("isp")).alias("isp")
-    rows = stalls.groupBy("cdn", isp).agg(per_row().alias("lag_ratio"))
-    return in_order(
-        rows,
-        dims.label_position(F.col("isp"), L.ISP_CLASS_ORDER),
-        dims.cdn_position(F.col("cdn")),
-    )
+    keys = {"cdn": "cdn", "isp": dims.isp_class("isp")}
+    return in_order(grouped(stalls, keys, {"lag_ratio": per_row()}), _BY_CLASS, _BY_CDN)
 
 
 def lag_matrix(stalls: DataFrame) -> DataFrame:
@@ -132,15 +112,6 @@ def first_matrix(firsts: DataFrame) -> DataFrame:
     return _matrix(firsts, per_value)
 
 
-def _matrix(facts: DataFrame, measure: Callable[[Column], Column]) -> DataFrame:
-    cells = list(L.PLATFORM_CLASSES)
-    rows = facts.groupBy("cdn").agg(
-        *[measure(dims.platform_is(F.col("platform"), c)).alias(c) for c in cells]
-    )
-    return in_order(
-        dense(rows, "cdn", L.CDN_ORDER, cells), dims.cdn_position(F.col("cdn"))
-    )
-
-
-def _isp_position() -> Column:
-    return dims.label_position(F.col("isp"), L.ISP_REPORT_ORDER)
+def _matrix(facts: DataFrame, measure: Callable[[str], str]) -> DataFrame:
+    cells = {c: measure(dims.platform_is("platform", c)) for c in L.PLATFORM_CLASSES}
+    return in_order(dense(grouped(facts, ["cdn"], cells), "cdn", L.CDN_ORDER, list(cells)), _BY_CDN)

@@ -2,31 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from lagscope.functions.measures import total
+from lagscope.operators.grouping import grouped
 from lagscope.operators.views import CONNECT, FIRST, STALL
 from lagscope.settings import Settings
 
-KEYS = ("cdn", "platform", "province", "isp")
+KEYS = ["cdn", "platform", "province", "isp"]
 NODE = "cdn_ip"
 
 
-def stamp(s: Settings) -> Column:
+def stamp(s: Settings) -> str:
     """The time all points of a run carry, with the offset of the session zone."""
-    at = F.expr(f"TIMESTAMP '{s.report_date:%Y-%m-%d} {s.point_hour:02d}:00:00'")
-    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ssXXX")
+    at = f"TIMESTAMP '{s.report_date} {s.point_hour:02d}:00:00'"
+    return f"date_format({at}, \"yyyy-MM-dd'T'HH:mm:ssXXX\") AS time"
 
 
 def valid_nodes(facts: DataFrame, s: Settings) -> DataFrame:
     """Nodes with enough rows of any kind."""
-    return (
-        facts.groupBy(NODE)
-        .agg(total("row_n").alias("n"))
-        .filter(F.col("n") > s.point_node_min_rows)
-        .select(NODE)
-    )
+    rows = grouped(facts, [NODE], {"n": total("row_n")})
+    return rows.filter(f"n > {s.point_node_min_rows}").select(NODE)
 
 
 def connect_lag(facts: DataFrame, nodes: DataFrame, s: Settings, by_node: bool = True) -> DataFrame:
@@ -36,52 +32,43 @@ def connect_lag(facts: DataFrame, nodes: DataFrame, s: Settings, by_node: bool =
     out. A group with an unknown platform or province has no equal on the other
     side, so its stalls stay NULL.
     """
-    connects, stalls = F.col("kind") == CONNECT, F.col("kind") == STALL
+    connects, stalls = f"kind = '{CONNECT}'", f"kind = '{STALL}'"
     sums = {
         "connect_sum": total("value_sum", connects),
         "connect_point": total("row_n", connects),
         "lag_sum": total("value_sum", stalls),
         "lag_point": total("row_n", stalls),
     }
-    groups = _on_valid_nodes(
-        facts.filter(connects | stalls)
-        .groupBy(*KEYS, NODE)
-        .agg(*[c.alias(name) for name, c in sums.items()]),
-        nodes,
-    )
+    rows = facts.filter(f"{connects} OR {stalls}")
+    groups = _on_valid_nodes(grouped(rows, [*KEYS, NODE], sums), nodes)
     if not by_node:
-        groups = groups.groupBy(*KEYS).agg(*[F.sum(name).alias(name) for name in sums])
-    matched = F.col("platform").isNotNull() & F.col("province").isNotNull()
-    return groups.filter(F.col("connect_point") > 0).select(
-        stamp(s).alias("time"),
+        groups = grouped(groups, KEYS, {name: f"sum({name})" for name in sums})
+    matched = "platform IS NOT NULL AND province IS NOT NULL"
+    return groups.filter("connect_point > 0").selectExpr(
+        stamp(s),
         *KEYS,
         *([NODE] if by_node else []),
-        (F.col("connect_sum") / F.col("connect_point")).alias("connect_avg"),
+        "connect_sum / connect_point AS connect_avg",
         "connect_sum",
         "connect_point",
-        F.when(matched, F.col("lag_sum")).alias("lag_sum"),
-        F.when(matched, F.col("lag_point")).alias("lag_point"),
+        f"if({matched}, lag_sum, NULL) AS lag_sum",
+        f"if({matched}, lag_point, NULL) AS lag_point",
     )
 
 
 def first(facts: DataFrame, nodes: DataFrame, s: Settings, by_node: bool = True) -> DataFrame:
     """First-frame latency of each group and latency bucket."""
-    groups = _on_valid_nodes(
-        facts.filter(F.col("kind") == FIRST)
-        .groupBy(*KEYS, NODE, "first_range")
-        .agg(total("value_sum").alias("first_sum"), total("row_n").alias("first_point")),
-        nodes,
-    )
+    sums = {"first_sum": total("value_sum"), "first_point": total("row_n")}
+    rows = facts.filter(f"kind = '{FIRST}'")
+    groups = _on_valid_nodes(grouped(rows, [*KEYS, NODE, "first_range"], sums), nodes)
     if not by_node:
-        groups = groups.groupBy(*KEYS, "first_range").agg(
-            F.sum("first_sum").alias("first_sum"), F.sum("first_point").alias("first_point")
-        )
-    return groups.select(
-        stamp(s).alias("time"),
+        groups = grouped(groups, [*KEYS, "first_range"], {n: f"sum({n})" for n in sums})
+    return groups.selectExpr(
+        stamp(s),
         *KEYS,
         *([NODE] if by_node else []),
         "first_range",
-        (F.col("first_sum") / F.col("first_point")).alias("first_avg"),
+        "first_sum / first_point AS first_avg",
         "first_sum",
         "first_point",
     )

@@ -5,31 +5,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from lagscope.functions import dims
 from lagscope.functions import labels as L
 from lagscope.functions.measures import per_row, per_value, total
 from lagscope.operators.compare import trend_columns
-from lagscope.operators.ranking import in_order, ranked_pair, stable, top_per_group
+from lagscope.operators.grouping import grouped
+from lagscope.operators.ranking import by_mean, in_order, ranked_pair, top_per_group
 from lagscope.settings import Settings
 from lagscope.sources.exports import within
 
+_DAY = "event_date"
+_BY_CDN = dims.cdn_position("cdn")
+_BY_CLASS = dims.label_position("isp", L.ISP_CLASS_ORDER)
+_IS_EDU = f"isp = {dims.text(L.ISP_EDU)}"
+
 
 def _this_week(facts: DataFrame, s: Settings) -> DataFrame:
-    return facts.filter(within(F.col("event_date"), s.this_week()))
+    return facts.filter(within(_DAY, s.this_week()))
 
 
 def valid_provinces(stalls: DataFrame, s: Settings) -> DataFrame:
     """Provinces with enough rows this week, over all countries."""
-    return (
-        _this_week(stalls, s)
-        .groupBy(F.col("province").alias("province2"))
-        .agg(total("row_n").alias("total_count"))
-        .filter(F.col("total_count") > s.weekly_province_min_rows)
-        .select("province2")
-    )
+    rows = grouped(_this_week(stalls, s), {"province2": "province"}, {"n": total("row_n")})
+    return rows.filter(f"n > {s.weekly_province_min_rows}").select("province2")
 
 
 # Trends: both weeks in one aggregate
@@ -37,38 +37,34 @@ def valid_provinces(stalls: DataFrame, s: Settings) -> DataFrame:
 
 def total_trend(stalls: DataFrame, s: Settings) -> DataFrame:
     """Stall ratio of this week and the week before."""
-    days = _two_weeks(stalls, s).groupBy("event_date").agg(per_row().alias("lag_ratio"))
-    return days.agg(*_week_means(s)).select(*trend_columns(F.col("this"), F.col("last")))
+    days = grouped(_two_weeks(stalls, s), [_DAY], {"lag_ratio": per_row()})
+    return grouped(days, [], _week_means(s)).selectExpr(*trend_columns("this", "last"))
 
 
 def edu_trend(stalls: DataFrame, s: Settings) -> DataFrame:
     """:func:`total_trend` of the education network."""
-    return total_trend(stalls.filter(F.col("isp") == L.ISP_EDU), s)
+    return total_trend(stalls.filter(_IS_EDU), s)
 
 
 def cdn_trend(stalls: DataFrame, s: Settings) -> DataFrame:
     """:func:`total_trend` by vendor, for vendors seen in both weeks."""
-    this, last = (within(F.col("event_date"), w) for w in (s.this_week(), s.last_week()))
-    days = _two_weeks(stalls, s).groupBy("cdn", "event_date").agg(per_row().alias("lag_ratio"))
-    rows = (
-        days.groupBy("cdn")
-        .agg(*_week_means(s), F.count_if(this).alias("n_this"), F.count_if(last).alias("n_last"))
-        .filter((F.col("n_this") > 0) & (F.col("n_last") > 0))
-        .select("cdn", *trend_columns(F.col("this"), F.col("last")))
-    )
-    return in_order(rows, dims.cdn_position(F.col("cdn")))
+    days = grouped(_two_weeks(stalls, s), ["cdn", _DAY], {"lag_ratio": per_row()})
+    seen = {
+        "this_days": f"count_if({within(_DAY, s.this_week())})",
+        "last_days": f"count_if({within(_DAY, s.last_week())})",
+    }
+    rows = grouped(days, ["cdn"], _week_means(s) | seen)
+    both = rows.filter("this_days > 0 AND last_days > 0")
+    return in_order(both.selectExpr("cdn", *trend_columns("this", "last")), _BY_CDN)
 
 
 def _two_weeks(facts: DataFrame, s: Settings) -> DataFrame:
-    return facts.filter(within(F.col("event_date"), s.both_weeks()))
+    return facts.filter(within(_DAY, s.both_weeks()))
 
 
-def _week_means(s: Settings) -> list[Column]:
+def _week_means(s: Settings) -> dict[str, str]:
     weeks = {"this": s.this_week(), "last": s.last_week()}
-    return [
-        F.avg(F.when(within(F.col("event_date"), w), F.col("lag_ratio"))).alias(name)
-        for name, w in weeks.items()
-    ]
+    return {n: f"avg(CASE WHEN {within(_DAY, w)} THEN lag_ratio END)" for n, w in weeks.items()}
 
 
 # Matrices and carrier classes
@@ -84,34 +80,20 @@ def first_matrix(firsts: DataFrame, s: Settings) -> DataFrame:
     return _matrix(firsts, s, per_value)
 
 
-def _matrix(facts: DataFrame, s: Settings, measure: Callable[[Column], Column]) -> DataFrame:
-    cells = {c: dims.platform_is(F.col("platform"), c) for c in L.PLATFORM_CLASSES}
-    codes = [code for group in L.PLATFORM_CLASSES.values() for code in group]
-    rows = (
-        _this_week(facts, s)
-        .filter(F.col("platform").isin(codes))
-        .groupBy("cdn", "event_date")
-        .agg(*[measure(where).alias(c) for c, where in cells.items()])
-        .groupBy("cdn")
-        .agg(*[F.avg(c).alias(c) for c in cells])
-    )
-    return in_order(rows, dims.cdn_position(F.col("cdn")))
+def _matrix(facts: DataFrame, s: Settings, measure: Callable[[str], str]) -> DataFrame:
+    classes = list(L.PLATFORM_CLASSES)
+    rows = _this_week(facts, s).filter(dims.platform_is("platform", *classes))
+    by_day = {c: measure(dims.platform_is("platform", c)) for c in classes}
+    days = grouped(rows, ["cdn", _DAY], by_day)
+    return in_order(grouped(days, ["cdn"], {c: f"avg({c})" for c in classes}), _BY_CDN)
 
 
 def isp_class(stalls: DataFrame, s: Settings) -> DataFrame:
     """Stall ratio by vendor and carrier class."""
-    rows = (
-        _this_week(stalls, s)
-        .groupBy("cdn", dims.isp_class(F.col("isp")).alias("isp"), "event_date")
-        .agg(per_row().alias("lag_ratio"))
-        .groupBy("cdn", "isp")
-        .agg(F.avg("lag_ratio").alias("lag_ratio"))
-    )
-    return in_order(
-        rows,
-        dims.label_position(F.col("isp"), L.ISP_CLASS_ORDER),
-        dims.cdn_position(F.col("cdn")),
-    )
+    keys = {"cdn": "cdn", "isp": dims.isp_class("isp")}
+    days = grouped(_this_week(stalls, s), keys | {_DAY: _DAY}, {"lag_ratio": per_row()})
+    rows = grouped(days, list(keys), {"lag_ratio": "avg(lag_ratio)"})
+    return in_order(rows, _BY_CLASS, _BY_CDN)
 
 
 # Provinces: the ratio and the rows that make a province valid in one aggregate
@@ -126,39 +108,27 @@ def worst_provinces(stalls: DataFrame, s: Settings) -> DataFrame:
 def best_provinces(stalls: DataFrame, s: Settings) -> DataFrame:
     """Valid provinces that stall least, as :func:`worst_provinces`."""
     provinces = _province_lists(stalls, s)
-    valid = provinces.filter(F.col("total_count") > s.weekly_province_min_rows)
+    valid = provinces.filter(f"n > {s.weekly_province_min_rows}")
     return _ranked(valid, s, descending=False)
 
 
-def _in_province(s: Settings) -> Column:
-    return (F.col("country") == s.country) & (F.col("province") != s.country)
+def _in_province(s: Settings) -> str:
+    country = dims.text(s.country)
+    return f"country = {country} AND province != {country}"
 
 
 def _province_lists(stalls: DataFrame, s: Settings) -> DataFrame:
-    lists = {"all": _in_province(s), "edu": _in_province(s) & (F.col("isp") == L.ISP_EDU)}
-    days = (
-        _this_week(stalls, s)
-        .groupBy("province", "event_date")
-        .agg(
-            total("row_n").alias("row_n"),
-            *[per_row(where).alias(f"{name}_ratio") for name, where in lists.items()],
-            *[total("row_n", where).alias(f"{name}_n") for name, where in lists.items()],
-        )
-    )
-    return days.groupBy("province").agg(
-        F.sum("row_n").alias("total_count"),
-        *[
-            F.struct(
-                F.avg(f"{name}_ratio").alias("ratio"), F.sum(f"{name}_n").alias("row_n")
-            ).alias(name)
-            for name in lists
-        ],
-    )
+    lists = {"all": _in_province(s), "edu": f"{_in_province(s)} AND {_IS_EDU}"}
+    by_day, over_days = {"n": total("row_n")}, {"n": "sum(n)"}
+    for name, where in lists.items():
+        by_day |= {f"{name}_ratio": per_row(where), f"{name}_n": total("row_n", where)}
+        over_days |= {f"{name}_ratio": f"avg({name}_ratio)", f"{name}_n": f"sum({name}_n)"}
+    days = grouped(_this_week(stalls, s), ["province", _DAY], by_day)
+    return grouped(days, ["province"], over_days)
 
 
 def _ranked(provinces: DataFrame, s: Settings, descending: bool) -> DataFrame:
-    pair = ranked_pair(provinces, "province", "all", "edu", descending, s.weekly_top, "edu")
-    return in_order(pair, "rank")
+    return in_order(ranked_pair(provinces, "province", "all", "edu", descending, s.weekly_top), "rank")
 
 
 def best_provinces_by_cdn(stalls: DataFrame, s: Settings) -> DataFrame:
@@ -173,28 +143,21 @@ def worst_provinces_by_cdn(stalls: DataFrame, s: Settings) -> DataFrame:
 
 def _provinces_by_cdn(stalls: DataFrame, s: Settings, descending: bool) -> DataFrame:
     here = _in_province(s)
-    rows = (
-        _this_week(stalls, s)
-        .groupBy("cdn", "province", "event_date")
-        .agg(
-            per_row(here).alias("lag_ratio"),
-            total("row_n", here).alias("here_n"),
-            total("row_n").alias("row_n"),
-        )
-        .groupBy("cdn", "province")
-        .agg(
-            F.avg("lag_ratio").alias("lag_ratio"),
-            F.sum("here_n").alias("here_n"),
-            F.sum("row_n").alias("row_n"),
-        )
+    days = grouped(
+        _this_week(stalls, s),
+        ["cdn", "province", _DAY],
+        {"lag_ratio": per_row(here), "here": total("row_n", here), "n": total("row_n")},
+    )
+    rows = grouped(
+        days,
+        ["cdn", "province"],
+        {"lag_ratio": "avg(lag_ratio)", "here": "sum(here)", "n": "sum(n)"},
     )
-    # At most one row per vendor in a province: the window sums eight rows.
-    of_province = F.sum("row_n").over(Window.partitionBy("province"))
+    # A province has at most one row per vendor: the window sums eight rows.
     valid = (
-        rows.withColumn("total_count", of_province)
-        .filter((F.col("here_n") > 0) & (F.col("total_count") > s.weekly_province_min_rows))
+        rows.selectExpr("*", "sum(n) OVER (PARTITION BY province) AS province_n")
+        .filter(f"here > 0 AND province_n > {s.weekly_province_min_rows}")
         .select("cdn", "province", "lag_ratio")
     )
-    order = [stable(F.col("lag_ratio"), descending), F.col("province")]
-    top = top_per_group(valid, ["cdn"], order, s.weekly_top)
-    return in_order(top, dims.cdn_position(F.col("cdn")), "row_number")
+    order = [by_mean("lag_ratio", descending), "province"]
+    return in_order(top_per_group(valid, ["cdn"], order, s.weekly_top), _BY_CDN, "row_number")

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from lagscope.functions import dims
@@ -13,9 +12,9 @@ from lagscope.functions import dims
 BOM = "\ufeff"
 
 
-def fixed_point(value: Column) -> Column:
+def fixed_point(value: str) -> str:
     """Six decimals as text; NULL stays NULL."""
-    return F.when(value.isNotNull(), F.format_string("%f", value))
+    return f"if({value} IS NULL, NULL, format_string('%f', {value}))"
 
 
 def report_text(report: DataFrame, headings: Mapping[str, str]) -> DataFrame:
@@ -23,18 +22,18 @@ def report_text(report: DataFrame, headings: Mapping[str, str]) -> DataFrame:
 
     A heading whose key is not a column makes an empty column.
     """
-    types = {f.name: f.dataType for f in report.schema}
+    types = dict(report.dtypes)
     columns = []
     for name, heading in headings.items():
-        column = F.col(f"`{name}`")
+        column = f"`{name}`"
         if name not in types:
-            column = F.lit(None).cast("string")
-        elif isinstance(types[name], T.DoubleType):
+            column = "CAST(NULL AS STRING)"
+        elif types[name] == "double":
             column = fixed_point(column)
         elif name == "platform1":
             column = dims.device_name(column)
-        columns.append(column.alias(heading))
-    return report.select(*columns)
+        columns.append(f"{column} AS `{heading}`")
+    return report.selectExpr(*columns)
 
 
 def write_report(
@@ -45,10 +44,10 @@ def write_report(
     Meant for finished reports, which hold a few rows in one partition.
     """
     text = report_text(report, headings)
-    first, *rest = text.columns
-    marked = text.select(F.col(f"`{first}`").alias(BOM + first), *[f"`{c}`" for c in rest])
+    first = text.columns[0]
     (
-        marked.coalesce(1)
+        text.withColumnRenamed(first, BOM + first)
+        .coalesce(1)
         .write.mode(mode)
         .option("header", True)
         .option("encoding", "UTF-8")

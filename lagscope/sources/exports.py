@@ -5,10 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from lagscope.settings import dates_in
 from lagscope.sources.schema import PARTITION_COLUMN, conform
 
 
@@ -38,20 +36,15 @@ def in_window(log: DataFrame, window: tuple[date, date]) -> DataFrame:
     scan. A log laid out by day is pruned by its partitions as well.
     """
     start, end = window
-    rows = log.filter((F.col("time") >= _midnight(start)) & (F.col("time") < _midnight(end)))
+    rows = log.filter(
+        f"time >= TIMESTAMP_NTZ '{start} 00:00:00' AND time < TIMESTAMP_NTZ '{end} 00:00:00'"
+    )
     if PARTITION_COLUMN in log.columns:
-        day = F.col(PARTITION_COLUMN)
-        rows = rows.filter((day >= F.lit(start)) & (day < F.lit(end)))
+        rows = rows.filter(within(PARTITION_COLUMN, window))
     return rows
 
 
-def within(day: Column, window: tuple[date, date]) -> Column:
-    """True when a date falls in a half-open window."""
-    return (day >= F.lit(window[0])) & (day < F.lit(window[1]))
-
-
-def _midnight(day: date) -> Column:
-    return F.expr(f"TIMESTAMP_NTZ '{day:%Y-%m-%d} 00:00:00'")
-
-
-__all__ = ["dates_in", "export_path", "in_window", "read_day", "read_days", "read_log", "within"]
+def within(day: str, window: tuple[date, date]) -> str:
+    """Condition that a date falls in a half-open window."""
+    start, end = window
+    return f"({day} >= DATE '{start}' AND {day} < DATE '{end}')"

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lagscope.sinks.shared import shared_dir
+from lagscope.sources.schema import PARTITION_COLUMN, PLAYLOG_SCHEMA
 
 # Every column as an expression over lineitem, orders, customer and nation. The
 # text is valid in Spark SQL and in other SQL engines alike.
@@ -33,7 +39,7 @@ SAMPLE_COLUMNS = {
 # Seconds after the first of the fourteen days.
 SAMPLE_OFFSET = "(l_orderkey * 7919 + l_partkey * 104729 + l_linenumber * 1299709) % 1209600"
 
-_TIME = f"timestampadd(SECOND, CAST({SAMPLE_OFFSET} AS INT), TIMESTAMP_NTZ '2017-04-01 00:00:00')"
+_TIME = f"TIMESTAMP_NTZ '2017-04-01 00:00:00' + INTERVAL '1' SECOND * ({SAMPLE_OFFSET})"
 
 _TABLES = {
     "lineitem": (
@@ -47,7 +53,7 @@ _TABLES = {
 
 
 def sample_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log over the tables in ``sf_dir``, with the columns of the log schema."""
+    """The log as a query over the tables in ``sf_dir``."""
     table = {
         name: spark.read.schema(ddl).parquet(f"{sf_dir}/{name}.parquet")
         for name, ddl in _TABLES.items()
@@ -60,3 +66,33 @@ def sample_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     columns = {"tag": SAMPLE_COLUMNS["tag"], "time": _TIME, **SAMPLE_COLUMNS}
     return joined.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
+
+
+def write_sample_log(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Lays the log out as exports are: parquet, one folder per day.
+
+    The rebalance gathers a day into files of even size; a large day is split.
+    """
+    log = sample_log(spark, sf_dir).withColumn(PARTITION_COLUMN, F.to_date("time"))
+    log.hint("rebalance", PARTITION_COLUMN).write.partitionBy(PARTITION_COLUMN).parquet(path)
+
+
+_written: dict[tuple[str, str], str] = {}
+
+
+def exported_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log read from its export, which is written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _written:
+        try:
+            return _read_export(spark, _written[key])
+        except AnalysisException:
+            pass  # The folder was cleared: write it again.
+    _written[key] = shared_dir(spark, "playlog")
+    write_sample_log(spark, sf_dir, _written[key])
+    return _read_export(spark, _written[key])
+
+
+def _read_export(spark: SparkSession, path: str) -> DataFrame:
+    schema = T.StructType([*PLAYLOG_SCHEMA, T.StructField(PARTITION_COLUMN, T.DateType())])
+    return spark.read.schema(schema).parquet(path)
