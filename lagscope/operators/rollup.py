@@ -41,7 +41,8 @@ def level(rolled: DataFrame, name: str, kind: str) -> DataFrame:
 def write_days(rolled: DataFrame, store: str) -> None:
     """Writes the days of a rollup into a store; a day written again is replaced."""
     (
-        rolled.write.mode("overwrite")
+        rolled.hint("rebalance", "event_date", "level", "kind")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date", "level", "kind")
         .parquet(store)

@@ -83,21 +83,21 @@ def _blocks() -> dict[str, str]:
 
 
 DAILY = {
-    "daily_lag_requests": Report("[{date}]卡顿次数比率-全天", _REQUESTS),
-    "daily_lag_viewers": Report("[{date}]卡顿人数比率-全天", _VIEWERS),
-    "evening_lag_requests": Report("[{date}]卡顿次数比率-晚高峰", _REQUESTS),
-    "evening_lag_viewers": Report("[{date}]卡顿人数比率-晚高峰", _VIEWERS),
-    "daily_worst_provinces": Report("[{date}]省份卡顿次数top5", _blocks()),
-    "daily_worst_nodes": Report("[{date}]卡顿cdn_ip下行节点卡顿top10", _NODES),
+    "daily_lag_requests": Report("{date}_卡顿次数比率-全天", _REQUESTS),
+    "daily_lag_viewers": Report("{date}_卡顿人数比率-全天", _VIEWERS),
+    "evening_lag_requests": Report("{date}_卡顿次数比率-晚高峰", _REQUESTS),
+    "evening_lag_viewers": Report("{date}_卡顿人数比率-晚高峰", _VIEWERS),
+    "daily_worst_provinces": Report("{date}_省份卡顿次数top5", _blocks()),
+    "daily_worst_nodes": Report("{date}_卡顿cdn_ip下行节点卡顿top10", _NODES),
     "daily_total_lag": Report(
-        "[{date}]卡顿次数比率-平台总卡顿率", {"lag_ratio": "本日平台总卡顿率"}
+        "{date}_卡顿次数比率-平台总卡顿率", {"lag_ratio": "本日平台总卡顿率"}
     ),
     "daily_lag_by_cdn": Report(
-        "[{date}]卡顿次数比率-全天各厂商总卡顿率", {"cdn": "cdn运营商", "lag_ratio": "卡顿次数比率"}
+        "{date}_卡顿次数比率-全天各厂商总卡顿率", {"cdn": "cdn运营商", "lag_ratio": "卡顿次数比率"}
     ),
-    "daily_lag_by_isp_class": Report("[{date}]卡顿次数比率-全天各运营商卡顿率", _BY_ISP),
-    "daily_lag_matrix": Report("[{date}]卡顿率-各家分平台卡顿率", _MATRIX),
-    "daily_first_matrix": Report("[{date}]首屏数据", _MATRIX),
+    "daily_lag_by_isp_class": Report("{date}_卡顿次数比率-全天各运营商卡顿率", _BY_ISP),
+    "daily_lag_matrix": Report("{date}_卡顿率-各家分平台卡顿率", _MATRIX),
+    "daily_first_matrix": Report("{date}_首屏数据", _MATRIX),
 }
 
 WEEKLY = {

@@ -1,0 +1,51 @@
+"""Small logs built by hand."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+
+from pyspark.sql import DataFrame, SparkSession
+
+from lagscope.settings import Settings
+from lagscope.sources.schema import PLAYLOG_SCHEMA
+
+DAY = date(2017, 4, 14)
+SETTINGS = Settings(
+    report_date=DAY,
+    blocked_ips=("192.0.2.1",),
+    province_min_rows=0,
+    node_min_rows=0,
+    weekly_province_min_rows=0,
+    point_node_min_rows=0,
+)
+
+_DEFAULTS = dict(
+    tag="monitor",
+    time=datetime(2017, 4, 14, 12),
+    room_id=1,
+    device=1,
+    client_ip="198.51.100.1",
+    platform=1,
+    country="中国",
+    province="P1",
+    isp="电信",
+    v1="qn",
+    v2="203.0.113.1",
+    v4=0,
+    v5=100,
+)
+
+
+def micro_log(spark: SparkSession, *rows: dict) -> DataFrame:
+    """A log of rows given by what differs from the defaults."""
+    names = PLAYLOG_SCHEMA.names
+    data = [tuple((_DEFAULTS | row)[n] for n in names) for row in rows]
+    return spark.createDataFrame(data, PLAYLOG_SCHEMA)
+
+
+def at(day: int, hour: int = 12) -> datetime:
+    return datetime(2017, 4, day, hour)
+
+
+def values(df: DataFrame, *columns: str) -> list[tuple]:
+    return [tuple(r) for r in (df.select(*columns) if columns else df).collect()]

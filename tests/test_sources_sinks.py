@@ -1,0 +1,164 @@
+"""Loading, windows and outputs."""
+
+import glob
+import json
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from lagscope.operators import views
+from lagscope.plans import daily, points
+from lagscope.plans.reports import DAILY, WEEKLY
+from lagscope.sinks.csv_report import report_text, write_report
+from lagscope.sinks.point_log import all_points, read_points, write_points
+from lagscope.sinks.shared import shared_dir, written
+from lagscope.sources import exports, schema
+from lagscope.sources.sample_log import exported_log, sample_log
+from tests.micro import SETTINGS, at, micro_log, values
+
+
+def test_day_and_week_exports(spark, tmp_path):
+    for day in (12, 13, 14):
+        for part in ("a", "b"):
+            log = micro_log(spark, {"time": at(day)})
+            log.write.parquet(f"{tmp_path}/export_2017-04-{day}-{part}")
+    one = exports.read_day(spark, str(tmp_path), date(2017, 4, 14))
+    assert one.count() == 2
+    assert one.schema.names == schema.PLAYLOG_SCHEMA.names
+    days = exports.read_days(spark, str(tmp_path), [date(2017, 4, 13), date(2017, 4, 14)])
+    assert {r[0].day for r in values(days, "time")} == {13, 14}
+    assert days.count() == 4
+
+
+def test_loader_checks_the_schema(spark):
+    log = micro_log(spark, {})
+    with pytest.raises(ValueError, match="v5 is missing"):
+        schema.conform(log.drop("v5"))
+    with pytest.raises(ValueError, match="cdn is reserved"):
+        schema.conform(log.withColumn("cdn", F.lit("x")))
+    with pytest.raises(ValueError, match="v4 is string"):
+        schema.conform(log.withColumn("v4", F.lit("x")))
+    narrow = log.withColumn("platform", F.col("platform").cast("int")).withColumn("more", F.lit(1))
+    assert schema.conform(narrow).schema == log.schema
+
+
+def test_sample_log_sizes(spark):
+    log = sample_log(spark, "/root/testdata/sf0.01")
+    counts = log.agg(
+        *[
+            F.count_if(F.expr(c)).alias(n)
+            for n, c in {
+                "monitor": "tag = 'monitor'",
+                "first": "tag = 'first'",
+                "connect": "tag = 'connect'",
+                "other": "tag = 'other'",
+                "no_room": "room_id = -1",
+                "blocked": "client_ip = '192.0.2.1'",
+                "v4": "v4 IS NULL",
+                "v2": "v2 = ''",
+                "isp": "isp IS NULL",
+            }.items()
+        ]
+    )
+    assert values(counts) == [(34118, 8622, 8662, 8598, 1217, 593, 1150, 1513, 7559)]
+
+
+def test_export_of_the_sample_log_is_the_sample_log(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    exported = exported_log(spark, sf_dir).drop("event_date")
+    query = sample_log(spark, sf_dir)
+    assert exported.exceptAll(query).count() == 0
+    assert query.exceptAll(exported).count() == 0
+    assert query.dtypes == exported.dtypes
+
+
+def test_windows(spark):
+    log = micro_log(spark, *[{"time": at(14, h)} for h in (0, 23)], {"time": at(15, 0)}, {"time": None})
+    assert exports.in_window(log, SETTINGS.day()).count() == 2
+
+
+def test_csv_report(spark, tmp_path):
+    rows = [{"v1": "ws", "platform": 14, "v4": 1}, {"platform": 1, "v4": None}]
+    report = daily.lag_requests(views.stall_facts(micro_log(spark, *rows), SETTINGS))
+    path = str(tmp_path / "report")
+    write_report(report, path, DAILY["daily_lag_requests"].headings)
+    (part,) = glob.glob(f"{path}/part-*.csv")
+    content = open(part, "rb").read()
+    assert content.startswith(b"\xef\xbb\xbf")
+    assert content.decode("utf-8-sig").splitlines() == [
+        "序号,cdn运营商,终端类型,卡顿总次数,总请求数,卡顿次数比率",
+        "1,网宿,PC,1,1,1.000000",
+        '2,七牛,Android,,0,',
+    ]
+
+
+def test_csv_of_blocks_keeps_a_gap(spark, tmp_path):
+    facts = views.stall_facts(micro_log(spark, {"v1": "ws"}, {"v1": "bd", "v4": 1}), SETTINGS)
+    wide = daily.worst_provinces_side_by_side(daily.worst_provinces(facts, SETTINGS))
+    path = str(tmp_path / "report")
+    write_report(wide, path, DAILY["daily_worst_provinces"].headings)
+    (part,) = glob.glob(f"{path}/part-*.csv")
+    header, line = open(part, encoding="utf-8-sig").read().splitlines()
+    assert len(header.split(",")) == 8 * 7 + 7
+    assert line.startswith("1,网宿,电信,P1,0,1,0.000000,,1,百度,电信,P1,1,1,1.000000,,,")
+
+
+def test_fixed_point_text(spark):
+    df = spark.createDataFrame([(0.1234565,), (None,), (12345678.0,)], "x double")
+    assert values(report_text(df, {"x": "x"})) == [("0.123457",), (None,), ("12345678.000000",)]
+
+
+def test_headings_name_columns_of_the_reports():
+    for report in [*DAILY.values(), *WEEKLY.values()]:
+        assert len(set(report.headings.values())) == len(report.headings)
+
+
+def test_points_leave_out_missing_fields(spark, tmp_path):
+    log = micro_log(spark, {"tag": "connect"}, {"tag": "first"})
+    facts = views.point_facts(log, SETTINGS)
+    nodes = points.valid_nodes(facts, SETTINGS)
+    both = all_points(
+        points.connect_lag(facts, nodes, SETTINGS), points.first(facts, nodes, SETTINGS)
+    )
+    path = str(tmp_path / "points")
+    write_points(both, path)
+    records = [json.loads(x) for f in glob.glob(f"{path}/part-*.json") for x in open(f)]
+    same = {
+        "time": "2017-04-14T08:00:00Z", "cdn": "七牛", "platform": 1, "province": "P1",
+        "isp": "电信", "cdn_ip": "203.0.113.1",
+    }
+    assert sorted(records, key=len) == [
+        same | {"connect_avg": 100.0, "connect_sum": 100, "connect_point": 1},
+        same | {"first_range": 1, "first_avg": 100.0, "first_sum": 100, "first_point": 1},
+    ]
+    assert read_points(spark, path, both.schema).exceptAll(both).count() == 0
+
+
+def test_views_can_be_named_for_sql(spark):
+    views.register_views(micro_log(spark, {"v4": 1}, {"tag": "connect"}, {"tag": "first"}), SETTINGS)
+    got = spark.sql(
+        "SELECT cdn, platform1, sum(v4) / count(*) AS lag_ratio FROM playback_stall GROUP BY cdn, platform1"
+    )
+    assert values(got) == [("七牛", 1, 1.0)]
+    got = spark.sql("SELECT isp1, connect_range, v5 FROM playback_point_connect")
+    assert values(got) == [("电信", 1, 100)]
+    assert values(spark.sql("SELECT isp1, first_range FROM playback_point_first")) == [("电信", 1)]
+    assert values(spark.sql("SELECT count(*) FROM playback_first")) == [(1,)]
+
+
+def test_held_frames_are_released(spark):
+    df = micro_log(spark, {}).select("tag")
+    with views.held(df) as kept:
+        assert kept.storageLevel.useMemory and kept.storageLevel.useDisk
+    assert not df.storageLevel.useMemory
+
+
+def test_written_table_is_in_the_shared_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    path = shared_dir(spark, "x")
+    assert root is None or path.startswith(root)
+    df = micro_log(spark, {}, {})
+    table = written(df, "x")
+    assert table.count() == 2
+    assert table.inputFiles()
