@@ -19,6 +19,7 @@ from lagscope.settings import Settings
 STALL = "stall"
 FIRST = "first"
 CONNECT = "connect"
+_TAGS = {STALL: L.TAG_STALL, FIRST: L.TAG_FIRST, CONNECT: L.TAG_CONNECT}
 
 
 def _valid_row(s: Settings) -> str:
@@ -99,10 +100,7 @@ def report_facts(log: DataFrame, s: Settings) -> DataFrame:
 
 
 def _point_condition(kind: str, s: Settings) -> str:
-    if kind == STALL:
-        event = _is_stall()
-    else:
-        event = _is_latency(L.TAG_FIRST if kind == FIRST else L.TAG_CONNECT, s.point_max_ms)
+    event = _is_stall() if kind == STALL else _is_latency(_TAGS[kind], s.point_max_ms)
     return f"{event} AND room_id != {L.NO_ROOM} AND country = {dims.text(s.country)}"
 
 
@@ -120,10 +118,12 @@ def point_facts(log: DataFrame, s: Settings, kinds: tuple[str, ...] = ()) -> Dat
     With ``kinds`` only their rows are read. Without, every row stays: rows of no
     kind keep only their node, as the number of rows per node counts them too.
     """
-    wanted = {k: _point_condition(k, s) for k in kinds or (STALL, FIRST, CONNECT)}
     if kinds:
-        log = log.filter(" OR ".join(f"({condition})" for condition in wanted.values()))
-    whens = " ".join(f"WHEN {condition} THEN '{kind}'" for kind, condition in wanted.items())
+        log = log.filter(" OR ".join(f"({_point_condition(k, s)})" for k in kinds))
+        kind = {k: f"tag = {dims.text(_TAGS[k])}" for k in kinds}
+    else:
+        kind = {k: _point_condition(k, s) for k in _TAGS}
+    whens = " ".join(f"WHEN {condition} THEN '{name}'" for name, condition in kind.items())
     return log.selectExpr(f"CASE {whens} END AS kind", "*").selectExpr(
         "kind",
         f"if(kind IS NOT NULL, {dims.cdn_name('v1')}, NULL) AS cdn",

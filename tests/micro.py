@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from lagscope.settings import Settings
 from lagscope.sources.schema import PLAYLOG_SCHEMA
@@ -38,9 +40,8 @@ _DEFAULTS = dict(
 
 def micro_log(spark: SparkSession, *rows: dict) -> DataFrame:
     """A log of rows given by what differs from the defaults."""
-    names = PLAYLOG_SCHEMA.names
-    data = [tuple((_DEFAULTS | row)[n] for n in names) for row in rows]
-    return spark.createDataFrame(data, PLAYLOG_SCHEMA)
+    table = pa.Table.from_pylist([_DEFAULTS | row for row in rows], to_arrow_schema(PLAYLOG_SCHEMA))
+    return spark.createDataFrame(table, PLAYLOG_SCHEMA)
 
 
 def at(day: int, hour: int = 12) -> datetime:

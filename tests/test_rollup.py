@@ -35,7 +35,8 @@ ROWS = st.lists(
             "v5": some(0, 1, 2, 900, 2500, 10001, 30001, None),
         }
     ),
-    max_size=60,
+    min_size=40,
+    max_size=120,
 )
 
 
@@ -46,7 +47,7 @@ def same(left, right):
     return rounded(left) == rounded(right)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=2, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=ROWS)
 def test_reports_over_rows_and_rollup_agree(spark, rows):
     s = SETTINGS
@@ -66,7 +67,7 @@ def test_reports_over_rows_and_rollup_agree(spark, rows):
         assert same(over_rows[name], over_rollup[name]), name
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=2, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=ROWS)
 def test_points_over_rows_and_rollup_agree(spark, rows):
     log = micro_log(spark, *rows).cache()
