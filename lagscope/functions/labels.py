@@ -38,6 +38,7 @@ ISP_SEARCH_ORDER = ("鹏博士", "教育网", "铁通", "电信", "移动", "联
 # Latency bucket bounds in milliseconds.
 LATENCY_FAST_MS = 1000
 LATENCY_SLOW_MS = 3000
+LATENCY_RANGES = (1, 2, 3)
 
 # Invalid room, event kinds.
 NO_ROOM = -1

@@ -111,13 +111,16 @@ def run_weekly_from_store(spark: SparkSession, s: Settings, out: str, store: str
 def run_points(
     log: DataFrame, s: Settings, out: str, window: tuple[date, date] | None = None
 ) -> None:
-    """The metric points of a window, by default the report day: one pass."""
+    """The metric points of a window, by default the report day: one pass.
+
+    The valid nodes are a written table, whose size is known when joins are planned.
+    """
     rows = in_window(log, window or s.day())
-    facts = written(rollup.point_rollup(views.point_facts(rows, s)), "points")
-    nodes = points.valid_nodes(facts, s)
+    groups = written(rollup.point_groups(views.point_facts(rows, s)), "points")
+    nodes = written(points.valid_nodes(groups, s), "nodes")
     for folder, by_node in (("points", True), ("points_noip", False)):
         both = all_points(
-            points.connect_lag(facts, nodes, s, by_node), points.first(facts, nodes, s, by_node)
+            points.connect_lag(groups, nodes, s, by_node), points.first(groups, nodes, s, by_node)
         )
         write_points(both, f"{out}/{folder}", mode="overwrite")
 

@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lagscope.functions import dims
+from lagscope.functions.labels import LATENCY_RANGES
 from lagscope.functions.measures import any_nonzero, total
 from lagscope.operators.grouping import grouped
-from lagscope.operators.views import STALL
+from lagscope.operators.views import CONNECT, STALL
 from lagscope.settings import dates_in
 from lagscope.sources.exports import within
 
 DIM_KEYS = ("event_date", "kind", "evening", "cdn", "platform", "country", "province", "isp")
 NODE_KEYS = ("event_date", "kind", "cdn", "v2")
-POINT_KEYS = ("kind", "cdn", "platform", "province", "isp", "cdn_ip", "first_range")
+POINT_KEYS = ("cdn", "platform", "province", "isp", "cdn_ip")
 
 
 def report_rollup(facts: DataFrame) -> DataFrame:
@@ -86,6 +87,17 @@ def viewer_counts(facts: DataFrame) -> DataFrame:
     )
 
 
-def point_rollup(facts: DataFrame) -> DataFrame:
-    """Sums by all keys of the points; rows of no kind are summed by node alone."""
-    return grouped(facts, POINT_KEYS, {m: total(m) for m in ("value_sum", "row_n")})
+def point_groups(facts: DataFrame) -> DataFrame:
+    """One row per group of the points, with the sums of every kind side by side.
+
+    Rows of no kind are counted in a row of their node alone. All point reports
+    and the valid nodes follow from these rows, those by node without a shuffle.
+    """
+    sums = {"row_n": total("row_n")}
+    for name, kind in (("connect", CONNECT), ("lag", STALL)):
+        sums[f"{name}_sum"] = total("value_sum", f"kind = '{kind}'")
+        sums[f"{name}_point"] = total("row_n", f"kind = '{kind}'")
+    for bucket in LATENCY_RANGES:
+        sums[f"first{bucket}_sum"] = total("value_sum", f"first_range = {bucket}")
+        sums[f"first{bucket}_point"] = total("row_n", f"first_range = {bucket}")
+    return grouped(facts, POINT_KEYS, sums)

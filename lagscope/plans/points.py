@@ -1,12 +1,12 @@
-"""The metric points. Each function takes point facts, raw or rolled up."""
+"""The metric points, from the groups of :func:`lagscope.operators.rollup.point_groups`."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from lagscope.functions.labels import LATENCY_RANGES
 from lagscope.functions.measures import total
 from lagscope.operators.grouping import grouped
-from lagscope.operators.views import CONNECT, FIRST, STALL
 from lagscope.settings import Settings
 
 KEYS = ["cdn", "platform", "province", "isp"]
@@ -19,35 +19,24 @@ def stamp(s: Settings) -> str:
     return f"date_format({at}, \"yyyy-MM-dd'T'HH:mm:ssXXX\") AS time"
 
 
-def valid_nodes(facts: DataFrame, s: Settings) -> DataFrame:
-    """Nodes with enough rows of any kind."""
-    rows = grouped(facts, [NODE], {"n": total("row_n")})
+def valid_nodes(rows: DataFrame, s: Settings) -> DataFrame:
+    """Nodes with enough rows of any kind, from point facts or from groups."""
+    rows = grouped(rows, [NODE], {"n": total("row_n")})
     return rows.filter(f"n > {s.point_node_min_rows}").select(NODE)
 
 
-def connect_lag(facts: DataFrame, nodes: DataFrame, s: Settings, by_node: bool = True) -> DataFrame:
+def connect_lag(groups: DataFrame, nodes: DataFrame, s: Settings, by_node: bool = True) -> DataFrame:
     """Connection latency of each group, with the stalls of the same group.
 
-    Both kinds are summed in one aggregate; a group without connections drops
-    out. A group with an unknown platform or province has no equal on the other
-    side, so its stalls stay NULL.
+    A group without connections drops out. A group with an unknown platform or
+    province has no equal on the other side, so its stalls stay NULL.
     """
-    connects, stalls = f"kind = '{CONNECT}'", f"kind = '{STALL}'"
-    sums = {
-        "connect_sum": total("value_sum", connects),
-        "connect_point": total("row_n", connects),
-        "lag_sum": total("value_sum", stalls),
-        "lag_point": total("row_n", stalls),
-    }
-    rows = facts.filter(f"{connects} OR {stalls}")
-    groups = _on_valid_nodes(grouped(rows, [*KEYS, NODE], sums), nodes)
-    if not by_node:
-        groups = grouped(groups, KEYS, {name: f"sum({name})" for name in sums})
+    sums = ["connect_sum", "connect_point", "lag_sum", "lag_point"]
+    rows = _points(groups, nodes, sums, by_node).filter("connect_point > 0")
     matched = "platform IS NOT NULL AND province IS NOT NULL"
-    return groups.filter("connect_point > 0").selectExpr(
+    return rows.selectExpr(
         stamp(s),
-        *KEYS,
-        *([NODE] if by_node else []),
+        *_keys(by_node),
         "connect_sum / connect_point AS connect_avg",
         "connect_sum",
         "connect_point",
@@ -56,25 +45,35 @@ def connect_lag(facts: DataFrame, nodes: DataFrame, s: Settings, by_node: bool =
     )
 
 
-def first(facts: DataFrame, nodes: DataFrame, s: Settings, by_node: bool = True) -> DataFrame:
+def first(groups: DataFrame, nodes: DataFrame, s: Settings, by_node: bool = True) -> DataFrame:
     """First-frame latency of each group and latency bucket."""
-    sums = {"first_sum": total("value_sum"), "first_point": total("row_n")}
-    rows = facts.filter(f"kind = '{FIRST}'")
-    groups = _on_valid_nodes(grouped(rows, [*KEYS, NODE, "first_range"], sums), nodes)
-    if not by_node:
-        groups = grouped(groups, [*KEYS, "first_range"], {n: f"sum({n})" for n in sums})
-    return groups.selectExpr(
-        stamp(s),
-        *KEYS,
-        *([NODE] if by_node else []),
-        "first_range",
-        "first_sum / first_point AS first_avg",
-        "first_sum",
-        "first_point",
+    sums = [f"first{r}_{m}" for r in LATENCY_RANGES for m in ("sum", "point")]
+    rows = _points(groups, nodes, sums, by_node)
+    buckets = ", ".join(f"{r}, first{r}_sum, first{r}_point" for r in LATENCY_RANGES)
+    stacked = f"stack({len(LATENCY_RANGES)}, {buckets}) AS (first_range, first_sum, first_point)"
+    return (
+        rows.selectExpr(*_keys(by_node), stacked)
+        .filter("first_point > 0")
+        .selectExpr(
+            stamp(s),
+            *_keys(by_node),
+            "first_range",
+            "first_sum / first_point AS first_avg",
+            "first_sum",
+            "first_point",
+        )
     )
 
 
-def _on_valid_nodes(groups: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Keeps groups of valid nodes. Rows are summed before, so a node with a
-    large share of the log brings only its groups to the join."""
-    return groups.join(nodes, NODE, "left_semi")
+def _keys(by_node: bool) -> list[str]:
+    return [*KEYS, NODE] if by_node else KEYS
+
+
+def _points(groups: DataFrame, nodes: DataFrame, sums: list[str], by_node: bool) -> DataFrame:
+    """The groups of valid nodes, with the nodes or summed over them.
+
+    Rows are grouped before the join, so a node with a large share of the log
+    brings only its groups to it.
+    """
+    kept = groups.select(*KEYS, NODE, *sums).join(nodes, NODE, "left_semi")
+    return kept if by_node else grouped(kept, KEYS, {name: f"sum({name})" for name in sums})

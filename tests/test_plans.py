@@ -69,7 +69,7 @@ def test_rollup_reads_the_log_once(spark):
     log = in_window(exported_log(spark, SF_DIR), SETTINGS.both_weeks())
     for rolled in (
         rollup.report_rollup(views.report_facts(log, SETTINGS)),
-        rollup.point_rollup(views.point_facts(log, SETTINGS)),
+        rollup.point_groups(views.point_facts(log, SETTINGS)),
     ):
         text = plan(rolled)
         assert text.count("FileScan parquet") == 1

@@ -11,7 +11,7 @@ CONNECT = {"tag": "connect", "v5": 200}
 
 def run(report, log, s=SETTINGS, by_node=True):
     facts = views.point_facts(log, s)
-    return report(facts, points.valid_nodes(facts, s), s, by_node)
+    return report(rollup.point_groups(facts), points.valid_nodes(facts, s), s, by_node)
 
 
 def test_nodes_count_rows_of_every_kind(spark):
@@ -32,8 +32,8 @@ def test_nodes_count_rows_of_every_kind(spark):
     s = replace(SETTINGS, point_node_min_rows=2)
     nodes = values(points.valid_nodes(views.point_facts(log, s), s))
     assert sorted(nodes, key=str) == [("",), ("a",), (None,)]
-    rolled = rollup.point_rollup(views.point_facts(log, s))
-    assert set(values(points.valid_nodes(rolled, s))) == set(nodes)
+    groups = rollup.point_groups(views.point_facts(log, s))
+    assert set(values(points.valid_nodes(groups, s))) == set(nodes)
 
 
 def test_connect_with_and_without_stalls(spark):

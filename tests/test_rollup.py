@@ -69,19 +69,19 @@ def test_reports_over_rows_and_rollup_agree(spark, rows):
 
 @settings(max_examples=2, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=ROWS)
-def test_points_over_rows_and_rollup_agree(spark, rows):
+def test_points_of_one_kind_and_of_all_agree(spark, rows):
     log = micro_log(spark, *rows).cache()
     facts = views.point_facts(log, SETTINGS)
-    rolled = rollup.point_rollup(facts).cache()
-    nodes, rolled_nodes = (points.valid_nodes(f, SETTINGS) for f in (facts, rolled))
+    groups = rollup.point_groups(facts).cache()
+    nodes, group_nodes = (points.valid_nodes(f, SETTINGS) for f in (facts, groups))
     for by_node in (True, False):
         for report, kinds in (
             (points.connect_lag, (views.CONNECT, views.STALL)),
             (points.first, (views.FIRST,)),
         ):
-            few = views.point_facts(log, SETTINGS, kinds)
+            few = rollup.point_groups(views.point_facts(log, SETTINGS, kinds))
             expected = sorted(values(report(few, nodes, SETTINGS, by_node)), key=str)
-            got = sorted(values(report(rolled, rolled_nodes, SETTINGS, by_node)), key=str)
+            got = sorted(values(report(groups, group_nodes, SETTINGS, by_node)), key=str)
             assert got == expected
 
 

@@ -7,7 +7,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from lagscope.operators import views
+from lagscope.operators import rollup, views
 from lagscope.plans import daily, points
 from lagscope.plans.reports import DAILY, WEEKLY
 from lagscope.sinks.csv_report import report_text, write_report
@@ -118,8 +118,9 @@ def test_points_leave_out_missing_fields(spark, tmp_path):
     log = micro_log(spark, {"tag": "connect"}, {"tag": "first"})
     facts = views.point_facts(log, SETTINGS)
     nodes = points.valid_nodes(facts, SETTINGS)
+    groups = rollup.point_groups(facts)
     both = all_points(
-        points.connect_lag(facts, nodes, SETTINGS), points.first(facts, nodes, SETTINGS)
+        points.connect_lag(groups, nodes, SETTINGS), points.first(groups, nodes, SETTINGS)
     )
     path = str(tmp_path / "points")
     write_points(both, path)
