@@ -148,10 +148,11 @@ def main(args: list[str] | None = None) -> None:
     parser.add_argument("--log", help="one parquet log of all days")
     parser.add_argument("--store", help="folder that keeps daily rollups")
     parser.add_argument("--block", nargs="*", default=[], help="client addresses to leave out")
+    parser.add_argument("--zone", default="UTC", help="time zone of hours, days and points")
     parser.add_argument("--show-schema", action="store_true")
     given = parser.parse_args(args)
 
-    spark = build_session(f"lagscope-{given.report}")
+    spark = build_session(f"lagscope-{given.report}", zone=given.zone)
     s = Settings(report_date=given.date, blocked_ips=tuple(given.block))
     window = s.both_weeks() if given.report == "weekly" else s.day()
     log = None

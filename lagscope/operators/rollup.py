@@ -40,12 +40,15 @@ def level(rolled: DataFrame, name: str, kind: str) -> DataFrame:
 
 
 def write_days(rolled: DataFrame, store: str) -> None:
-    """Writes the days of a rollup into a store; a day written again is replaced."""
+    """Writes the days of a rollup into a store; a day written again is replaced.
+
+    The rebalance gathers the rows of a day, so that a day is a few files.
+    """
     (
-        rolled.hint("rebalance", "event_date", "level", "kind")
+        rolled.hint("rebalance", "event_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "level", "kind")
+        .partitionBy("event_date")
         .parquet(store)
     )
 

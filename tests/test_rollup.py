@@ -107,11 +107,12 @@ def test_store_replaces_a_day_and_keeps_the_others(spark, tmp_path):
         facts = views.report_facts(micro_log(spark, *rows), SETTINGS)
         rollup.write_days(rollup.report_rollup(facts), store)
 
-    write({"time": at(13)}, {"time": at(14)})
+    write({"time": at(13)}, {"time": at(14)}, {"time": at(14), "tag": "first"})
     write({"time": at(14)}, {"time": at(14)}, {"time": at(14)})
     window = (at(13).date(), at(15).date())
     stalls = rollup.level(rollup.read_store(spark, store, window), "dims", views.STALL)
     got = values(stalls.groupBy("event_date").sum("row_n").orderBy("event_date"))
     assert [n for _, n in got] == [1, 3]
+    assert rollup.level(rollup.read_store(spark, store, window), "dims", views.FIRST).count() == 0
     with pytest.raises(ValueError, match="2017-04-12"):
         rollup.read_store(spark, store, (at(12).date(), at(15).date()))

@@ -78,6 +78,27 @@ def test_windows(spark):
     assert exports.in_window(log, SETTINGS.day()).count() == 2
 
 
+def test_zoned_times_use_the_session_zone(spark, tmp_path):
+    log = micro_log(spark, *[{"time": at(14, h), "v2": f"{h}"} for h in (0, 15, 16, 23)])
+    zoned = log.withColumn("time", F.expr("CAST(time AS TIMESTAMP)"))
+    zoned.write.parquet(f"{tmp_path}/log")
+    loaded = exports.read_log(spark, f"{tmp_path}/log")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        day = exports.in_window(loaded, SETTINGS.day())
+        assert sorted(values(views.stall_facts(day, SETTINGS), "v2", "evening")) == [
+            ("0", False),
+            ("15", True),
+        ]
+        plan = day._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(time," in plan
+        assert values(spark.range(1).selectExpr(points.stamp(SETTINGS))) == [
+            ("2017-04-14T08:00:00+08:00",)
+        ]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_csv_report(spark, tmp_path):
     rows = [{"v1": "ws", "platform": 14, "v4": 1}, {"platform": 1, "v4": None}]
     report = daily.lag_requests(views.stall_facts(micro_log(spark, *rows), SETTINGS))
