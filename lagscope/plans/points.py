@@ -15,7 +15,7 @@ NODE = "cdn_ip"
 
 def stamp(s: Settings) -> str:
     """The time all points of a run carry, with the offset of the session zone."""
-    at = f"TIMESTAMP '{s.report_date} {s.point_hour:02d}:00:00'"
+    at = f"TIMESTAMP_LTZ '{s.report_date} {s.point_hour:02d}:00:00'"
     return f"date_format({at}, \"yyyy-MM-dd'T'HH:mm:ssXXX\") AS time"
 
 
