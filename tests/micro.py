@@ -38,10 +38,14 @@ _DEFAULTS = dict(
 )
 
 
+def arrow_log(*rows: dict) -> pa.Table:
+    """Rows given by what differs from the defaults."""
+    return pa.Table.from_pylist([_DEFAULTS | row for row in rows], to_arrow_schema(PLAYLOG_SCHEMA))
+
+
 def micro_log(spark: SparkSession, *rows: dict) -> DataFrame:
-    """A log of rows given by what differs from the defaults."""
-    table = pa.Table.from_pylist([_DEFAULTS | row for row in rows], to_arrow_schema(PLAYLOG_SCHEMA))
-    return spark.createDataFrame(table, PLAYLOG_SCHEMA)
+    """A log of such rows."""
+    return spark.createDataFrame(arrow_log(*rows), PLAYLOG_SCHEMA)
 
 
 def at(day: int, hour: int = 12) -> datetime:

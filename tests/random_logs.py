@@ -1,0 +1,43 @@
+"""Random logs with every kind of gap."""
+
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+
+from hypothesis import HealthCheck, Phase, settings
+from hypothesis import strategies as st
+
+
+def some(*options):
+    return st.sampled_from(options)
+
+
+LOGS = st.lists(
+    st.fixed_dictionaries(
+        {
+            "tag": some("monitor", "monitor", "first", "connect", "other"),
+            "time": st.integers(0, 14 * 24 - 1).map(lambda h: datetime(2017, 4, 1) + timedelta(hours=h)),
+            "room_id": some(1, 1, 1, -1, None),
+            "device": some(1, 2, 3),
+            "client_ip": some("198.51.100.1", "198.51.100.1", "192.0.2.1", None),
+            "platform": some(1, 2, 5, 14, None),
+            "country": some("中国", "中国", "海外", None),
+            "province": some("A", "B", "中国", None),
+            "isp": some("电信", "教育网", "中国电信", None),
+            "v1": some("ws", "bd", "baidu", "zz", None),
+            "v2": some("n1", "n2", "", None),
+            "v4": some(0, 0, 1, 2, None),
+            "v5": some(0, 1, 2, 900, 2500, 10001, 30001, None),
+        }
+    ),
+    min_size=40,
+    max_size=120,
+)
+
+# Few logs and no search for a smaller one: each runs tens of Spark queries.
+few_logs = settings(
+    max_examples=2,
+    deadline=None,
+    phases=[Phase.generate],
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)

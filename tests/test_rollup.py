@@ -1,43 +1,14 @@
 """A report over any rollup equals the report over the rows."""
 
-from datetime import datetime, timedelta
-
 import pytest
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
+from hypothesis import given
 
 from lagscope import jobs
 from lagscope.operators import rollup, views
 from lagscope.plans import daily, points, weekly
 from lagscope.sources.exports import in_window
 from tests.micro import SETTINGS, at, micro_log, values
-
-
-def some(*options):
-    return st.sampled_from(options)
-
-
-ROWS = st.lists(
-    st.fixed_dictionaries(
-        {
-            "tag": some("monitor", "monitor", "first", "connect", "other"),
-            "time": st.integers(0, 14 * 24 - 1).map(lambda h: datetime(2017, 4, 1) + timedelta(hours=h)),
-            "room_id": some(1, 1, 1, -1, None),
-            "device": some(1, 2, 3),
-            "client_ip": some("198.51.100.1", "198.51.100.1", "192.0.2.1", None),
-            "platform": some(1, 2, 5, 14, None),
-            "country": some("中国", "中国", "海外", None),
-            "province": some("A", "B", "中国", None),
-            "isp": some("电信", "教育网", "中国电信", None),
-            "v1": some("ws", "bd", "baidu", "zz", None),
-            "v2": some("n1", "n2", "", None),
-            "v4": some(0, 0, 1, 2, None),
-            "v5": some(0, 1, 2, 900, 2500, 10001, 30001, None),
-        }
-    ),
-    min_size=40,
-    max_size=120,
-)
+from tests.random_logs import LOGS, few_logs
 
 
 def same(left, right):
@@ -47,8 +18,8 @@ def same(left, right):
     return rounded(left) == rounded(right)
 
 
-@settings(max_examples=2, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=ROWS)
+@few_logs
+@given(rows=LOGS)
 def test_reports_over_rows_and_rollup_agree(spark, rows):
     s = SETTINGS
     log = micro_log(spark, *rows).cache()
@@ -67,8 +38,8 @@ def test_reports_over_rows_and_rollup_agree(spark, rows):
         assert same(over_rows[name], over_rollup[name]), name
 
 
-@settings(max_examples=2, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=ROWS)
+@few_logs
+@given(rows=LOGS)
 def test_points_of_one_kind_and_of_all_agree(spark, rows):
     log = micro_log(spark, *rows).cache()
     facts = views.point_facts(log, SETTINGS)
