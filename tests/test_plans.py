@@ -65,6 +65,13 @@ def test_aggregates_combine_before_each_shuffle(plans):
         assert "partial_" in text or "distinct" in name or name == "udf_contains", name
 
 
+def test_nodes_join_groups_and_not_rows(plans):
+    for name in ("points_connect_lag", "points_first"):
+        below = plans[name].partition("LeftSemi")[2]
+        left, right = below.split("FileScan parquet")[:2]
+        assert "HashAggregate" in left and "HashAggregate" in right, name
+
+
 def test_rollup_reads_the_log_once(spark):
     log = in_window(exported_log(spark, SF_DIR), SETTINGS.both_weeks())
     for rolled in (
