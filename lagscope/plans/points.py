@@ -73,7 +73,8 @@ def _points(groups: DataFrame, nodes: DataFrame, sums: list[str], by_node: bool)
     """The groups of valid nodes, with the nodes or summed over them.
 
     Rows are grouped before the join, so a node with a large share of the log
-    brings only its groups to it.
+    brings only its groups to it. Spark moves the join in front of the grouping
+    only when the nodes are small enough to be broadcast.
     """
     kept = groups.select(*KEYS, NODE, *sums).join(nodes, NODE, "left_semi")
     return kept if by_node else grouped(kept, KEYS, {name: f"sum({name})" for name in sums})

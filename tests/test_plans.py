@@ -65,11 +65,16 @@ def test_aggregates_combine_before_each_shuffle(plans):
         assert "partial_" in text or "distinct" in name or name == "udf_contains", name
 
 
-def test_nodes_join_groups_and_not_rows(plans):
-    for name in ("points_connect_lag", "points_first"):
-        below = plans[name].partition("LeftSemi")[2]
-        left, right = below.split("FileScan parquet")[:2]
-        assert "HashAggregate" in left and "HashAggregate" in right, name
+def test_large_node_sets_join_groups_and_not_rows(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("points_connect_lag", "points_first", "points_first_noip"):
+            text = plan(queries()[name](spark, SF_DIR))
+            left, right = text.partition("LeftSemi")[2].split("FileScan parquet")[:2]
+            assert "HashAggregate" in left and "HashAggregate" in right, name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_rollup_reads_the_log_once(spark):
