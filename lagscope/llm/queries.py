@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import oracle
 from .base import table
+from .decontam import decontaminate
 from .exact_dedup import exact_dedup
 from .mixing import mix_digest
 from .sharding import shard_digest
+from .url_filter import judge, rule_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,13 +21,28 @@ def _on(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(table(spark, sf_dir, name))
 
 
+def _decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"), rule_table(spark))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sharding": _on("documents", shard_digest),
         "op4_mixing": _on("documents", mix_digest),
+        "op5_decontamination": _decontam,
+        "op6_url_filter": _url_filter,
         "op9_exact_dedup": _on("documents", exact_dedup),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_mixing": oracle.MIXING,
+        "op5_decontamination": oracle.DECONTAMINATION,
+        "op6_url_filter": oracle.URL_FILTER,
+        "op9_exact_dedup": oracle.EXACT_DEDUP,
+    }
