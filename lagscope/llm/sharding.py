@@ -22,8 +22,10 @@ from pyspark.sql.window import Window
 from .base import cut
 
 FINE = 256
-#: Rows of an item that are numbered in one task.
+#: An item's rows are numbered in parts of at most this many, and of at most this
+#: share of all rows.
 SLOT_ROWS = 1_000_000
+SLOT_PARTS = 1024
 
 
 def least_loaded(items: Iterable[tuple[str, int]], shards: int) -> dict[str, int]:
@@ -76,6 +78,11 @@ def shard(rows: DataFrame, shards: int = 16) -> DataFrame:
         .collect()
     )
     placed = least_loaded(((r["_item"], r["_bytes"]) for r in items), shards)
+    n_rows = sum(r["_rows"] for r in items)
+
+    def parts(n: int) -> int:
+        return 1 + max(n // SLOT_ROWS, n * SLOT_PARTS // n_rows)
+
     # At most 2 * FINE * shards rows, so both joins may broadcast them.
     schema = T.StructType(
         [
@@ -86,7 +93,7 @@ def shard(rows: DataFrame, shards: int = 16) -> DataFrame:
     )
     where = F.broadcast(
         spark.createDataFrame(
-            [(r["_item"], placed[r["_item"]], 1 + r["_rows"] // SLOT_ROWS) for r in items], schema
+            [(r["_item"], placed[r["_item"]], parts(r["_rows"])) for r in items], schema
         )
     )
     own = where.filter(~F.startswith("_item", F.lit("bin "))).select(
