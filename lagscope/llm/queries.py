@@ -11,6 +11,7 @@ from .base import table
 from .decontam import decontaminate
 from .exact_dedup import exact_dedup
 from .mixing import mix_digest
+from .ngram_join import near_copies
 from .sharding import shard_digest
 from .url_filter import judge, rule_table
 
@@ -35,6 +36,7 @@ def queries() -> dict[str, Query]:
         "op4_mixing": _on("documents", mix_digest),
         "op5_decontamination": _decontam,
         "op6_url_filter": _url_filter,
+        "op7_ngram_join": _on("documents", near_copies),
         "op9_exact_dedup": _on("documents", exact_dedup),
     }
 
@@ -44,5 +46,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_mixing": oracle.MIXING,
         "op5_decontamination": oracle.DECONTAMINATION,
         "op6_url_filter": oracle.URL_FILTER,
+        "op7_ngram_join": _on("documents", near_copies),
         "op9_exact_dedup": oracle.EXACT_DEDUP,
     }
