@@ -13,6 +13,7 @@ from .exact_dedup import exact_dedup
 from .mixing import mix_digest
 from .ngram_join import near_copies
 from .sharding import shard_digest
+from .toxicity import score_toxicity
 from .url_filter import judge, rule_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,9 +31,14 @@ def _url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"), rule_table(spark))
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sharding": _on("documents", shard_digest),
+        "op2_toxicity": _toxicity,
         "op4_mixing": _on("documents", mix_digest),
         "op5_decontamination": _decontam,
         "op6_url_filter": _url_filter,
@@ -43,6 +49,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_toxicity": _toxicity,
         "op4_mixing": oracle.MIXING,
         "op5_decontamination": oracle.DECONTAMINATION,
         "op6_url_filter": oracle.URL_FILTER,
