@@ -10,6 +10,7 @@ from . import oracle
 from .base import table
 from .decontam import decontaminate
 from .exact_dedup import exact_dedup
+from .html_extract import extract
 from .mixing import mix_digest
 from .ngram_join import near_copies
 from .sharding import shard_digest
@@ -44,6 +45,7 @@ def queries() -> dict[str, Query]:
         "op6_url_filter": _url_filter,
         "op7_ngram_join": _on("documents", near_copies),
         "op9_exact_dedup": _on("documents", exact_dedup),
+        "op10_html_extraction": _on("pages", extract),
     }
 
 
