@@ -6,6 +6,8 @@ import re
 import tempfile
 import uuid
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,24 @@ WORD_RE = re.compile(WORD)
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+class WordHashes(dict):
+    """Hashes of words, remembered for a bounded number of them."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        self[word] = value = xxhash.xxh64_intdigest(word)
+        return value
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """64-bit numbers whose bits all depend on all bits of ``h``, which is overwritten."""
+    h ^= h >> np.uint64(33)
+    h *= np.uint64(0xFF51AFD7ED558CCD)
+    h ^= h >> np.uint64(33)
+    return h
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

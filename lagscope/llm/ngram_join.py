@@ -21,11 +21,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import WORD_RE, bounded, cut
+from .base import WORD_RE, WordHashes, bounded, cut, mixed
+from .blocks import blocks_of, dealt, grouped, slices
 from .components import Forest, components
 
 NGRAM = 5
@@ -54,23 +54,6 @@ def choose_bands(threshold: float, recall: float) -> tuple[int, int]:
     return best
 
 
-class _WordHashes(dict):
-    """Hashes of words, remembered for a bounded number of them."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h ^= h >> np.uint64(33)
-    h *= np.uint64(0xFF51AFD7ED558CCD)
-    h ^= h >> np.uint64(33)
-    return h
-
-
 def ngrams(text: str | None, hashes: dict, n: int = NGRAM) -> np.ndarray:
     """Sorted 64-bit hashes of the text's word n-grams. A text of fewer words has
     one n-gram of all of them, a text without words none."""
@@ -82,7 +65,7 @@ def ngrams(text: str | None, hashes: dict, n: int = NGRAM) -> np.ndarray:
     h = np.zeros(count, np.uint64)
     for i in range(min(n, len(w))):
         h = h * np.uint64(0x9E3779B97F4A7C15) + w[i : i + count]
-    return np.unique(_mixed(h))
+    return np.unique(mixed(h))
 
 
 def _coefficients(hashes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +81,7 @@ def signer(bands: int, rows: int, n: int) -> Callable:
         a, b = _coefficients(bands * rows)
         weights = np.arange(1, rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         weights |= np.uint64(1)
-        hashes = _WordHashes()
+        hashes = WordHashes()
         for frame in frames:
             band_hashes, sketches = [], []
             for text in frame["text"]:
@@ -110,9 +93,9 @@ def signer(bands: int, rows: int, n: int) -> Callable:
                 low = np.full(bands * rows, np.iinfo(np.uint64).max, np.uint64)
                 for at in range(0, len(grams), 1024):
                     low = np.minimum(low, (grams[at : at + 1024, None] * a + b).min(axis=0))
-                low = _mixed(low)
-                mixed = _mixed((low.reshape(bands, rows) * weights).sum(axis=1, dtype=np.uint64))
-                band_hashes.append(mixed.view(np.int64))
+                low = mixed(low)
+                joined = mixed((low.reshape(bands, rows) * weights).sum(axis=1, dtype=np.uint64))
+                band_hashes.append(joined.view(np.int64))
                 sketches.append((low & np.uint64(255)).astype(np.uint8).tobytes())
             yield pd.DataFrame(
                 {
@@ -126,38 +109,6 @@ def signer(bands: int, rows: int, n: int) -> Callable:
     return run
 
 
-def grouped(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Frames of whole groups, from frames that are sorted by the keys."""
-    held: list[pd.DataFrame] = []
-    for frame in frames:
-        if not len(frame):
-            continue
-        last = frame[keys].iloc[-1]
-        open_rows = (frame[keys] == last).all(axis=1).to_numpy()
-        # Rows of the last key go to the end, as the frame is sorted.
-        cut_at = int(np.argmax(open_rows))
-        if cut_at:
-            yield pd.concat([*held, frame.iloc[:cut_at]], ignore_index=True)
-            held = []
-        elif held and not (held[-1][keys].iloc[-1] == last).all():
-            yield pd.concat(held, ignore_index=True)
-            held = []
-        held.append(frame.iloc[cut_at:])
-    if held:
-        yield pd.concat(held, ignore_index=True)
-
-
-def slices(frame: pd.DataFrame, keys: list[str]) -> Iterator[tuple[int, int]]:
-    """(start, end) of each group of a sorted frame."""
-    changed = np.zeros(len(frame), bool)
-    changed[0] = True
-    for k in keys:
-        values = frame[k].to_numpy()
-        changed[1:] |= values[1:] != values[:-1]
-    starts = np.flatnonzero(changed)
-    yield from zip(starts, [*starts[1:], len(frame)], strict=True)
-
-
 def meeting(hashes: int, least: float) -> Callable:
     """Links (a, b) that connect what a bucket's members with an estimate of at
     least ``least`` form. Byte sketches agree by chance once in 256."""
@@ -231,7 +182,7 @@ def verifying(threshold: float, n: int) -> Callable:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys = ["root", "i", "j"]
-        hashes = _WordHashes()
+        hashes = WordHashes()
         for frame in grouped(frames, keys):
             out: list[tuple] = []
             for start, end in slices(frame, keys):
@@ -258,30 +209,6 @@ def verifying(threshold: float, n: int) -> Callable:
     return run
 
 
-def blocks_of(members: DataFrame, keys: list[str], size: int) -> DataFrame:
-    """``members`` (with id) of groups of two or more, once for each pair of blocks
-    (i <= j) they take part in; side is the member's own block.
-
-    A group of n members has about n / size blocks. Groups are counted before
-    anything is moved, and the blocks of a large one are spread over tasks.
-    """
-    counts = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    n_blocks = F.ceil(F.col("_n") / size).cast("int")
-    return (
-        members.join(counts, keys)
-        .withColumn("_blocks", n_blocks)
-        .withColumn("side", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        .withColumn("i", F.least("side", "_other"))
-        .withColumn("j", F.greatest("side", "_other"))
-        .drop("_n", "_blocks", "_other")
-    )
-
-
-def _dealt(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.repartition(*keys).sortWithinPartitions(*keys)
-
-
 def near_copies(
     docs: DataFrame, threshold: float = THRESHOLD, n: int = NGRAM, recall: float = RECALL
 ) -> DataFrame:
@@ -303,7 +230,7 @@ def near_copies(
         signer(bands, rows, n), "key string, doc_id long, bands array<long>, sketch binary"
     )
     signed = cut(signed)
-    # A class is named by a number of its own, as ids may be null or repeated.
+    # A class has a number of its own, as ids may be null or repeated.
     classes = cut(
         signed.groupBy("key")
         .agg(
@@ -312,13 +239,13 @@ def near_copies(
             F.first("bands").alias("bands"),
             F.first("sketch").alias("sketch"),
         )
-        .withColumn("id", F.xxhash64("key"))
+        .withColumn("id", F.monotonically_increasing_id())
     )
     buckets = classes.select("id", F.posexplode("bands").alias("band", "hash"))
     met = blocks_of(buckets, ["band", "hash"], BUCKET_BLOCK)
     met = met.join(classes.select("id", "sketch"), "id").drop("side")
     margin = 6 * math.sqrt(threshold * (1 - threshold) / hashes)
-    candidates = _dealt(met, ["band", "hash", "i", "j"]).mapInPandas(
+    candidates = dealt(met, ["band", "hash", "i", "j"]).mapInPandas(
         meeting(hashes, threshold - margin), "a long, b long"
     )
     clusters = cut(components(candidates))
@@ -334,7 +261,7 @@ def near_copies(
     )
     work = members.join(texts, "key").select("root", "i", "j", "side", "id", "copies", "text")
     verified = cut(
-        _dealt(work, ["root", "i", "j"]).mapInPandas(
+        dealt(work, ["root", "i", "j"]).mapInPandas(
             verifying(threshold, n), "id long, links long, linked_docs long, other long"
         )
     )

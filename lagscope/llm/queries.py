@@ -11,6 +11,7 @@ from .base import table
 from .decontam import decontaminate
 from .exact_dedup import exact_dedup
 from .html_extract import extract
+from .line_dedup import duplicate_lines
 from .mixing import mix_digest
 from .ngram_join import near_copies
 from .sharding import shard_digest
@@ -40,6 +41,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_sharding": _on("documents", shard_digest),
         "op2_toxicity": _toxicity,
+        "op3_line_dedup": _on("documents", duplicate_lines),
         "op4_mixing": _on("documents", mix_digest),
         "op5_decontamination": _decontam,
         "op6_url_filter": _url_filter,
@@ -52,6 +54,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_toxicity": _toxicity,
+        "op3_line_dedup": _on("documents", duplicate_lines),
         "op4_mixing": oracle.MIXING,
         "op5_decontamination": oracle.DECONTAMINATION,
         "op6_url_filter": oracle.URL_FILTER,
