@@ -112,6 +112,17 @@ def lowered(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, _UPPER, _UPPER.lower()))
 
 
+def text_hash() -> Column:
+    """Of the column text; null counts as empty. Together with the id it tells documents apart."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """The whole rows as ``_row``, beside the columns an operator looks at. Whatever
+    names the operator uses, they don't clash with those of the rows."""
+    return docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("_row"), *columns)
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; null has none."""
     found = F.split(lowered(F.coalesce(text, F.lit(""))), NOT_WORD)

@@ -12,9 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .base import bounded, cut, null_safe_join, words
+from .base import bounded, cut, null_safe_join, packed, text_hash, words
 
 WIDTH = 10
 _DOC = ["doc_id", "_text"]
@@ -40,7 +39,7 @@ def windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
 def _tokenized(docs: DataFrame) -> DataFrame:
     return docs.select(
         "doc_id",
-        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_text"),
+        text_hash().alias("_text"),
         words(F.col("text")).alias("_words"),
     )
 
@@ -214,9 +213,5 @@ def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     )
     index = build_index(docs, passages.select("term").distinct(), width - 1)
     bad = cut(phrase_matches(index, passages).select(*_DOC).distinct())
-    keyed = docs.withColumns(
-        {"_doc_id": F.col("doc_id"), "_text": F.xxhash64(F.coalesce(F.col("text"), F.lit("")))}
-    )
-    bad = bounded(bad.withColumnRenamed("doc_id", "_doc_id"))
-    kept = null_safe_join(keyed, bad, ["_doc_id", "_text"], "left_anti")
-    return kept.select(*docs.columns)
+    rows = packed(docs, "doc_id", text_hash().alias("_text"))
+    return null_safe_join(rows, bounded(bad), _DOC, "left_anti").select("_row.*")

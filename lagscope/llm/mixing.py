@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .base import NOT_SPACE, bounded, cut, null_safe_join
+from .base import NOT_SPACE, bounded, cut, null_safe_join, packed
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -124,8 +124,18 @@ def mix(
     empty table gives an empty result. Columns of the new names are replaced. The
     frame is read several times and must give the same rows each time.
     """
-    rows = docs if "size" in docs.columns else sized(docs)
-    rows = rows.drop("source_size", "target", "copies", "taken")
+    return mix_sized(sized(docs), weights, share, most, seed)
+
+
+def mix_sized(
+    docs: DataFrame,
+    weights: tuple[float, ...] = WEIGHTS,
+    share: float = SHARE,
+    most: float = MOST,
+    seed: str = SEED,
+) -> DataFrame:
+    """``mix`` of documents whose size is known; no text is needed."""
+    rows = docs.drop("source_size", "target", "copies", "taken")
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = cut(_chances(rows, targets(sources, weights, share, most)))
     chance = F.col("k") * F.col("size")
@@ -187,12 +197,13 @@ def mix(
 def mix_digest(docs: DataFrame) -> DataFrame:
     """Words taken of each document, without its text."""
     rows = cut(sized(docs.select("doc_id", "source", "text")).drop("text"))
-    return mix(rows).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
+    return mix_sized(rows).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
-def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """The mix itself: each document as often as it is taken."""
+def mixture(docs: DataFrame) -> DataFrame:
+    """The mix itself: ``docs`` with each document as often as it is taken."""
+    mixed = mix(packed(docs, "doc_id", "source", "text"))
     copies = F.sequence(F.lit(1), F.col("copies").cast("int"))
     return (
-        mixed.filter("copies > 0").withColumn("_copy", F.explode(copies)).select(*columns)
+        mixed.filter("copies > 0").withColumn("_copy", F.explode(copies)).select("_row.*")
     )

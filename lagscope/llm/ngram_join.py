@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import WORD_RE, WordHashes, bounded, cut, mixed
+from .base import WORD_RE, WordHashes, bounded, cut, mixed, null_safe_join, packed
 from .blocks import blocks_of, dealt, grouped, slices
 from .components import Forest, components
 
@@ -209,23 +209,16 @@ def verifying(threshold: float, n: int) -> Callable:
     return run
 
 
-def near_copies(
-    docs: DataFrame, threshold: float = THRESHOLD, n: int = NGRAM, recall: float = RECALL
-) -> DataFrame:
-    """One row per document: doc_id, class_id, class_size, links, linked_docs, group_id.
+def _key() -> F.Column:
+    return F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("null")).alias("key")
 
-    class_id is the smallest id of the documents with the same text, links the number
-    of other classes with a similarity of at least ``threshold``, linked_docs their
-    documents, and group_id the smallest id of the classes that are connected by
-    links. Words are lower-cased and free of punctuation. A text of fewer than ``n``
-    words is one n-gram; null and wordless texts have no links, and are classes
-    of their own (null apart from empty). Classes without any id have class_id null.
-    Rows with the same id count one by one. Without documents the result is empty.
-    """
+
+def _classes(docs: DataFrame, threshold: float, n: int, recall: float) -> tuple[DataFrame, DataFrame]:
+    """The documents (key of the text, doc_id), and their classes: key, class_id,
+    class_size, links, linked_docs, id, root (the same within a group)."""
     bands, rows = choose_bands(threshold, recall)
     hashes = bands * rows
-    key = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("null")).alias("key")
-    keyed = docs.select(F.col("doc_id").cast("long"), key, "text")
+    keyed = docs.select(F.col("doc_id").cast("long"), _key(), "text")
     signed = keyed.mapInPandas(
         signer(bands, rows, n), "key string, doc_id long, bands array<long>, sketch binary"
     )
@@ -269,20 +262,48 @@ def near_copies(
     links = verified.groupBy("id").agg(*(F.sum(c).alias(c) for c in counts))
     roots = components(verified.select(F.col("id").alias("a"), F.col("other").alias("b")))
     named = classes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    groups = named.groupBy("root").agg(F.min("class_id").alias("group_id"))
-    per_class = (
-        named.join(links, "id", "left")
-        .join(groups, "root")
-        .select(
-            "key",
-            "class_id",
-            "class_size",
-            "group_id",
-            *(F.coalesce(c, F.lit(0)).alias(c) for c in counts),
-        )
-    )
-    return (
-        signed.select("key", "doc_id")
-        .join(per_class, "key")
-        .select("doc_id", "class_id", "class_size", "links", "linked_docs", "group_id")
+    named = named.join(links, "id", "left")
+    numbers = (F.coalesce(c, F.lit(0)).alias(c) for c in counts)
+    named = named.select("key", "class_id", "class_size", *numbers, "id", "root")
+    return signed.select("key", "doc_id"), named
+
+
+def near_copies(
+    docs: DataFrame, threshold: float = THRESHOLD, n: int = NGRAM, recall: float = RECALL
+) -> DataFrame:
+    """One row per document: doc_id, class_id, class_size, links, linked_docs, group_id.
+
+    class_id is the smallest id of the documents with the same text, links the number
+    of other classes with a similarity of at least ``threshold``, linked_docs their
+    documents, and group_id the smallest id of the classes that are connected by
+    links. Words are lower-cased and free of punctuation. A text of fewer than ``n``
+    words is one n-gram; null and wordless texts have no links, and are classes
+    of their own (null apart from empty). Classes without any id have class_id null.
+    Rows with the same id count one by one. Without documents the result is empty.
+    """
+    documents, classes = _classes(docs, threshold, n, recall)
+    groups = classes.groupBy("root").agg(F.min("class_id").alias("group_id"))
+    return documents.join(classes.join(groups, "root"), "key").select(
+        "doc_id", "class_id", "class_size", "links", "linked_docs", "group_id"
     )
+
+
+def one_of_each_group(
+    docs: DataFrame, threshold: float = THRESHOLD, n: int = NGRAM, recall: float = RECALL
+) -> DataFrame:
+    """``docs`` with one document of each group of linked classes, the one with the
+    smallest id (null last). Of equal rows one stays. All columns are kept."""
+    documents, classes = _classes(docs, threshold, n, recall)
+    order = F.struct(F.col("class_id").isNull().alias("none"), "class_id", "id")
+    best = classes.groupBy("root").agg(F.min(order).alias("best")).select("best.*")
+    keepers = best.select("id", F.lit(True).alias("_best"))
+    judged = classes.join(keepers, "id", "left").select("key", "class_id", "_best")
+    pairs = documents.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("_rows"))
+    stays = F.coalesce("_best", F.lit(False)) & F.col("doc_id").eqNullSafe(F.col("class_id"))
+    pairs = cut(pairs.join(judged, "key").select("key", "doc_id", "_rows", stays.alias("_stays")))
+    keyed = packed(docs, F.col("doc_id").cast("long"), _key())
+    gone = bounded(pairs.filter("not _stays").select("key", "doc_id"))
+    kept = null_safe_join(keyed, gone, ["key", "doc_id"], "left_anti")
+    if not pairs.filter("_stays and _rows > 1").isEmpty():
+        kept = kept.groupBy("key", "doc_id").agg(F.first("_row").alias("_row"))
+    return kept.select("_row.*")

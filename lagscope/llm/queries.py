@@ -14,6 +14,7 @@ from .html_extract import extract
 from .line_dedup import duplicate_lines
 from .mixing import mix_digest
 from .ngram_join import near_copies
+from .pii import pseudonym_texts
 from .sharding import shard_digest
 from .toxicity import score_toxicity
 from .url_filter import judge, rule_table
@@ -46,6 +47,7 @@ def queries() -> dict[str, Query]:
         "op5_decontamination": _decontam,
         "op6_url_filter": _url_filter,
         "op7_ngram_join": _on("documents", near_copies),
+        "op8_pii": _on("documents", pseudonym_texts),
         "op9_exact_dedup": _on("documents", exact_dedup),
         "op10_html_extraction": _on("pages", extract),
     }
@@ -59,5 +61,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_decontamination": oracle.DECONTAMINATION,
         "op6_url_filter": oracle.URL_FILTER,
         "op7_ngram_join": _on("documents", near_copies),
+        "op8_pii": _on("documents", pseudonym_texts),
         "op9_exact_dedup": oracle.EXACT_DEDUP,
     }

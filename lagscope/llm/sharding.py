@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .base import cut
+from .base import cut, packed
 
 FINE = 256
 #: An item's rows are numbered in parts of at most this many, and of at most this
@@ -116,16 +116,16 @@ def shard(rows: DataFrame, shards: int = 16) -> DataFrame:
     )
     within = Window.partitionBy(*part).orderBy("_group", "doc_id")
     return (
-        put.withColumn("_row", F.row_number().over(within))
+        put.withColumn("_place", F.row_number().over(within))
         .join(starts, part)
         .withColumns(
             {
                 "law": F.lit("bytes"),
-                "slot": (F.col("_start") + F.col("_row") - 1).cast("long"),
+                "slot": (F.col("_start") + F.col("_place") - 1).cast("long"),
                 "grown_shard": F.lit(None).cast("int"),
             }
         )
-        .drop("_group", "_own", "_item", "_salts", "_salt", "_start", "_row")
+        .drop("_group", "_own", "_item", "_salts", "_salt", "_start", "_place")
     )
 
 
@@ -135,3 +135,11 @@ def shard_digest(docs: DataFrame, shards: int = 16) -> DataFrame:
     return shard(cut(sized), shards).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
     )
+
+
+def sharded(docs: DataFrame, shards: int = 16) -> DataFrame:
+    """``docs`` with the columns of ``shard_digest``, which replace others of their names."""
+    put = shard(measured(packed(docs, "doc_id", "text")).drop("text"), shards)
+    new = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    taken = {c.lower() for c in new}
+    return put.select(*(f"_row.`{c}`" for c in docs.columns if c.lower() not in taken), *new)

@@ -23,7 +23,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import WORD_RE, cut, words
+from .base import WORD_RE, bounded, cut, null_safe_join, packed, text_hash, words
 
 SAMPLE = 20_000
 #: Entries of the lexicon, at most.
@@ -79,7 +79,7 @@ STRONG = 5.0
 
 
 def describer(entries: dict[str, float]) -> Callable:
-    """Texts to features."""
+    """(doc_id, doc, text) to (doc_id, doc, features)."""
 
     def described(text: str | None, lexicon: _Lexicon, kinds: np.ndarray) -> tuple[float, ...]:
         text = text or ""
@@ -126,8 +126,9 @@ def describer(entries: dict[str, float]) -> Callable:
         for frame in frames:
             rows = [described(t, lexicon, kinds) for t in frame["text"]]
             out = pd.DataFrame(rows, columns=list(FEATURES), dtype="float64")
-            out.insert(0, "doc_id", frame["doc_id"].to_numpy())
-            yield out.astype({"doc_id": frame["doc_id"].dtype})
+            out.insert(0, "doc", frame["doc"])
+            out.insert(0, "doc_id", frame["doc_id"])
+            yield out
 
     return run
 
@@ -205,18 +206,18 @@ class ToxicityModel:
     def features(self, docs: DataFrame) -> DataFrame:
         ddl = ", ".join(f"{c} double" for c in FEATURES)
         kind = docs.schema["doc_id"].dataType.simpleString()
-        return docs.select("doc_id", "text").mapInPandas(
-            describer(self.entries), f"doc_id {kind}, {ddl}"
+        return docs.select("doc_id", text_hash().alias("doc"), "text").mapInPandas(
+            describer(self.entries), f"doc_id {kind}, doc long, {ddl}"
         )
 
     def scored(self, features: DataFrame) -> DataFrame:
-        """doc_id and score of each row of features."""
+        """doc_id, doc (hash of the text) and score of each row of features."""
         if self.trees is None:
-            return features.select("doc_id", F.lit(self.constant).alias("score"))
+            return features.select("doc_id", "doc", F.lit(self.constant).alias("score"))
         margins = _margins(self.trees, features)
-        probability = self.calibration.transform(margins).select("doc_id", "calibrated")
+        probability = self.calibration.transform(margins)
         score = F.least(F.greatest(F.col("calibrated"), F.lit(0.0)), F.lit(1.0))
-        return probability.select("doc_id", score.alias("score"))
+        return probability.select("doc_id", "doc", score.alias("score"))
 
 
 def _margins(trees, features: DataFrame) -> DataFrame:
@@ -270,12 +271,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without those whose text scores 0.5 or more. All columns are kept.
-    Texts are told apart by a hash, as ids may repeat."""
-    model, _ = fit(docs, labels)
-    by_text = docs.withColumn("_text", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    texts = by_text.select(F.col("_text").alias("doc_id"), "text")
-    toxic = model.scored(cut(model.features(texts))).filter("score >= 0.5").select(
-        F.col("doc_id").alias("_text")
-    )
-    return by_text.join(cut(toxic.distinct()), "_text", "left_anti").select(*docs.columns)
+    """``docs`` without those whose text scores 0.5 or more; all columns are kept."""
+    model, features = fit(docs, labels)
+    toxic = model.scored(features).filter("score >= 0.5").select("doc_id", "doc").distinct()
+    rows = packed(docs, "doc_id", text_hash().alias("doc"))
+    return null_safe_join(rows, bounded(cut(toxic)), ["doc_id", "doc"], "left_anti").select("_row.*")
