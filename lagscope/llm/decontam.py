@@ -88,19 +88,23 @@ def build_index(docs: DataFrame, terms: DataFrame, reach: int = WIDTH - 1) -> Da
         .select(*_DOC, "_words", F.posexplode(entry).alias("pos", "term"))
         .withColumn("pos", F.col("pos") - 1)
     )
-    wanted = bounded(terms.select("term").union(terms.sparkSession.range(1).select(F.lit(""))))
+    every = terms.select("term").union(terms.sparkSession.range(1).select(F.lit("")))
+    wanted = bounded(every)
     first = F.greatest(F.col("pos") - reach, F.lit(0))
     near = F.slice("_words", first + 1, F.col("pos") + reach + 1 - first)
-    return cut(
-        tokens.join(wanted, "term", "left_semi").select(
-            *_DOC,
-            F.size("_words").alias("n_words"),
-            "term",
-            "pos",
-            first.alias("first"),
-            F.when(F.col("pos") >= 0, F.array_join(near, " ")).alias("near"),
-        )
-    )
+    columns = [
+        *_DOC,
+        F.size("_words").alias("n_words"),
+        "term",
+        "pos",
+        first.alias("first"),
+        F.when(F.col("pos") >= 0, F.array_join(near, " ")).alias("near"),
+    ]
+    # Few terms filter the tokens where they are read. Else all tokens are shuffled,
+    # and must not take the words of their whole document along.
+    if wanted is not every:
+        return cut(tokens.join(wanted, "term", "left_semi").select(*columns))
+    return cut(tokens.select(*columns).join(every, "term", "left_semi"))
 
 
 def _at(near: Column, place: Column) -> Column:

@@ -1,0 +1,79 @@
+import pandas as pd
+
+from lagscope.llm import decontam
+from lagscope.llm.oracle import DECONTAMINATION
+
+from .cases import ODD, documents_frame, in_duckdb, no_documents, odd_documents, plain, rows_of
+
+COLUMNS = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+ITEMS = [
+    (1, "quick brown fox jumps over the lazy dog and runs far"),
+    (2, "THE QUICK BROWN FOX JUMPS OVER THE LAZY DOG AND RUNS FAR AWAY"),
+    (10, "of1 word2 of2 word3 of3 word4 of4 word5 of5 word6 of6"),
+    (11, "two words"),
+    (12, ""),
+    (13, None),
+    (14, "never seen anywhere in these documents"),
+    (15, "Ünïcödé wörds"),
+    (15, "one"),
+]
+
+
+def benchmark(spark, rows=ITEMS):
+    return spark.createDataFrame(rows, "item_id long, text string")
+
+
+def expected(docs, items):
+    frame = documents_frame(docs)
+    texts = pd.DataFrame(items, columns=["item_id", "text"]).astype(
+        {"item_id": "Int64", "text": "string"}
+    )
+    # SQL counts a document for each id; rows without one, or with the same, are apart.
+    frame["row"] = range(len(frame))
+    by_row = frame.drop(columns="doc_id").rename(columns={"row": "doc_id"})
+    found = in_duckdb(DECONTAMINATION, documents=by_row, benchmark=texts)
+    return found.merge(frame[["row", "doc_id"]], left_on="doc_id", right_on="row", suffixes=("_", ""))
+
+
+def test_odd_documents_like_sql(spark):
+    docs = odd_documents(spark)
+    found = plain(decontam.decontaminate(docs, benchmark(spark)))
+    assert len(found) == len(ODD)
+    assert rows_of(found, COLUMNS) == rows_of(expected(docs, ITEMS), COLUMNS)
+
+
+def test_many_terms_are_joined_by_shuffles(spark, monkeypatch):
+    import lagscope.llm.base as base
+
+    monkeypatch.setattr(decontam, "bounded", lambda df: base.bounded(df, 0))
+    docs = odd_documents(spark)
+    found = plain(decontam.decontaminate(docs, benchmark(spark)))
+    assert rows_of(found, COLUMNS) == rows_of(expected(docs, ITEMS), COLUMNS)
+
+
+def test_clean_keeps_the_rest_whole(spark):
+    docs = odd_documents(spark)
+    judged = plain(decontam.decontaminate(docs, benchmark(spark)))
+    kept = decontam.clean(docs, benchmark(spark))
+    assert kept.columns == docs.columns
+    good = judged[~judged["contaminated"].astype(bool)]
+    assert rows_of(plain(kept), ["doc_id"]) == rows_of(good, ["doc_id"])
+
+
+def test_proximity(spark):
+    docs = odd_documents(spark, [(1, "x a b c y", None), (2, "c q q b q a", None), (3, "a " + "q " * 12 + "b c", None)])
+    items = benchmark(spark, [(1, "a b c")])
+    windows = decontam.windows(items)
+    terms = windows.selectExpr("explode(terms) AS term").distinct()
+    passages = decontam.by_rarity(windows, decontam.frequencies(docs, terms))
+    index = decontam.build_index(docs, passages.select("term"))
+    near = lambda reach: sorted(r.doc_id for r in decontam.proximity_matches(index, passages, 3, reach).collect())
+    assert near(9) == [1, 2] and near(2) == [1]
+    assert [r.doc_id for r in decontam.phrase_matches(index, passages).collect()] == [1]
+
+
+def test_nothing(spark):
+    assert decontam.decontaminate(no_documents(spark), benchmark(spark)).count() == 0
+    none = decontam.decontaminate(odd_documents(spark), benchmark(spark, [])).collect()
+    assert len(none) == len(ODD) and not any(r.contaminated or r.n_items for r in none)
+    assert decontam.clean(odd_documents(spark), benchmark(spark, [])).count() == len(ODD)

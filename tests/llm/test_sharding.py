@@ -1,0 +1,78 @@
+import random
+import zlib
+from collections import defaultdict
+
+from lagscope.llm import sharding
+from lagscope.llm.base import table
+
+from .cases import LONG, no_documents, odd_documents
+
+SF = "/root/testdata/sf0.01"
+
+
+def naive(items, shards):
+    loads, placed = [0] * shards, {}
+    for name, size in sorted(items, key=lambda x: (-x[1], x[0])):
+        at = loads.index(min(loads))
+        placed[name] = at
+        loads[at] += size
+    return placed
+
+
+def test_least_loaded_like_a_scan_of_all_loads():
+    rng = random.Random(1)
+    for shards in (1, 3, 16):
+        items = [(f"g{i}", rng.choice([1, 2, 2, 50, rng.randint(1, 900)])) for i in range(300)]
+        assert sharding.least_loaded(items, shards) == naive(items, shards)
+
+
+def check(rows, shards):
+    """Gapless slots, groups together; the loads."""
+    slots, loads, groups = defaultdict(list), [0] * shards, defaultdict(set)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+        loads[r.shard] += r["size"]
+        groups[r["size"], r.text_crc32].add(r.shard)
+        assert r.law == "bytes" and r.grown_shard is None
+    for found in slots.values():
+        assert sorted(found) == list(range(len(found)))
+    assert all(len(s) == 1 for s in groups.values())
+    return loads
+
+
+def test_whole_table(spark):
+    docs = table(spark, SF, "documents")
+    rows = sharding.shard_digest(docs).collect()
+    loads = check(rows, 16)
+    assert len(rows) == docs.count()
+    assert max(loads) - min(loads) < 0.01 * max(loads)
+    texts = dict(docs.select("doc_id", "text").collect())
+    for r in rows:
+        raw = (texts[r.doc_id] or "").encode()
+        assert (r["size"], r.text_crc32) == (len(raw) + 1, zlib.crc32(raw))
+    again = sharding.shard_digest(docs.repartition(7)).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
+
+
+def test_odd_documents(spark):
+    docs = odd_documents(spark)
+    rows = sharding.shard_digest(docs, 3).collect()
+    assert len(rows) == docs.count()
+    check(rows, 3)
+    assert {r["size"] for r in rows if r.doc_id in (4, 5)} == {1}
+    # The one shard with the longest text holds nothing that fits elsewhere.
+    assert max(check(rows, 3)) <= len(LONG) + 5 + 1
+    whole = sharding.sharded(docs, 3)
+    assert whole.columns[:3] == ["doc_id", "text", "lang"] and whole.columns.count("size") == 1
+    assert sorted(r.slot for r in whole.collect()) == sorted(r.slot for r in rows)
+
+
+def test_a_hot_group_is_numbered_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 10)
+    rows = [(i, "same" if i % 3 == 0 else f"text {i}", None) for i in range(900)]
+    check(sharding.shard_digest(odd_documents(spark, rows), 4).collect(), 4)
+
+
+def test_no_documents(spark):
+    assert sharding.shard_digest(no_documents(spark)).count() == 0
+    assert sharding.sharded(no_documents(spark)).count() == 0
