@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lagscope.operators import rollup, views
 from lagscope.plans import daily, points, weekly
-from lagscope.plans.reports import DAILY, WEEKLY, Report
+from lagscope.plans.reports import DAILY, LOG_ROWS, WEEKLY, Report
 from lagscope.session import build_session
 from lagscope.settings import Settings, dates_in
 from lagscope.sinks.csv_report import write_report
 from lagscope.sinks.point_log import all_points, write_points
-from lagscope.sinks.shared import shared_dir, written
-from lagscope.sources.exports import in_window, read_days, read_log
+from lagscope.sinks.shared import scratch, written
+from lagscope.sources.exports import in_window, read_days, read_log, row_counts
 
 
 @dataclass(frozen=True)
@@ -77,35 +77,49 @@ def weekly_reports(rolled: Rollups, s: Settings) -> dict[str, DataFrame]:
     }
 
 
+def _store_days(log: DataFrame, s: Settings, window: tuple[date, date], store: str) -> None:
+    """Rolls up the days of a window of the log and keeps them in the store."""
+    rows = in_window(log, window)
+    rolled = rollup.report_rollup(views.report_facts(rows, s))
+    rollup.write_days(rolled, row_counts(rows), s, window, store)
+
+
 def run_daily(log: DataFrame, s: Settings, out: str, store: str | None = None) -> None:
-    """The daily report. Two passes over the day: the rollup and the viewers.
+    """The daily report. Two passes over the day: the rollup and the viewers. A third
+    one reads its times alone, to count the rows stamped outside the day.
 
     With ``store`` the day's rollup is kept there for the weekly report.
     """
     spark = log.sparkSession
-    day = in_window(log, s.day())
-    store = store or shared_dir(spark, "rollup")
-    rollup.write_days(rollup.report_rollup(views.report_facts(day, s)), store)
-    viewers = written(rollup.viewer_counts(views.stall_facts(day, s)), "viewers")
-    with views.held(rollup.read_store(spark, store, s.day())) as rolled:
-        _write_all(daily_reports(Rollups.of(rolled), viewers, s), DAILY, s, out)
+    with scratch(spark, "daily") as own:
+        store = store or f"{own}/store"
+        _store_days(log, s, s.day(), store)
+        day = views.stall_facts(in_window(log, s.day()), s)
+        viewers = written(rollup.viewer_counts(day), f"{own}/viewers")
+        with views.held(rollup.read_store(spark, store, s.day(), s)) as rolled:
+            _write_all(daily_reports(Rollups.of(rolled), viewers, s), DAILY, s, out)
+        counts = rollup.read_records(spark, store, s.day())
+        _write_counts(counts, f"{out}/{s.report_date}_日志行数")
 
 
 def run_weekly(log: DataFrame, s: Settings, out: str, store: str | None = None) -> None:
     """The weekly report from one pass over the fourteen days of the log."""
-    store = store or shared_dir(log.sparkSession, "rollup")
-    fortnight = in_window(log, s.both_weeks())
-    rollup.write_days(rollup.report_rollup(views.report_facts(fortnight, s)), store)
-    run_weekly_from_store(log.sparkSession, s, out, store)
+    with scratch(log.sparkSession, "weekly") as own:
+        store = store or f"{own}/store"
+        _store_days(log, s, s.both_weeks(), store)
+        run_weekly_from_store(log.sparkSession, s, out, store)
 
 
 def run_weekly_from_store(spark: SparkSession, s: Settings, out: str, store: str) -> None:
     """The weekly report from the rollups of daily runs. The log is not read.
 
-    The daily runs must have used the same blocklist and latency bound.
+    A day without rows is left out of the means. Daily runs with another blocklist,
+    latency bound or evening hour are refused.
     """
-    with views.held(rollup.read_store(spark, store, s.both_weeks())) as rolled:
+    with views.held(rollup.read_store(spark, store, s.both_weeks(), s)) as rolled:
         _write_all(weekly_reports(Rollups.of(rolled), s), WEEKLY, s, out)
+    counts = rollup.read_records(spark, store, s.both_weeks())
+    _write_counts(counts, f"{out}/日志行数（{s.week_label()}）")
 
 
 def run_points(
@@ -113,16 +127,24 @@ def run_points(
 ) -> None:
     """The metric points of a window, by default the report day: one pass.
 
-    The valid nodes are a written table, whose size is known when joins are planned.
+    Points of other dates stay where they are. The valid nodes are a written table,
+    whose size is known when joins are planned.
     """
     rows = in_window(log, window or s.day())
-    groups = written(rollup.point_groups(views.point_facts(rows, s)), "points")
-    nodes = written(points.valid_nodes(groups, s), "nodes")
-    for folder, by_node in (("points", True), ("points_noip", False)):
-        both = all_points(
-            points.connect_lag(groups, nodes, s, by_node), points.first(groups, nodes, s, by_node)
-        )
-        write_points(both, f"{out}/{folder}", mode="overwrite")
+    with scratch(log.sparkSession, "points") as own:
+        groups = written(rollup.point_groups(views.point_facts(rows, s)), f"{own}/groups")
+        nodes = written(points.valid_nodes(groups, s), f"{own}/nodes")
+        for folder, by_node in (("points", True), ("points_noip", False)):
+            both = all_points(
+                points.connect_lag(groups, nodes, s, by_node),
+                points.first(groups, nodes, s, by_node),
+            )
+            write_points(both, f"{out}/{folder}/date={s.report_date}", mode="overwrite")
+
+
+def _write_counts(records: DataFrame, path: str) -> None:
+    counts = records.select(*LOG_ROWS).orderBy("export_day")
+    write_report(counts, path, LOG_ROWS, mode="overwrite")
 
 
 def _write_all(
@@ -133,12 +155,23 @@ def _write_all(
     def write(key: str) -> None:
         report = reports[key]
         title = report.title.format(date=s.report_date, week=s.week_label())
-        write_report(tables[key], f"{out}/{title}", report.headings, mode="overwrite")
+        write_report(
+            tables[key], f"{out}/{title}", report.headings, mode="overwrite", full=report.full
+        )
 
     with ThreadPoolExecutor(max_workers=4) as pool:
         list(pool.map(write, reports))
 
 
+#: Thresholds a run may set, as options of the command line.
+_MINIMA = {
+    "province_min_rows": "rows a day of a province that is ranked",
+    "node_min_rows": "rows a day of a node that is ranked",
+    "weekly_province_min_rows": "rows a week of a province that is ranked",
+    "point_node_min_rows": "rows of a node that has points",
+}
+
+
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="lagscope.jobs")
     parser.add_argument("report", choices=["daily", "weekly", "points"])
@@ -149,11 +182,15 @@ def main(args: list[str] | None = None) -> None:
     parser.add_argument("--store", help="folder that keeps daily rollups")
     parser.add_argument("--block", nargs="*", default=[], help="client addresses to leave out")
     parser.add_argument("--zone", default="UTC", help="time zone of hours, days and points")
+    for name, meaning in _MINIMA.items():
+        option = f"--{name.replace('_', '-')}"
+        parser.add_argument(option, type=int, metavar="N", help=f"more than N {meaning}")
     parser.add_argument("--show-schema", action="store_true")
     given = parser.parse_args(args)
 
     spark = build_session(f"lagscope-{given.report}", zone=given.zone)
-    s = Settings(report_date=given.date, blocked_ips=tuple(given.block))
+    minima = {n: v for n in _MINIMA if (v := getattr(given, n)) is not None}
+    s = Settings(report_date=given.date, blocked_ips=tuple(given.block), **minima)
     window = s.both_weeks() if given.report == "weekly" else s.day()
     log = None
     if given.exports:

@@ -12,11 +12,27 @@ from lagscope.functions.labels import LATENCY_RANGES
 from lagscope.functions.measures import any_nonzero, total
 from lagscope.operators.grouping import grouped
 from lagscope.operators.views import CONNECT, STALL
-from lagscope.settings import dates_in
+from lagscope.settings import Settings, dates_in
+from lagscope.sinks.shared import exists, remove
 from lagscope.sources.exports import within
 
-DIM_KEYS = ("event_date", "kind", "evening", "cdn", "platform", "country", "province", "isp")
-NODE_KEYS = ("event_date", "kind", "cdn", "v2")
+DIM_KEYS = (
+    "export_day",
+    "event_date",
+    "kind",
+    "evening",
+    "cdn",
+    "platform",
+    "country",
+    "province",
+    "isp",
+)
+NODE_KEYS = ("export_day", "event_date", "kind", "cdn", "v2")
+ROLLUP_SCHEMA = """export_day DATE, event_date DATE, kind STRING, evening BOOLEAN, cdn STRING,
+ platform BIGINT, country STRING, province STRING, isp STRING, v2 STRING, level STRING,
+ value_sum BIGINT, value_n BIGINT, row_n BIGINT"""
+RECORD_SCHEMA = """export_day DATE, blocked_ips STRING, first_max_ms INT, evening_hour INT,
+ log_rows BIGINT, no_time_rows BIGINT, other_day_rows BIGINT"""
 POINT_KEYS = ("cdn", "platform", "province", "isp", "cdn_ip")
 
 
@@ -39,29 +55,79 @@ def level(rolled: DataFrame, name: str, kind: str) -> DataFrame:
     return rolled.filter((F.col("level") == name) & (F.col("kind") == kind))
 
 
-def write_days(rolled: DataFrame, store: str) -> None:
-    """Writes the days of a rollup into a store; a day written again is replaced.
+def _made_with(s: Settings) -> dict[str, str | int]:
+    """What a rollup depends on besides the log."""
+    return {
+        "blocked_ips": " ".join(sorted(s.blocked_ips)),
+        "first_max_ms": s.first_max_ms,
+        "evening_hour": s.evening_hour,
+    }
 
-    The rebalance gathers the rows of a day, so that a day is a few files.
+
+def write_days(
+    rolled: DataFrame, counts: DataFrame, s: Settings, window: tuple[date, date], store: str
+) -> None:
+    """Writes the days of a window into a store. A day written again is replaced, also
+    by no rows at all.
+
+    Each day has a record of its row counts and of the settings. It is removed first
+    and written last, so a day whose run broke off counts as missing. The rebalance
+    gathers the rows of a day, so that a day is a few files.
     """
+    spark, days = rolled.sparkSession, dates_in(window)
+    for part in ("days", "rollup"):
+        for day in days:
+            remove(spark, f"{store}/{part}/export_day={day}")
+    in_days = rolled.filter(within("export_day", window))
+    (
+        in_days.hint("rebalance", "export_day")
+        .write.mode("append")
+        .partitionBy("export_day")
+        .parquet(f"{store}/rollup")
+    )
+    records = spark.createDataFrame([(d,) for d in days], "export_day DATE").join(
+        counts, "export_day", "left"
+    )
+    made = {k: F.lit(v) for k, v in _made_with(s).items()}
     (
-        rolled.hint("rebalance", "event_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date")
-        .parquet(store)
+        records.na.fill(0)
+        .withColumns(made)
+        .coalesce(1)
+        .write.mode("append")
+        .partitionBy("export_day")
+        .parquet(f"{store}/days")
     )
 
 
-def read_store(spark: SparkSession, store: str, window: tuple[date, date]) -> DataFrame:
-    """The days of a window from a store. A day that was never written raises."""
-    rolled = spark.read.parquet(store).filter(within("event_date", window))
-    # At most one value per day of the window comes to the driver.
-    present = {row[0] for row in rolled.select("event_date").distinct().collect()}
-    missing = [f"{d}" for d in dates_in(window) if d not in present]
+def read_records(spark: SparkSession, store: str, window: tuple[date, date]) -> DataFrame:
+    """The records of the days of a window, as far as they were written."""
+    path = f"{store}/days"
+    if not exists(spark, path):
+        return spark.createDataFrame([], RECORD_SCHEMA)
+    return spark.read.schema(RECORD_SCHEMA).parquet(path).filter(within("export_day", window))
+
+
+def read_store(
+    spark: SparkSession, store: str, window: tuple[date, date], s: Settings
+) -> DataFrame:
+    """The days of a window from a store; a day may have no rows.
+
+    A day that was never written raises, and so does one that was written with
+    another blocklist, latency bound or evening hour.
+    """
+    # One record per day of the window comes to the driver.
+    found = {r["export_day"]: r for r in read_records(spark, store, window).collect()}
+    missing = [f"{d}" for d in dates_in(window) if d not in found]
     if missing:
         raise ValueError(f"rollup store {store} lacks {', '.join(missing)}")
-    return rolled
+    made = _made_with(s)
+    other = [f"{d}" for d, r in sorted(found.items()) if any(r[k] != v for k, v in made.items())]
+    if other:
+        raise ValueError(f"rollup store {store} was written with other settings: {', '.join(other)}")
+    path = f"{store}/rollup"
+    if not exists(spark, path):
+        return spark.createDataFrame([], ROLLUP_SCHEMA)
+    return spark.read.schema(ROLLUP_SCHEMA).parquet(path).filter(within("export_day", window))
 
 
 def viewer_counts(facts: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from lagscope.functions import dims
 from lagscope.functions import labels as L
 from lagscope.settings import Settings
+from lagscope.sources.exports import export_day
 
 STALL = "stall"
 FIRST = "first"
@@ -23,7 +24,8 @@ _TAGS = {STALL: L.TAG_STALL, FIRST: L.TAG_FIRST, CONNECT: L.TAG_CONNECT}
 
 
 def _valid_row(s: Settings) -> str:
-    condition = f"room_id != {L.NO_ROOM}"
+    # NULL addresses drop out with any blocklist, the empty one included.
+    condition = f"room_id != {L.NO_ROOM} AND client_ip IS NOT NULL"
     if s.blocked_ips:
         condition += f" AND client_ip NOT IN ({dims.texts(s.blocked_ips)})"
     return condition
@@ -60,6 +62,7 @@ def first_view(log: DataFrame, s: Settings) -> DataFrame:
 
 def _report_facts(rows: DataFrame, s: Settings, kind: str, value: str) -> DataFrame:
     return rows.selectExpr(
+        f"{export_day(rows)} AS export_day",
         "CAST(time AS DATE) AS event_date",
         f"hour(time) >= {s.evening_hour} AS evening",
         f"{kind} AS kind",

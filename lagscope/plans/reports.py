@@ -9,10 +9,14 @@ from lagscope.functions.labels import CDN_ORDER
 
 @dataclass(frozen=True)
 class Report:
-    """``title`` may hold the report date or week; ``headings`` go column by column."""
+    """``title`` may hold the report date or week; ``headings`` go column by column.
+
+    Numbers are printed with six decimals, in a ``full`` report with all their digits.
+    """
 
     title: str
     headings: dict[str, str]
+    full: bool = False
 
 
 # The titles and headings readers know.
@@ -82,6 +86,14 @@ def _blocks() -> dict[str, str]:
     return headings
 
 
+#: Rows of the log behind a report, and those stamped outside their export.
+LOG_ROWS = {
+    "export_day": "日期",
+    "log_rows": "日志行数",
+    "no_time_rows": "无时间行数",
+    "other_day_rows": "非当日行数",
+}
+
 DAILY = {
     "daily_lag_requests": Report("{date}_卡顿次数比率-全天", _REQUESTS),
     "daily_lag_viewers": Report("{date}_卡顿人数比率-全天", _VIEWERS),
@@ -90,7 +102,7 @@ DAILY = {
     "daily_worst_provinces": Report("{date}_省份卡顿次数top5", _blocks()),
     "daily_worst_nodes": Report("{date}_卡顿cdn_ip下行节点卡顿top10", _NODES),
     "daily_total_lag": Report(
-        "{date}_卡顿次数比率-平台总卡顿率", {"lag_ratio": "本日平台总卡顿率"}
+        "{date}_卡顿次数比率-平台总卡顿率", {"lag_ratio": "本日平台总卡顿率"}, full=True
     ),
     "daily_lag_by_cdn": Report(
         "{date}_卡顿次数比率-全天各厂商总卡顿率", {"cdn": "cdn运营商", "lag_ratio": "卡顿次数比率"}
@@ -109,6 +121,6 @@ WEEKLY = {
     "weekly_first_matrix": Report("各家分平台首屏（{week}）", _MATRIX),
     "weekly_worst_provinces": Report("省份卡顿率排名-最差TOP5（{week}）", _PAIR),
     "weekly_best_provinces": Report("省份卡顿率排名-最优TOP5（{week}）", _PAIR),
-    "weekly_best_provinces_by_cdn": Report("各家CDN卡顿率-省份最优top5排名", _BY_CDN),
-    "weekly_worst_provinces_by_cdn": Report("各家CDN卡顿率-省份最差top5排名", _BY_CDN),
+    "weekly_best_provinces_by_cdn": Report("各家CDN卡顿率-省份最优top5排名（{week}）", _BY_CDN),
+    "weekly_worst_provinces_by_cdn": Report("各家CDN卡顿率-省份最差top5排名（{week}）", _BY_CDN),
 }

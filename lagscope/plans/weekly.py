@@ -16,6 +16,8 @@ from lagscope.operators.ranking import by_mean, in_order, ranked_pair, top_per_g
 from lagscope.settings import Settings
 from lagscope.sources.exports import within
 
+# Weeks are weeks of exports; within them, days are those of the rows.
+_EXPORTED = "export_day"
 _DAY = "event_date"
 _BY_CDN = dims.cdn_position("cdn")
 _BY_CLASS = dims.label_position("isp", L.ISP_CLASS_ORDER)
@@ -23,7 +25,7 @@ _IS_EDU = f"isp = {dims.text(L.ISP_EDU)}"
 
 
 def _this_week(facts: DataFrame, s: Settings) -> DataFrame:
-    return facts.filter(within(_DAY, s.this_week()))
+    return facts.filter(within(_EXPORTED, s.this_week()))
 
 
 def valid_provinces(stalls: DataFrame, s: Settings) -> DataFrame:
@@ -37,8 +39,8 @@ def valid_provinces(stalls: DataFrame, s: Settings) -> DataFrame:
 
 def total_trend(stalls: DataFrame, s: Settings) -> DataFrame:
     """Stall ratio of this week and the week before."""
-    days = grouped(_two_weeks(stalls, s), [_DAY], {"lag_ratio": per_row()})
-    return grouped(days, [], _week_means(s)).selectExpr(*trend_columns("this", "last"))
+    days = grouped(_two_weeks(stalls, s), _week_days(s), {"lag_ratio": per_row()})
+    return grouped(days, [], _WEEK_MEANS).selectExpr(*trend_columns("this", "last"))
 
 
 def edu_trend(stalls: DataFrame, s: Settings) -> DataFrame:
@@ -48,23 +50,26 @@ def edu_trend(stalls: DataFrame, s: Settings) -> DataFrame:
 
 def cdn_trend(stalls: DataFrame, s: Settings) -> DataFrame:
     """:func:`total_trend` by vendor, for vendors seen in both weeks."""
-    days = grouped(_two_weeks(stalls, s), ["cdn", _DAY], {"lag_ratio": per_row()})
-    seen = {
-        "this_days": f"count_if({within(_DAY, s.this_week())})",
-        "last_days": f"count_if({within(_DAY, s.last_week())})",
-    }
-    rows = grouped(days, ["cdn"], _week_means(s) | seen)
+    keys = {"cdn": "cdn", **_week_days(s)}
+    days = grouped(_two_weeks(stalls, s), keys, {"lag_ratio": per_row()})
+    seen = {"this_days": "count_if(is_this)", "last_days": "count_if(NOT is_this)"}
+    rows = grouped(days, ["cdn"], _WEEK_MEANS | seen)
     both = rows.filter("this_days > 0 AND last_days > 0")
     return in_order(both.selectExpr("cdn", *trend_columns("this", "last")), _BY_CDN)
 
 
 def _two_weeks(facts: DataFrame, s: Settings) -> DataFrame:
-    return facts.filter(within(_DAY, s.both_weeks()))
+    return facts.filter(within(_EXPORTED, s.both_weeks()))
 
 
-def _week_means(s: Settings) -> dict[str, str]:
-    weeks = {"this": s.this_week(), "last": s.last_week()}
-    return {n: f"avg(CASE WHEN {within(_DAY, w)} THEN lag_ratio END)" for n, w in weeks.items()}
+def _week_days(s: Settings) -> dict[str, str]:
+    return {"is_this": within(_EXPORTED, s.this_week()), _DAY: _DAY}
+
+
+_WEEK_MEANS = {
+    "this": "avg(CASE WHEN is_this THEN lag_ratio END)",
+    "last": "avg(CASE WHEN NOT is_this THEN lag_ratio END)",
+}
 
 
 # Matrices and carrier classes

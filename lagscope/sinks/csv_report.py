@@ -17,8 +17,8 @@ def fixed_point(value: str) -> str:
     return f"if({value} IS NULL, NULL, format_string('%f', {value}))"
 
 
-def report_text(report: DataFrame, headings: Mapping[str, str]) -> DataFrame:
-    """The printed form: headings as names, fixed decimals, client names.
+def report_text(report: DataFrame, headings: Mapping[str, str], full: bool = False) -> DataFrame:
+    """The printed form: headings as names, fixed decimals or all digits, client names.
 
     A heading whose key is not a column makes an empty column.
     """
@@ -29,7 +29,7 @@ def report_text(report: DataFrame, headings: Mapping[str, str]) -> DataFrame:
         if name not in types:
             column = "CAST(NULL AS STRING)"
         elif types[name] == "double":
-            column = fixed_point(column)
+            column = f"CAST({column} AS STRING)" if full else fixed_point(column)
         elif name == "platform1":
             column = dims.device_name(column)
         columns.append(f"{column} AS `{heading}`")
@@ -37,13 +37,17 @@ def report_text(report: DataFrame, headings: Mapping[str, str]) -> DataFrame:
 
 
 def write_report(
-    report: DataFrame, path: str, headings: Mapping[str, str], mode: str = "errorifexists"
+    report: DataFrame,
+    path: str,
+    headings: Mapping[str, str],
+    mode: str = "errorifexists",
+    full: bool = False,
 ) -> None:
     """One file with a byte order mark and a header line.
 
     Meant for finished reports, which hold a few rows in one partition.
     """
-    text = report_text(report, headings)
+    text = report_text(report, headings, full)
     first = text.columns[0]
     (
         text.withColumnRenamed(first, BOM + first)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lagscope.sinks.shared import shared_dir
+from lagscope.sinks.shared import exists, remove, shared_root
 from lagscope.sources.schema import PARTITION_COLUMN, PLAYLOG_SCHEMA
 
 # Every column as an expression over lineitem, orders, customer and nation. The
@@ -77,22 +78,30 @@ def write_sample_log(spark: SparkSession, sf_dir: str, path: str) -> None:
     log.hint("rebalance", PARTITION_COLUMN).write.partitionBy(PARTITION_COLUMN).parquet(path)
 
 
-_written: dict[tuple[str, str], str] = {}
+def exported_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log read from its export, which is written once per application.
 
+    The number of rows is recorded when the export is complete. It is compared each
+    time; an export that lost or gained rows is written again.
+    """
+    name = f"playlog-{spark.sparkContext.applicationId}-{zlib.crc32(sf_dir.encode()):08x}"
+    path = f"{shared_root(spark)}/{name}"
+    if not _is_complete(spark, path):
+        for part in ("rows", "log"):
+            remove(spark, f"{path}/{part}")
+        write_sample_log(spark, sf_dir, f"{path}/log")
+        _read_export(spark, path).selectExpr("count(*) AS n").write.json(f"{path}/rows")
+    return _read_export(spark, path)
 
-def exported_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log read from its export, which is written once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _written:
-        try:
-            return _read_export(spark, _written[key])
-        except AnalysisException:
-            pass  # The folder was cleared: write it again.
-    _written[key] = shared_dir(spark, "playlog")
-    write_sample_log(spark, sf_dir, _written[key])
-    return _read_export(spark, _written[key])
+
+def _is_complete(spark: SparkSession, path: str) -> bool:
+    if not (exists(spark, f"{path}/rows/_SUCCESS") and exists(spark, f"{path}/log")):
+        return False
+    recorded = spark.read.schema("n BIGINT").json(f"{path}/rows").first()
+    # Counted from the footers of the files.
+    return recorded is not None and recorded["n"] == _read_export(spark, path).count()
 
 
 def _read_export(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType([*PLAYLOG_SCHEMA, T.StructField(PARTITION_COLUMN, T.DateType())])
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(f"{path}/log")

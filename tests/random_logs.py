@@ -20,7 +20,7 @@ LOGS = st.lists(
             "room_id": some(1, 1, 1, -1, None),
             "device": some(1, 2, 3),
             "client_ip": some("198.51.100.1", "198.51.100.1", "192.0.2.1", None),
-            "platform": some(1, 2, 5, 14, None),
+            "platform": some(1, 2, 5, 14, 77, None),
             "country": some("中国", "中国", "海外", None),
             "province": some("A", "B", "中国", None),
             "isp": some("电信", "教育网", "中国电信", None),
@@ -36,7 +36,7 @@ LOGS = st.lists(
 
 # Few logs and no search for a smaller one: each runs tens of Spark queries.
 few_logs = settings(
-    max_examples=2,
+    max_examples=4,
     deadline=None,
     phases=[Phase.generate],
     suppress_health_check=[HealthCheck.function_scoped_fixture],

@@ -25,11 +25,12 @@ def test_filters_drop_unknown_rooms_and_addresses(spark):
     assert kept.count() == 2
 
 
-def test_without_a_blocklist_unknown_addresses_stay(spark):
-    log = micro_log(spark, {"client_ip": None}, {"client_ip": "192.0.2.1"})
+def test_unknown_addresses_drop_out_with_any_blocklist(spark):
+    log = micro_log(spark, {"client_ip": None}, {"client_ip": "192.0.2.1"}, {})
     from dataclasses import replace
 
     assert views.stall_facts(log, replace(SETTINGS, blocked_ips=())).count() == 2
+    assert views.stall_facts(log, SETTINGS).count() == 1
 
 
 def test_first_bounds(spark):

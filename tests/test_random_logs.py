@@ -27,9 +27,11 @@ def test_queries_on_random_logs(spark, monkeypatch, rows):
     con = duckdb.connect()
     con.register("micro", arrow_log(*rows))
     sql = oracle_queries("SELECT * FROM micro", MINIMA)
-    for name, query in __spark_entry__.queries().items():
+    made = __spark_entry__.queries()
+    for name in sql:
         if "roundtrip" in name:
             continue
+        query = made[name]
         names, expected, _ = duckdb_result(con, sql[name])
         got_names, got, _ = spark_result(query(spark, ""))
         assert (name, got_names, got) == (name, names, expected)

@@ -1,12 +1,14 @@
 """A report over any rollup equals the report over the rows."""
 
+from dataclasses import replace
+
 import pytest
 from hypothesis import given
 
 from lagscope import jobs
 from lagscope.operators import rollup, views
 from lagscope.plans import daily, points, weekly
-from lagscope.sources.exports import in_window
+from lagscope.sources.exports import in_window, row_counts
 from tests.micro import SETTINGS, at, micro_log, values
 from tests.random_logs import LOGS, few_logs
 
@@ -71,19 +73,60 @@ def test_unknown_node_is_not_mistaken_for_the_other_key_set(spark):
     assert sorted(nodes, key=str) == [("a", 1), (None, 1)]
 
 
+def store_days(spark, store, window, *rows, s=SETTINGS):
+    log = micro_log(spark, *rows)
+    rolled = rollup.report_rollup(views.report_facts(log, s))
+    rollup.write_days(rolled, row_counts(log), s, window, store)
+
+
+def days(*numbers):
+    return at(numbers[0]).date(), at(numbers[-1] + 1).date()
+
+
+def stored_rows(spark, store, window, kind=views.STALL):
+    rows = rollup.level(rollup.read_store(spark, store, window, SETTINGS), "dims", kind)
+    return values(rows.groupBy("export_day").sum("row_n").orderBy("export_day"))
+
+
 def test_store_replaces_a_day_and_keeps_the_others(spark, tmp_path):
     store = str(tmp_path / "store")
-
-    def write(*rows):
-        facts = views.report_facts(micro_log(spark, *rows), SETTINGS)
-        rollup.write_days(rollup.report_rollup(facts), store)
-
-    write({"time": at(13)}, {"time": at(14)}, {"time": at(14), "tag": "first"})
-    write({"time": at(14)}, {"time": at(14)}, {"time": at(14)})
-    window = (at(13).date(), at(15).date())
-    stalls = rollup.level(rollup.read_store(spark, store, window), "dims", views.STALL)
-    got = values(stalls.groupBy("event_date").sum("row_n").orderBy("event_date"))
-    assert [n for _, n in got] == [1, 3]
-    assert rollup.level(rollup.read_store(spark, store, window), "dims", views.FIRST).count() == 0
+    first = {"time": at(14), "tag": "first"}
+    store_days(spark, store, days(13, 14), {"time": at(13)}, {"time": at(14)}, first)
+    store_days(spark, store, days(14), *[{"time": at(14)}] * 3)
+    assert [n for _, n in stored_rows(spark, store, days(13, 14))] == [1, 3]
+    assert stored_rows(spark, store, days(13, 14), views.FIRST) == []
     with pytest.raises(ValueError, match="2017-04-12"):
-        rollup.read_store(spark, store, (at(12).date(), at(15).date()))
+        rollup.read_store(spark, store, days(12, 14), SETTINGS)
+
+
+def test_a_day_may_be_empty_and_become_empty(spark, tmp_path):
+    store = str(tmp_path / "store")
+    blocked = {"time": at(14), "client_ip": "192.0.2.1"}
+    store_days(spark, store, days(13), {"time": at(13), "room_id": -1})
+    assert stored_rows(spark, store, days(13)) == []
+    store_days(spark, store, days(14), {"time": at(14)})
+    store_days(spark, store, days(14), blocked)
+    assert stored_rows(spark, store, days(13, 14)) == []
+    counts = values(rollup.read_records(spark, store, days(13, 14)), "log_rows")
+    assert counts == [(1,), (1,)]
+
+
+@pytest.mark.parametrize(
+    "other", [{"blocked_ips": ()}, {"first_max_ms": 9_000}, {"evening_hour": 18}]
+)
+def test_a_store_of_other_settings_is_refused(spark, tmp_path, other):
+    store = str(tmp_path / "store")
+    store_days(spark, store, days(14), {"time": at(14)}, s=replace(SETTINGS, **other))
+    with pytest.raises(ValueError, match="other settings: 2017-04-14"):
+        rollup.read_store(spark, store, days(14), SETTINGS)
+
+
+def test_a_run_that_broke_off_leaves_the_day_missing(spark, tmp_path):
+    store = str(tmp_path / "store")
+    store_days(spark, store, days(14), {"time": at(14)})
+    bad = micro_log(spark, {"time": at(14)}).selectExpr("*", "raise_error('stop') AS x")
+    rolled = rollup.report_rollup(views.report_facts(bad.filter("x IS NULL"), SETTINGS))
+    with pytest.raises(Exception, match="stop"):
+        rollup.write_days(rolled, row_counts(bad), SETTINGS, days(14), store)
+    with pytest.raises(ValueError, match="lacks 2017-04-14"):
+        rollup.read_store(spark, store, days(14), SETTINGS)

@@ -12,7 +12,7 @@ from lagscope.plans import daily, points
 from lagscope.plans.reports import DAILY, WEEKLY
 from lagscope.sinks.csv_report import report_text, write_report
 from lagscope.sinks.point_log import all_points, read_points, write_points
-from lagscope.sinks.shared import shared_dir, written
+from lagscope.sinks.shared import exists, remove, scratch, shared_dir, written
 from lagscope.sources import exports, schema
 from lagscope.sources.sample_log import exported_log, sample_log
 from tests.micro import SETTINGS, at, micro_log, values
@@ -25,7 +25,7 @@ def test_day_and_week_exports(spark, tmp_path):
             log.write.parquet(f"{tmp_path}/export_2017-04-{day}-{part}")
     one = exports.read_day(spark, str(tmp_path), date(2017, 4, 14))
     assert one.count() == 2
-    assert one.schema.names == schema.PLAYLOG_SCHEMA.names
+    assert one.schema.names == [*schema.PLAYLOG_SCHEMA.names, schema.PARTITION_COLUMN]
     days = exports.read_days(spark, str(tmp_path), [date(2017, 4, 13), date(2017, 4, 14)])
     assert {r[0].day for r in values(days, "time")} == {13, 14}
     assert days.count() == 4
@@ -181,6 +181,38 @@ def test_written_table_is_in_the_shared_folder(spark):
     path = shared_dir(spark, "x")
     assert root is None or path.startswith(root)
     df = micro_log(spark, {}, {})
-    table = written(df, "x")
+    table = written(df, path)
     assert table.count() == 2
     assert table.inputFiles()
+
+
+def test_scratch_is_removed_also_after_a_failure(spark):
+    with pytest.raises(KeyError), scratch(spark, "x") as path:
+        micro_log(spark, {}).write.parquet(f"{path}/y")
+        raise KeyError
+    assert not exists(spark, path)
+
+
+def test_a_damaged_export_is_written_again(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    exported = exported_log(spark, sf_dir)
+    whole = exported.count()
+    day = exported.inputFiles()[0].rpartition("/")[0]
+    remove(spark, day)
+    assert exported_log(spark, sf_dir).count() == whole
+
+
+def test_exports_keep_all_their_rows(spark, tmp_path):
+    rows = [{"time": at(14)}, {"time": at(15, 0)}, {"time": None}]
+    micro_log(spark, *rows).write.parquet(f"{tmp_path}/export_2017-04-14-000")
+    micro_log(spark, {"time": at(13)}).write.parquet(f"{tmp_path}/export_2017-04-13-000")
+    log = exports.read_days(spark, str(tmp_path), [at(13).date(), at(14).date()])
+    assert exports.in_window(log, SETTINGS.day()).count() == 3
+    counts = exports.row_counts(log).orderBy("export_day")
+    assert values(counts, "log_rows", "no_time_rows", "other_day_rows") == [(1, 0, 0), (3, 1, 1)]
+
+
+def test_a_full_report_prints_all_digits(spark):
+    report = spark.createDataFrame([(0.1234567890123,)], "lag_ratio double")
+    assert values(report_text(report, {"lag_ratio": "x"}, full=True)) == [("0.1234567890123",)]
+    assert values(report_text(report, {"lag_ratio": "x"})) == [("0.123457",)]
