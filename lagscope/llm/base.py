@@ -117,6 +117,20 @@ def text_hash() -> Column:
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
+#: Stands for a null id where frames of numbers go to Python: a null would turn the
+#: ids beside it into floats.
+NO_ID = -(1 << 63)
+
+
+def without_null(name: str) -> Column:
+    return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID)).alias(name)
+
+
+def with_id(df: DataFrame, name: str = "doc_id") -> DataFrame:
+    """``df`` with null for ``NO_ID``."""
+    return df.withColumn(name, F.nullif(F.col(name), F.lit(NO_ID)))
+
+
 def packed(docs: DataFrame, *columns: str) -> DataFrame:
     """The whole rows as ``_row``, beside the columns an operator looks at. Whatever
     names the operator uses, they don't clash with those of the rows."""

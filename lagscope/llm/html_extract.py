@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .base import with_id, without_null
+
 SAMPLE = 2000
 
 #: Elements whose content is no text at all.
@@ -308,7 +310,10 @@ def extract(pages: DataFrame) -> DataFrame:
     empty result.
     """
     scores = learn_scores(pages)
-    rows = pages.select(F.col("page_id").cast("long"), "url", "html")
-    return rows.mapInPandas(
-        extracting(scores), "page_id long, url string, text string, n_chars long"
+    rows = pages.select(without_null("page_id"), "url", "html")
+    return with_id(
+        rows.mapInPandas(
+            extracting(scores), "page_id long, url string, text string, n_chars long"
+        ),
+        "page_id",
     )

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import WORD_RE, WordHashes, bounded, cut, mixed, null_safe_join, packed
+from .base import WORD_RE, WordHashes, bounded, cut, mixed, null_safe_join, packed, with_id, without_null
 from .blocks import blocks_of, dealt, grouped, slices
 from .components import Forest, components
 
@@ -218,11 +218,11 @@ def _classes(docs: DataFrame, threshold: float, n: int, recall: float) -> tuple[
     class_size, links, linked_docs, id, root (the same within a group)."""
     bands, rows = choose_bands(threshold, recall)
     hashes = bands * rows
-    keyed = docs.select(F.col("doc_id").cast("long"), _key(), "text")
+    keyed = docs.select(without_null("doc_id"), _key(), "text")
     signed = keyed.mapInPandas(
         signer(bands, rows, n), "key string, doc_id long, bands array<long>, sketch binary"
     )
-    signed = cut(signed)
+    signed = cut(with_id(signed))
     # A class has a number of its own, as ids may be null or repeated.
     classes = cut(
         signed.groupBy("key")

@@ -23,7 +23,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import WORD_RE, bounded, cut, null_safe_join, packed, text_hash, words
+from .base import WORD_RE, bounded, cut, null_safe_join, packed, text_hash, with_id, without_null, words
 
 SAMPLE = 20_000
 #: Entries of the lexicon, at most.
@@ -205,9 +205,9 @@ class ToxicityModel:
 
     def features(self, docs: DataFrame) -> DataFrame:
         ddl = ", ".join(f"{c} double" for c in FEATURES)
-        kind = docs.schema["doc_id"].dataType.simpleString()
-        return docs.select("doc_id", text_hash().alias("doc"), "text").mapInPandas(
-            describer(self.entries), f"doc_id {kind}, doc long, {ddl}"
+        rows = docs.select(without_null("doc_id"), text_hash().alias("doc"), "text")
+        return with_id(
+            rows.mapInPandas(describer(self.entries), f"doc_id long, doc long, {ddl}")
         )
 
     def scored(self, features: DataFrame) -> DataFrame:
