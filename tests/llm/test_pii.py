@@ -1,0 +1,124 @@
+import datetime
+import hashlib
+import itertools
+import re
+
+from pyspark.sql import functions as F
+
+from lagscope.llm import pii
+from lagscope.llm.base import table
+
+from .cases import ODD, no_documents, odd_documents
+
+KEY = pii.KEY
+
+
+def feistel(values, radixes, kind):
+    """The network, symbol by symbol."""
+    half = len(values) // 2
+    a, b, ra, rb = values[:half], values[half:], radixes[:half], radixes[half:]
+    for i in range(1, pii.ROUNDS + 1):
+        seed = "|".join([KEY, kind, str(i), ",".join(map(str, a))])
+        moved = [
+            (v + int(hashlib.md5(f"{seed}|{at}".encode()).hexdigest()[:12], 16)) % rb[at]
+            for at, v in enumerate(b)
+        ]
+        a, b, ra, rb = moved, a, rb, ra
+    return a + b
+
+
+def luhn(digits):
+    rest = [d if i % 2 == 0 else d * 2 - 9 if d > 4 else d * 2 for i, d in enumerate(reversed(digits))]
+    return sum(rest) % 10
+
+
+def refilled(x, digits):
+    left = list(digits)
+    out = [str(left.pop()) if c.isdigit() and left else c for c in reversed(x)]
+    return "".join(reversed(out))
+
+
+def pseudonym(x):
+    digits = [int(c) for c in x if c.isdigit()]
+    if "@" in x:
+        local, _, domain = x.partition("@")
+        radix = [10 if c.isdigit() else 26 if c.isalpha() else 1 for c in local]
+        values = [int(c) if c.isdigit() else ord(c.lower()) - 97 if c.isalpha() else 0 for c in local]
+        new = feistel(values, radix, "email")
+        chars = [
+            str(v) if c.isdigit() else chr(v + (97 if c.islower() else 65)) if c.isalpha() else c
+            for c, v in zip(local, new, strict=True)
+        ]
+        return "".join(chars) + "@" + domain
+    if re.fullmatch(pii.DATE, x):
+        form = "%Y-%m-%d" if x[4] == "-" else "%d.%m.%Y" if "." in x else "%m/%d/%Y"
+        try:
+            n = (datetime.datetime.strptime(x, form).date() - datetime.date(1900, 1, 1)).days
+        except ValueError:
+            return x
+        a, b = feistel([n // 4297, n % 4297], [17, 4297], "date")
+        return (datetime.date(1900, 1, 1) + datetime.timedelta(a * 4297 + b)).strftime(form)
+    if re.fullmatch(pii.ADDRESS, x):
+        return ".".join(map(str, feistel([int(o) for o in x.split(".")], [256] * 4, "address")))
+    if re.fullmatch(pii.SSN, x):
+        area, group, serial = map(int, x.split("-"))
+        new = feistel([area - (2 if area > 666 else 1), group - 1, serial - 1], [898, 99, 9999], "ssn")
+        return f"{new[0] + (2 if new[0] >= 665 else 1):03}-{new[1] + 1:02}-{new[2] + 1:04}"
+    if re.fullmatch(pii.PHONE, x):
+        low = [2, 0, 0, 2, 0, 0, 0, 0, 0, 0]
+        radix = [8, 10, 10, 8, 10, 10, 10, 10, 10, 10]
+        new = feistel([d - o for d, o in zip(digits[-10:], low, strict=True)], radix, "phone")
+        return refilled(x, [v + o for v, o in zip(new, low, strict=True)])
+    if luhn(digits):
+        return x
+    payload = feistel(digits[:-1], [10] * (len(digits) - 1), "card")
+    return refilled(x, [*payload, -luhn([*payload, 0]) % 10])
+
+
+SAMPLES = [
+    "Call +1 (988) 555-2485 or 988-555-2485, mail Bosbt.42@mail8.example.com and bosbt.42@MAIL.example.com",
+    "cards 4041894974608795, 4041-8949-7460-8795 and 4041894974608796 (no valid one)",
+    "from 70.123.182.155 and 256.1.1.1 and 1.2.3.4.5, v1.2.3",
+    "born 1984-02-29 or 29.02.1984 or 02/29/1984, not 1985-02-30; ssn 123-45-6789 666-45-6789 899-99-9999",
+    "4041894974608795",
+    "é4041894974608795x a@b.co",
+    "x" * 5000 + " 10.0.0.1 " + "y 1" * 5000,
+]
+
+
+def test_like_plain_python(spark):
+    docs = odd_documents(spark, [(i, t, None) for i, t in enumerate(SAMPLES)] + ODD)
+    rows = pii.pseudonymise(docs)
+    assert rows.columns == [*docs.columns, "n_values"]
+    texts = {r.doc_id: (r.text, r.n_values) for r in rows.collect() if r.doc_id is not None}
+    found = [t for t, _ in texts.values() if t is not None]
+    assert len(found) >= len(SAMPLES)
+    for i, text in enumerate(SAMPLES):
+        if i in dict((r[0], 1) for r in ODD):
+            continue
+        assert texts[i][0] == re.sub(pii.ANY, lambda m: pseudonym(m[0]), text)
+    by_text = {r.text for r in pii.pseudonymise(odd_documents(spark, [(0, t, None) for t in SAMPLES])).collect()}
+    assert by_text == {re.sub(pii.ANY, lambda m: pseudonym(m[0]), t) for t in SAMPLES}
+
+
+def test_odd_documents_stay(spark):
+    docs = odd_documents(spark)
+    rows = pii.pseudonymise(docs).collect()
+    assert sorted((r.text or "", r.doc_id or 0) for r in rows) == sorted((t or "", i or 0) for i, t, _ in ODD)
+    assert {r.n_values for r in rows} == {0}
+    assert pii.pseudonym_texts(no_documents(spark)).count() == 0
+
+
+def test_a_permutation_of_the_format(spark):
+    values = list(itertools.product(range(5), range(3), range(7)))
+    df = spark.createDataFrame([(list(v),) for v in values], "v array<long>")
+    radixes = F.array(*[F.lit(r).cast("long") for r in (5, 3, 7)])
+    new = [tuple(r[0]) for r in df.select(pii.feistel(F.col("v"), radixes, "k", "x")).collect()]
+    assert sorted(new) == values and new != values
+
+
+def test_whole_table(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    before = dict(docs.select("doc_id", "text").collect())
+    for r in pii.pseudonym_texts(docs).collect():
+        assert r.text == re.sub(pii.ANY, lambda m: pseudonym(m[0]), before[r.doc_id])
