@@ -30,10 +30,6 @@ def blocks_of(members: DataFrame, keys: list[str], size: int) -> DataFrame:
     )
 
 
-def _dealt(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.repartition(*keys).sortWithinPartitions(*keys)
-
-
 def dealt(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of a key side by side in one partition."""
     return df.repartition(*keys).sortWithinPartitions(*keys)

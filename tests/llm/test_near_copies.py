@@ -189,6 +189,38 @@ def test_lines_like_all_pairs(spark):
         assert texts[doc_id] == (None if lines is None else "\n".join(lines))
 
 
+def test_large_clusters_are_compared_in_parts(spark, monkeypatch):
+    # Parts of a few lines, so that lines of one group are found by all three comparisons.
+    monkeypatch.setattr(line_dedup, "_BUCKET_BLOCK", 4)
+    monkeypatch.setattr(line_dedup, "_CLUSTER_BLOCK", 3)
+    rng = random.Random(5)
+    base = [f"l0w{rng.randrange(200)}" for _ in range(40)]
+    # The same words in another order have the same SimHash, but other characters.
+    orders = [base, base[::-1], sorted(base), [*base[20:], *base[:20]]]
+    rows = [(i, mutated(rng, rng.choice(orders), rng.choice([0, 1, 1]))) for i in range(60)]
+    docs = odd_documents(spark, [(*r, None) for r in rows])
+    got = {r.doc_id: set(r.removed) for r in line_dedup.duplicate_lines(docs).collect() if r.n_removed}
+    assert got == removed_by_pairs(rows)
+    assert 20 < len(got) < 60
+
+
+def test_pairs_that_span_a_bucket():
+    import numpy as np
+
+    rng = random.Random(6)
+    seeds = [rng.getrandbits(64) for _ in range(20)]
+    marks = np.array([rng.choice(seeds) ^ 1 << rng.randrange(64) for _ in range(300)], np.uint64)
+    spanned, whole = Forest(300), Forest(300)
+    for x, y in line_dedup.spanning(marks, 3):
+        assert (int(marks[x]) ^ int(marks[y])).bit_count() <= 3
+        assert spanned.join(x, y)
+    for x in range(300):
+        for y in range(x):
+            if (int(marks[x]) ^ int(marks[y])).bit_count() <= 3:
+                whole.join(x, y)
+    assert [spanned.root(x) for x in range(300)] == [whole.root(x) for x in range(300)]
+
+
 def test_odd_lines(spark):
     rows = line_dedup.duplicate_lines(odd_documents(spark)).collect()
     assert len(rows) == len(ODD)
