@@ -50,7 +50,8 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 #: Elements that may be left open.
 _REPEATED = frozenset("p li dt dd option tr td th".split())
 _BOILERPLATE = frozenset("nav header footer aside form button select menu dialog label".split())
-#: Whole words of class, id and role values.
+#: Class, id and role values, or parts of them. Such an element is taken for
+#: boilerplate unless it holds most of the page's words.
 _NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsored sponsor promo promotion menu nav navbar"
     " navigation sidebar side-bar breadcrumb breadcrumbs footer header masthead cookie cookies consent notice"
@@ -58,10 +59,14 @@ _NAMES = frozenset(
     " newsletter subscribe subscription signup login popup modal widget pagination pager toolbar"
     " complementary contentinfo search skip".split()
 )
-_ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none", re.I)
+#: Each attribute of a tag, with its value.
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 _NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[0-9]+")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 _SPACES = re.compile(r"\s+")
+#: A wrapper of a listed name is none of boilerplate if its words are more than so many
+#: times those outside of any.
+_LIFTED = {"named": 3, "part": 1}
 #: What a run of boilerplate costs at most.
 _MOST_FOR_A_RUN = -8.0
 #: Open elements that are remembered; deeper ones don't change the place.
@@ -78,21 +83,27 @@ _FIXED = {
 }
 
 
-def _is_boilerplate(tag: str, attributes: str) -> bool:
+def _flag(tag: str, attributes: str) -> str:
+    """What a tag says of all it encloses: ``boilerplate`` if its kind is a menu or the
+    like or it isn't shown, ``named`` if its class, id or role is a listed name, ``part``
+    if that is a part of it, or nothing."""
     if tag in _BOILERPLATE:
-        return True
-    if not attributes:
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    if tag in ("body", "html", "article", "main"):
-        return False
-    for found in _ATTRIBUTE.findall(attributes):
-        value = "".join(found)
-        names = set(value.lower().split()) | {p.lower() for p in _NAME_PARTS.findall(value)}
-        if not _NAMES.isdisjoint(names):
-            return True
-    return False
+        return "boilerplate"
+    if len(attributes) < 4 or tag in ("body", "html"):
+        return ""
+    found = ""
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" and value.lower() != "false":
+            return "boilerplate"
+        if name == "style" and _NO_DISPLAY.search(value):
+            return "boilerplate"
+        if name in ("class", "id", "role"):
+            if not _NAMES.isdisjoint(value.lower().split()):
+                found = "named"
+            elif not found and not _NAMES.isdisjoint(p.lower() for p in _NAME_PARTS.findall(value)):
+                found = "part"
+    return "" if tag in ("article", "main") else found
 
 
 class Token:
@@ -114,20 +125,26 @@ class _Place:
 
     def __init__(self, article: str):
         self.article = article
-        self.stack: list[tuple[str, bool, bool]] = []
-        self.shut = self.articles = 0
+        self.stack: list[tuple[str, bool, bool, bool, int]] = []
+        self.shut = self.hidden = self.articles = 0
+        #: The innermost element of a listed name.
+        self.wrapper = -1
 
-    def open(self, tag: str, boilerplate: bool) -> None:
+    def open(self, tag: str, boilerplate: bool, hidden: bool, number: int) -> None:
         if len(self.stack) < _DEEPEST:
             is_article = tag == self.article and not self.shut
-            self.stack.append((tag, boilerplate, is_article))
+            self.stack.append((tag, boilerplate, hidden, is_article, self.wrapper))
             self.shut += boilerplate
+            self.hidden += hidden
             self.articles += is_article
+            self.wrapper = number if number >= 0 else self.wrapper
 
     def close_from(self, at: int) -> None:
-        for _, boilerplate, is_article in self.stack[at:]:
+        for _, boilerplate, hidden, is_article, _ in self.stack[at:]:
             self.shut -= boilerplate
+            self.hidden -= hidden
             self.articles -= is_article
+        self.wrapper = self.stack[at][4]
         del self.stack[at:]
 
     def close(self, tag: str) -> None:
@@ -146,8 +163,46 @@ class _Place:
                 return
 
 
+class _Wrappers:
+    """The elements of listed names, by number in page order, and their words."""
+
+    def __init__(self):
+        self.flags: list[str] = []
+        self.up: list[int] = []
+        self.own: list[int] = []
+
+    def add(self, flag: str, up: int) -> int:
+        self.flags.append(flag)
+        self.up.append(up)
+        self.own.append(0)
+        return len(self.flags) - 1
+
+    def lifted(self, plain: int) -> frozenset[int]:
+        """Those that hold the text of the page, which has ``plain`` words outside of all."""
+        total = list(self.own)
+        for at in range(len(total) - 1, -1, -1):
+            if self.up[at] >= 0:
+                total[self.up[at]] += total[at]
+        found: set[int] = set()
+        for at, flag in enumerate(self.flags):
+            if (self.up[at] < 0 or self.up[at] in found) and total[at] > _LIFTED[flag] * plain:
+                found.add(at)
+                plain += self.own[at]
+        return frozenset(found)
+
+
 def tokens(page: str | None) -> list[Token]:
     """Words and tags in page order."""
+    wrappers = _Wrappers()
+    parts = _tokens(page, wrappers, frozenset())
+    if wrappers.flags:
+        plain = sum(t.n for t in parts if t.kind in ("word", "word/outside"))
+        if lifted := wrappers.lifted(plain):
+            return _tokens(page, _Wrappers(), lifted)
+    return parts
+
+
+def _tokens(page: str | None, wrappers: _Wrappers, lifted: frozenset[int]) -> list[Token]:
     page = page or ""
     place = _Place("article" if re.search(r"<article\b", page, re.I) else "main")
     parts: list[Token] = []
@@ -159,7 +214,10 @@ def tokens(page: str | None) -> list[Token]:
     for m in _TOKEN.finditer(page):
         if (text := m["text"]) is not None:
             decoded = entities.unescape(text)
-            add("word", decoded, len(decoded.split()), place.shut > 0, False)
+            n = len(decoded.split())
+            add("word", decoded, n, place.shut > 0, False)
+            if place.wrapper >= 0 and not place.hidden:
+                wrappers.own[place.wrapper] += n
             continue
         if (tag := m["tag"]) is None:
             continue
@@ -169,11 +227,13 @@ def tokens(page: str | None) -> list[Token]:
             place.close(tag)
             continue
         attributes = m["attributes"]
-        boilerplate = _is_boilerplate(tag, attributes)
+        flag = _flag(tag, attributes)
         if tag in _REPEATED:
             place.end_open(tag)
+        number = wrappers.add(flag, place.wrapper) if flag in _LIFTED else -1
+        boilerplate = flag == "boilerplate" or number >= 0 and number not in lifted
         if tag not in _VOID and not attributes.endswith("/>"):
-            place.open(tag, boilerplate)
+            place.open(tag, boilerplate, flag == "boilerplate", number)
         add(tag, "", 1, place.shut > 0 or boilerplate, tag in _BLOCKS)
     if any(t.inside for t in parts):
         for t in parts:

@@ -73,3 +73,29 @@ def test_odd_rows(spark):
     got = sorted((tuple(r) for r in h.extract(spark.createDataFrame(rows, schema)).collect()), key=repr)
     assert got == [(1, None, "a b c d", 7), (1, None, "a b c d", 7), (None, "u", "", 0)]
     assert h.extract(spark.createDataFrame([], schema)).count() == 0
+
+
+WORDS = "<h1>Title</h1><p>one two three four five six seven eight nine ten eleven twelve</p>"
+WRAPPERS = (
+    '<div class="overflow-hidden">',
+    '<div style="overflow:hidden">',
+    '<div class="layout has-sidebar">',
+    '<div class="no-comments">',
+    '<div class="search-result"><div class="widget">',
+    '<article class="overflow-hidden">',
+    '<main style="overflow: hidden"><div id="content" title="hidden">',
+)
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_wrappers_around_the_text(learned, wrapper):
+    want = "Title\none two three four five six seven eight nine ten eleven twelve"
+    page = f"<body class='overflow-hidden'>{wrapper}{WORDS}<div class=sidebar>a b c</div>"
+    assert h.main_text(page, learned) == want
+    assert any(t.inside for t in h.tokens(page)) == ("<article" in page or "<main" in page)
+
+
+def test_what_is_hidden_stays_out(learned):
+    for hidden in ("hidden", "style='color: red; display:none'", "class=comment-list", "hidden=''"):
+        assert h.main_text(f"<body>{WORDS}<div {hidden}><p>words that nobody sees</p></div>", learned).endswith("twelve")
+    assert h.main_text(f"<body><div hidden>{WORDS}</div>", learned) == ""
