@@ -29,23 +29,27 @@ from .base import with_id, without_null
 SAMPLE = 2000
 
 #: Elements whose content is no text at all.
-_RAW = "script|style|noscript|template|iframe|object|svg|math|textarea|title|head|noembed|noframes|xmp"
+_RAW = "script|style|noscript|template|iframe|object|svg|math|textarea|title|noembed|noframes|xmp"
 #: Attributes with quoted values, which may hold ">"; with broken quotes up to the next ">".
 _REST = r"(?:(?:[^<>\"']+|\"[^\"<]*\"|'[^'<]*')*+>|[^<>]*>?)"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{_RAW})\b{_REST}.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<raw>{_RAW})(?![^\s/>]){_REST}"
     rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>{_REST})"
     r"|<[!?/][^<>]*>?"
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
+_RAW_END = re.compile(rf"</({_RAW})\s*>", re.I)
+#: What holds no tags: without an end tag they go on to the end of the page.
+_SCRIPTS = frozenset(("script", "style"))
 #: Elements that begin and end a block of text.
 _BLOCKS = frozenset(
     "address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption"
     " figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p"
     " pre section select summary table tbody td tfoot th thead tr ul caption".split()
 )
+_BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(_BLOCKS))})(?![^\s/>])", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that may be left open.
 _REPEATED = frozenset("p li dt dd option tr td th".split())
@@ -69,8 +73,6 @@ _SPACES = re.compile(r"\s+")
 _LIFTED = {"named": 3, "part": 1}
 #: What a run of boilerplate costs at most.
 _MOST_FOR_A_RUN = -8.0
-#: Open elements that are remembered; deeper ones don't change the place.
-_DEEPEST = 512
 
 #: Scores without labelled pages, and for tokens the labelled pages don't have.
 _FIXED = {
@@ -126,21 +128,24 @@ class _Place:
     def __init__(self, article: str):
         self.article = article
         self.stack: list[tuple[str, bool, bool, bool, int]] = []
+        #: How many elements of each tag are open, so that a stray end tag searches nothing.
+        self.tags: Counter = Counter()
         self.shut = self.hidden = self.articles = 0
         #: The innermost element of a listed name.
         self.wrapper = -1
 
     def open(self, tag: str, boilerplate: bool, hidden: bool, number: int) -> None:
-        if len(self.stack) < _DEEPEST:
-            is_article = tag == self.article and not self.shut
-            self.stack.append((tag, boilerplate, hidden, is_article, self.wrapper))
-            self.shut += boilerplate
-            self.hidden += hidden
-            self.articles += is_article
-            self.wrapper = number if number >= 0 else self.wrapper
+        is_article = tag == self.article and not self.shut
+        self.stack.append((tag, boilerplate, hidden, is_article, self.wrapper))
+        self.tags[tag] += 1
+        self.shut += boilerplate
+        self.hidden += hidden
+        self.articles += is_article
+        self.wrapper = number if number >= 0 else self.wrapper
 
     def close_from(self, at: int) -> None:
-        for _, boilerplate, hidden, is_article, _ in self.stack[at:]:
+        for tag, boilerplate, hidden, is_article, _ in self.stack[at:]:
+            self.tags[tag] -= 1
             self.shut -= boilerplate
             self.hidden -= hidden
             self.articles -= is_article
@@ -148,6 +153,8 @@ class _Place:
         del self.stack[at:]
 
     def close(self, tag: str) -> None:
+        if not self.tags[tag]:
+            return
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at][0] == tag:
                 self.close_from(at)
@@ -163,6 +170,36 @@ class _Place:
                 return
 
 
+def _matches(page: str) -> Iterator[re.Match]:
+    """Tags, texts and comments in page order; elements whose content is no text are
+    passed over. One that isn't closed ends at the next tag of a block."""
+    ends: dict[str, list[tuple[int, int]]] = {}
+    for m in reversed(list(_RAW_END.finditer(page))):
+        ends.setdefault(m[1].lower(), []).append(m.span())
+    at, block = 0, -1
+    while m := _TOKEN.search(page, at):
+        at = m.end()
+        if (raw := m["raw"]) is None:
+            yield m
+            continue
+        raw = raw.lower()
+        if raw not in _SCRIPTS and m[0].endswith("/>"):
+            continue
+        left = ends.get(raw, [])
+        while left and left[-1][0] < at:
+            left.pop()
+        if left:
+            at = left[-1][1]
+        elif raw in _SCRIPTS:
+            return
+        else:
+            # Found once for all unclosed elements before it.
+            if block < at:
+                found = _BLOCK_TAG.search(page, at)
+                block = found.start() if found else len(page)
+            at = block
+
+
 class _Wrappers:
     """The elements of listed names, by number in page order, and their words."""
 
@@ -211,7 +248,7 @@ def _tokens(page: str | None, wrappers: _Wrappers, lifted: frozenset[int]) -> li
         kind = f"{name}/boilerplate" if boilerplate else name
         parts.append(Token(kind, text, n, place.articles > 0, block))
 
-    for m in _TOKEN.finditer(page):
+    for m in _matches(page):
         if (text := m["text"]) is not None:
             decoded = entities.unescape(text)
             n = len(decoded.split())

@@ -99,3 +99,39 @@ def test_what_is_hidden_stays_out(learned):
     for hidden in ("hidden", "style='color: red; display:none'", "class=comment-list", "hidden=''"):
         assert h.main_text(f"<body>{WORDS}<div {hidden}><p>words that nobody sees</p></div>", learned).endswith("twelve")
     assert h.main_text(f"<body><div hidden>{WORDS}</div>", learned) == ""
+
+
+TEXT_OF_WORDS = "Title\none two three four five six seven eight nine ten eleven twelve"
+
+
+@pytest.mark.parametrize(
+    "page",
+    (
+        f"<html><head><title>t</title><body>{WORDS}",
+        f"<head><meta charset=x><script>a</script>{WORDS}",
+        f'<body><svg viewBox="0 0 1 1"/>{WORDS}',
+        f"<body><iframe src=x>{WORDS}",
+        f"<body><object data=x>fallback{WORDS}",
+        f"<body><svg-icon>{WORDS}</svg-icon>",
+        f"<body><template-x>{WORDS}</template-x>",
+        f"<body><svg><path d=x></svg>{WORDS}<svg>unclosed",
+    ),
+)
+def test_elements_without_text_end(learned, page):
+    assert h.main_text(page, learned) == TEXT_OF_WORDS
+
+
+def test_unclosed_scripts_hold_no_text(learned):
+    assert h.main_text(f"<body>{WORDS}<script>var a = '<p>not a text of the page</p>'", learned) == TEXT_OF_WORDS
+
+
+def test_deep_pages(learned):
+    deep = "<span>" * 2_000
+    page = f"<body><div>{deep}{'</span>' * 2_000}{WORDS}</div><footer>{deep}<span>all rights reserved</span> by us</footer>"
+    assert h.main_text(page, learned) == TEXT_OF_WORDS
+    page = f"<article>{'<div>' * 1_000}{'</div>' * 600}{WORDS}{'</div>' * 400}</article><p>tail words to stay out</p>"
+    assert h.main_text(page, learned) == TEXT_OF_WORDS
+    start = time.time()
+    for piece in ("<svg>", "<b></i>", "<iframe>x", "<svg/>", "<span class='ad x'>a ", "<div class=menu>", "</svg><svg>"):
+        h.main_text(piece * 20_000, learned)
+    assert time.time() - start < 30
