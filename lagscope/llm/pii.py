@@ -26,18 +26,24 @@ _AFTER = r"(?![0-9A-Za-z_])"
 EMAIL = r"[0-9A-Za-z][0-9A-Za-z._%+-]*@(?:[0-9A-Za-z-]+\.)+[A-Za-z]{2,}"
 #: +1 (212) 555-0100, (212) 555-0100, 212-555-0100, 212.555.0100 and the like.
 PHONE = r"(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}"
+#: Numbers beyond those: area codes from 0 or 1 behind +1 with brackets, ten digits
+#: without separators, and others with + and a country's number.
+AREA_01 = r"\+1[ .-]?\([01][0-9]{2}\) ?[2-9][0-9]{2}[ .-][0-9]{4}"
+PLAIN = r"(?:\+?1)?[2-9][0-9]{2}[2-9][0-9]{6}"
+ABROAD = r"\+(?:[2-9][0-9]{0,2})(?:[ .-]?\(?[0-9]{1,5}\)?){2,6}"
 DATE = (
     r"(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}"
-    r"|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2})"
+    r"|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}"
+    r"|(?<![0-9][./])(?:[0-9]{1,2}\.[0-9]{1,2}\.|[0-9]{1,2}/[0-9]{1,2}/)(?:19|20)[0-9]{2})"
 )
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 ADDRESS = rf"(?<![0-9]\.){_OCTET}(?:\.{_OCTET}){{3}}(?!\.[0-9])"
 #: Social security numbers.
 SSN = r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}"
-CARD = r"(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{13,19})"
+CARD = r"(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19})"
 
 #: An @, or a digit with enough digits near: what the patterns need.
-_HINT = r"@|[0-9][0-9 .()/-]{5,}[0-9]"
+_HINT = r"@|[0-9][0-9 .()/-]{4,}[0-9]"
 
 
 def _whole(pattern: str) -> str:
@@ -46,10 +52,10 @@ def _whole(pattern: str) -> str:
 
 ANY = f"{_BEFORE}(?:{EMAIL}|{DATE}|{ADDRESS}|{SSN}|{CARD})(?<![.-]){_AFTER}"
 #: A phone number may begin with a sign or a bracket.
-ANY = f"(?:{ANY}|(?<![0-9A-Za-z_+(]){PHONE}{_AFTER})"
+ANY = f"(?:{ANY}|(?<![0-9A-Za-z_+(])(?:{PHONE}|{AREA_01}|{PLAIN}|{ABROAD}){_AFTER})"
 
 
-def feistel(values: Column, radixes: Column, key: str, kind: str, rounds: int = ROUNDS) -> Column:
+def feistel(values: Column, radixes: Column, key: str, kind: str | Column, rounds: int = ROUNDS) -> Column:
     """``values``, numbers each below its radix, permuted within their radixes.
 
     With one symbol only there is no other half; it is then moved by the key alone.
@@ -64,7 +70,7 @@ def feistel(values: Column, radixes: Column, key: str, kind: str, rounds: int =
     )
 
     def one(s: Column, i: Column) -> Column:
-        seed = F.concat_ws("|", F.lit(key), F.lit(kind), i.cast("string"), F.array_join(s["a"], ","))
+        seed = F.concat_ws("|", F.lit(key), kind if isinstance(kind, Column) else F.lit(kind), i.cast("string"), F.array_join(s["a"], ","))
 
         def moved(v: Column, at: Column) -> Column:
             hashed = F.md5(F.concat_ws("|", seed, at.cast("string")).cast("binary"))
@@ -128,6 +134,25 @@ def _phone(x: Column, key: str) -> Column:
     return _refilled(x, F.zip_with(new, low, lambda d, o: d + o))
 
 
+def _phone_01(x: Column, key: str) -> Column:
+    """Area codes from 0 or 1 stay among themselves."""
+    digits = F.slice(_digits(x), -10, 10)
+    low = _numbers(0, 0, 0, 2, 0, 0, 0, 0, 0, 0)
+    radixes = _numbers(2, 10, 10, 8, 10, 10, 10, 10, 10, 10)
+    new = feistel(F.zip_with(digits, low, lambda d, o: d - o), radixes, key, "phone 01")
+    return _refilled(x, F.zip_with(new, low, lambda d, o: d + o))
+
+
+def _abroad(x: Column, key: str) -> Column:
+    """All digits but the first two, which hold the country's number or its start."""
+    digits = _digits(x)
+    rest = F.slice(digits, 3, F.size(digits) - 2)
+    kind = F.concat(F.lit("phone "), F.array_join(F.slice(digits, 1, 2), ""))
+    start = F.transform(rest, lambda _: F.lit(10).cast("long"))
+    new = _refilled(x, feistel(rest, start, key, kind))
+    return F.when(F.size(digits).between(8, 15), new).otherwise(x)
+
+
 def _ssn(x: Column, key: str) -> Column:
     parts = F.transform(F.split(x, "-"), lambda p: p.cast("long"))
     area = F.get(parts, F.lit(0))
@@ -148,19 +173,52 @@ def _address(x: Column, key: str) -> Column:
     return F.array_join(feistel(octets, _numbers(256, 256, 256, 256), key, "address"), ".")
 
 
+def _day_first(x: Column, key: str) -> Column:
+    """dd/MM where MM/dd is no date, so of a day from 13 on, which it stays: else its
+    pseudonym could be read as another one's. Days from 29 on keep their number."""
+    day = F.try_to_timestamp(x, F.lit("d/M/yyyy")).cast("date")
+    year, month, number = F.year(day).cast("long"), F.month(day).cast("long"), F.dayofmonth(day).cast("long")
+
+    def of(y: Column, m: Column, d: Column) -> Column:
+        return F.concat_ws("/", F.lpad(d.cast("string"), 2, "0"), F.lpad(m.cast("string"), 2, "0"), y.cast("string"))
+
+    def among(months: list[int]) -> Column:
+        known = _numbers(*months)
+        at = F.array_position(known, month) - 1
+        kind = F.concat(F.lit("day first "), number.cast("string"))
+        new = feistel(F.array(year - 1900, at), _numbers(200, len(months)), key, kind)
+        return of(F.get(new, F.lit(0)) + 1900, F.get(known, F.get(new, F.lit(1)).cast("int")), number)
+
+    low = feistel(F.array(year - 1900, month - 1, number - 13), _numbers(200, 12, 16), key, "day first")
+    leap = feistel(F.array(F.floor((year - 1904) / 4).cast("long")), _numbers(49), key, "leap day")
+    return (
+        F.when(day.isNull() | (number < 13), F.lit(None).cast("string"))
+        .when(number <= 28, of(F.get(low, F.lit(0)) + 1900, F.get(low, F.lit(1)) + 1, F.get(low, F.lit(2)) + 13))
+        .when(month == 2, of(F.get(leap, F.lit(0)) * 4 + 1904, month, number))
+        .when(number == 31, among([1, 3, 5, 7, 8, 10, 12]))
+        .otherwise(among([1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12]))
+    )
+
+
 def _date(x: Column, key: str) -> Column:
     """Days of 1900 to 2099, 17 * 4297 of them."""
-    shapes = ((r"^[0-9]{4}-", "yyyy-MM-dd"), (r"^[0-9]{2}\.", "dd.MM.yyyy"), (r"^[0-9]{2}/", "MM/dd/yyyy"))
     first = F.lit("1900-01-01").cast("date")
-    result = x
-    for shape, form in shapes:
+
+    def moved(form: str) -> Column:
+        # Forms of one letter read days and months of one or two digits.
         day = F.try_to_timestamp(x, F.lit(form)).cast("date")
         n = F.date_diff(day, first).cast("long")
         new = feistel(F.array(F.floor(n / 4297).cast("long"), F.pmod(n, F.lit(4297))), _numbers(17, 4297), key, "date")
         number = F.get(new, F.lit(0)) * 4297 + F.get(new, F.lit(1))
-        text = F.date_format(F.date_add(first, number.cast("int")), form)
-        result = F.when(x.rlike(shape) & day.isNotNull(), text).otherwise(result)
-    return result
+        # One form for all writings of a day, so that it stays equal.
+        return F.date_format(F.date_add(first, number.cast("int")), form.replace("d.M", "dd.MM").replace("M/d", "MM/dd"))
+
+    slashes = F.coalesce(moved("M/d/yyyy"), _day_first(x, key), x)
+    return (
+        F.when(x.rlike("^[0-9]{4}-"), F.coalesce(moved("yyyy-MM-dd"), x))
+        .when(x.contains("."), F.coalesce(moved("d.M.yyyy"), x))
+        .otherwise(slashes)
+    )
 
 
 def _email(x: Column, key: str) -> Column:
@@ -199,6 +257,9 @@ def pseudonym(x: Column, key: str) -> Column:
         .when(x.rlike(_whole(ADDRESS)), _address(x, key))
         .when(x.rlike(_whole(SSN)), _ssn(x, key))
         .when(x.rlike(_whole(PHONE)), _phone(x, key))
+        .when(x.rlike(_whole(AREA_01)), _phone_01(x, key))
+        .when(x.rlike(_whole(PLAIN)), _phone(x, key))
+        .when(x.startswith("+"), _abroad(x, key))
         .when(x.rlike(_whole(CARD)), _card(x, key))
         .otherwise(x)
     )

@@ -122,3 +122,36 @@ def test_whole_table(spark):
     before = dict(docs.select("doc_id", "text").collect())
     for r in pii.pseudonym_texts(docs).collect():
         assert r.text == re.sub(pii.ANY, lambda m: pseudonym(m[0]), before[r.doc_id])
+
+
+MORE = [
+    "31/12/1984", "4/7/1984", "7.4.1984", "+1 (017) 555-7713", "+1 (132) 555-1352", "2125550100", "+12125550100",
+    "+33 1 42 68 53 00", "+49 (30) 901820", "3782 822463 10005", "3782-822463-10005",
+]
+
+
+def test_more_ways_of_writing(spark):
+    rows = [(i, f"see {x} there", None) for i, x in enumerate(MORE)]
+    rows += [(100 + i, x, None) for i, x in enumerate(("32/13/1984", "31.2.1984", "+1 2 3", "1.2.3.1984", "3782 822463 10006"))]
+    got = {r.doc_id: (r.text, r.n_values) for r in pii.pseudonymise(odd_documents(spark, rows)).collect()}
+    for i, text, _ in rows:
+        assert got[i][1] == (i < 100) and (got[i][0] != text) == (i < 100), text
+    # What is no digit stays, and equal numbers stay equal.
+    signs = [re.sub("[0-9]", "", got[i][0]) for i in range(3, len(MORE))]
+    assert signs == [re.sub("[0-9]", "", rows[i][1]) for i in range(3, len(MORE))]
+    assert re.sub("[^0-9]", "", got[5][0]) == re.sub("[^0-9]", "", got[6][0])[1:]
+    assert got[3][0][8] in "01"
+
+
+def test_days_first_stay_different(spark):
+    start = datetime.date(1983, 1, 1)
+    days = [start + datetime.timedelta(i) for i in range(800)]
+    values = [f"{d:%d/%m/%Y}" for d in days if d.day > 12] + [f"{d:%m/%d/%Y}" for d in days]
+    docs = odd_documents(spark, [(i, v, None) for i, v in enumerate(values)])
+    assert len({r.text for r in pii.pseudonymise(docs).collect()}) == len(values)
+
+
+def test_area_codes_from_0_and_1_stay_different(spark):
+    values = [f"+1 ({a:03}) 555-{n:04}" for a in range(0, 200, 3) for n in range(0, 40)]
+    docs = odd_documents(spark, [(i, v, None) for i, v in enumerate(values)])
+    assert len({r.text for r in pii.pseudonymise(docs).collect()}) == len(values)
