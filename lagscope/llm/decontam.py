@@ -3,7 +3,9 @@
 The index holds postings of the training tokens: document, term, position, and
 the words around the position. A passage is found from its rarest term: that
 term's postings, moved by its offset, give the starts, and the passage's other
-terms are intersected at their own offsets, from the rarest to the most frequent.
+terms are compared, from the rarest to the most frequent, with the words that the
+posting holds around its position. These stand in for an intersection of posting
+lists: the other terms have none.
 Only terms that are the rarest of some passage need postings; which those are is
 counted over all documents.
 """
