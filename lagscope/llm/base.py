@@ -85,6 +85,24 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str)
     return left.join(other, on, how).drop(*(f"_right_{k}" for k in keys))
 
 
+def numbered(df: DataFrame, *order: str, name: str = "no") -> DataFrame:
+    """``df`` with ``name``, 0 to n - 1 in the order of the columns. The rows are dealt
+    by ranges; only the sizes of the ranges pass the driver. Rows that are equal in
+    all of ``order`` are in one range."""
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = cut(dealt.withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    sizes = dealt.groupBy(part.alias("_part")).count().orderBy("_part").collect()
+    starts, start = [], 0
+    for size in sizes:
+        starts.append((size["_part"], start))
+        start += size["count"]
+    before = df.sparkSession.createDataFrame(starts, "_part long, _start long")
+    at = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    joined = dealt.withColumn("_part", part).join(F.broadcast(before), "_part")
+    return joined.withColumn(name, at).drop("_part", "_at", "_start")
+
+
 class Spill:
     """Wide intermediate tables in the shared folder, removed on leaving."""
 

@@ -12,6 +12,7 @@ from .decontam import decontaminate
 from .exact_dedup import exact_dedup
 from .html_extract import extract
 from .line_dedup import duplicate_lines
+from .merkle import manifest
 from .mixing import mix_digest
 from .ngram_join import near_copies
 from .pii import pseudonym_texts
@@ -50,6 +51,7 @@ def queries() -> dict[str, Query]:
         "op8_pii": _on("documents", pseudonym_texts),
         "op9_exact_dedup": _on("documents", exact_dedup),
         "op10_html_extraction": _on("pages", extract),
+        "op11_merkle_manifest": _on("documents", manifest),
     }
 
 
