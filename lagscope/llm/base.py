@@ -10,6 +10,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space inside texts, in Java's and DuckDB's notation.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -68,14 +69,36 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-#: Rows of a narrow table that a broadcast may hold.
-BROADCAST_ROWS = 50_000
+#: Bytes of a table that a broadcast may hold, and bytes of a row besides its values.
+BROADCAST_BYTES = 16 << 20
+_ROW_BYTES = 16
 
 
-def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a hint to broadcast it if it has few rows, counted now. A larger
-    one is joined by a shuffle, whose skewed partitions Spark splits."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def _size_of(value: Column, kind: T.DataType) -> Column:
+    """Bytes of a value, eight for a number or a null."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value)
+    elif isinstance(kind, T.StructType):
+        size = sum((_size_of(value[f.name], f.dataType) for f in kind.fields), F.lit(0))
+    elif isinstance(kind, T.ArrayType):
+        each = F.transform(value, lambda x: _size_of(x, kind.elementType).cast("long"))
+        size = F.aggregate(each, F.lit(0).cast("long"), lambda a, b: a + b)
+    else:
+        size = F.lit(0)
+    return F.coalesce(size, F.lit(0)) + 8
+
+
+def bytes_of(df: DataFrame) -> int:
+    """Bytes of all rows, counted now."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    row = sum((_size_of(F.col(f"`{n}`"), k) for n, k in kinds.items()), F.lit(_ROW_BYTES))
+    return df.agg(F.sum(row.cast("long"))).first()[0] or 0
+
+
+def bounded(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a hint to broadcast it if it has at most ``most`` bytes, counted now. A
+    larger one is joined by a shuffle, whose skewed partitions Spark splits."""
+    return F.broadcast(df) if bytes_of(df) <= most else df
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
