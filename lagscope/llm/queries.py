@@ -17,6 +17,7 @@ from .mixing import mix_digest
 from .ngram_join import near_copies
 from .pii import pseudonym_texts
 from .sharding import shard_digest
+from .suffix_dedup import passage_digest
 from .toxicity import score_toxicity
 from .url_filter import judge, rule_table
 
@@ -52,6 +53,7 @@ def queries() -> dict[str, Query]:
         "op9_exact_dedup": _on("documents", exact_dedup),
         "op10_html_extraction": _on("pages", extract),
         "op11_merkle_manifest": _on("documents", manifest),
+        "op13_suffix_dedup": _on("documents", passage_digest),
     }
 
 
