@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
 from .base import table
+from .collocations import collocations
 from .decontam import decontaminate
 from .exact_dedup import exact_dedup
 from .html_extract import extract
@@ -53,6 +54,7 @@ def queries() -> dict[str, Query]:
         "op9_exact_dedup": _on("documents", exact_dedup),
         "op10_html_extraction": _on("pages", extract),
         "op11_merkle_manifest": _on("documents", manifest),
+        "op12_collocations": _on("documents", collocations),
         "op13_suffix_dedup": _on("documents", passage_digest),
     }
 
