@@ -130,3 +130,134 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = min(doc_id) OVER g AS kept, sha256(t) AS text_sha256
 FROM n WINDOW g AS (PARTITION BY t)
 """
+
+_FIELD = "CASE WHEN %s IS NULL THEN '-' ELSE octet_length(encode(%s::VARCHAR)) || ':' || %s::VARCHAR END"
+_LEAF = "sha256(" + " || ".join(_FIELD.replace("%s", c) for c in ("doc_id", "source", "lang", "n_chars")) + " || "
+# CRC-32 of the decimal id, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295::UBIGINT,
+    list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+  lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::UBIGINT for i in range(8)]),
+    lambda x, y: xor(x >> 1, (x & 1) * 3988292384::UBIGINT))), 4294967295::UBIGINT)"""
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, {_LEAF + _FIELD.replace("%s", "text")}) AS leaf,
+         CASE WHEN {_CRC} % 5 = 0 THEN {_LEAF + _FIELD.replace("%s", "(" + _LOWER % "text" + ")")}) END AS tampered
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY source) AS n
+  FROM leaves
+), tree AS (
+  SELECT source, 0 AS level, place, n, leaf AS digest FROM placed
+  UNION ALL
+  SELECT source, any_value(level) + 1, place // 16, (any_value(n) + 15) // 16,
+         sha256(string_agg(digest, '' ORDER BY place))
+  FROM tree WHERE n > 1 GROUP BY source, place // 16
+), sources AS (
+  SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place,
+         count(*) OVER () AS n
+  FROM tree WHERE n = 1
+), top AS (
+  SELECT 0 AS level, place, n, subroot AS digest FROM sources
+  UNION ALL
+  SELECT any_value(level) + 1, place // 16, (any_value(n) + 15) // 16,
+         sha256(string_agg(digest, '' ORDER BY place))
+  FROM top WHERE n > 1 GROUP BY place // 16
+), runs AS (
+  SELECT source, level, place // 16 AS run, list(digest ORDER BY place) AS slots
+  FROM tree WHERE n > 1 GROUP BY ALL
+), top_runs AS (
+  SELECT level, place // 16 AS run, list(digest ORDER BY place) AS slots
+  FROM top WHERE n > 1 GROUP BY ALL
+), folded AS (
+  SELECT doc_id, source, leaf, place AS leaf_place, 0 AS level, place, coalesce(tampered, leaf) AS node, '' AS proof
+  FROM placed
+  UNION ALL
+  SELECT doc_id, f.source, leaf, leaf_place, f.level + 1, place // 16,
+         sha256(array_to_string(list_slice(slots, 1, place % 16) || [node] || list_slice(slots, place % 16 + 2, 16), '')),
+         proof || array_to_string(list_slice(slots, 1, place % 16) || list_slice(slots, place % 16 + 2, 16), '')
+  FROM folded f JOIN runs r
+    ON f.source IS NOT DISTINCT FROM r.source AND f.level = r.level AND f.place // 16 = r.run
+), in_source AS (
+  SELECT * FROM folded
+  QUALIFY row_number() OVER (PARTITION BY source, leaf_place ORDER BY level DESC) = 1
+), whole AS (
+  SELECT f.doc_id, f.source, f.leaf, f.leaf_place, s.subroot, 0 AS level, s.place, f.node, f.proof
+  FROM in_source f JOIN sources s ON f.source IS NOT DISTINCT FROM s.source
+  UNION ALL
+  SELECT doc_id, source, leaf, leaf_place, subroot, w.level + 1, place // 16,
+         sha256(array_to_string(list_slice(slots, 1, place % 16) || [node] || list_slice(slots, place % 16 + 2, 16), '')),
+         proof || array_to_string(list_slice(slots, 1, place % 16) || list_slice(slots, place % 16 + 2, 16), '')
+  FROM whole w JOIN top_runs r ON w.level = r.level AND w.place // 16 = r.run
+), ends AS (
+  SELECT * FROM whole
+  QUALIFY row_number() OVER (PARTITION BY source, leaf_place ORDER BY level DESC) = 1
+)
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, node AS folded_root,
+       node = digest AS verified
+FROM ends, (SELECT digest FROM top WHERE n = 1)
+"""
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(%s, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), parts AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces
+), totals AS (
+  SELECT lang, sum(len(ws))::HUGEINT AS n FROM parts GROUP BY lang
+), counted AS (
+  SELECT lang, k, array_to_string(list_slice(ws, s, s + k - 1), ' ') AS phrase, count(*)::HUGEINT AS f
+  FROM (SELECT lang, k, ws, unnest(range(1, len(ws) - k + 2)) AS s FROM parts, range(1, 6) t(k))
+  GROUP BY ALL HAVING count(*) >= 100
+), candidates AS (
+  SELECT lang, k, phrase, f, string_split(phrase, ' ') AS ws FROM counted WHERE k > 1
+), within AS (
+  SELECT lang, array_to_string(list_slice(ws, s, s + j - 1), ' ') AS phrase, max(f) AS longer
+  FROM (SELECT *, unnest(range(1, k - j + 2)) AS s FROM candidates, range(2, 5) t(j) WHERE j < k)
+  GROUP BY ALL
+), cuts AS (
+  SELECT c.lang, c.phrase, c.f, n, i, a.f AS l, b.f AS r, (1000 * c.f * n) // (a.f * b.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS i FROM candidates) c JOIN totals t ON c.lang = t.lang
+  JOIN counted a ON a.lang = c.lang AND a.phrase = array_to_string(list_slice(ws, 1, i), ' ')
+  JOIN counted b ON b.lang = c.lang AND b.phrase = array_to_string(list_slice(ws, i + 1, c.k), ' ')
+  LEFT JOIN within w ON w.lang = c.lang AND w.phrase = c.phrase
+  WHERE longer IS NULL OR 100 * longer < 100 * c.f
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank FROM lowest
+)
+SELECT lang, rank, phrase, f::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+""" % (_LOWER % "coalesce(text, '')")
+
+SUFFIX_DEDUP = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, row_number() OVER () AS doc FROM documents
+), starts AS (
+  SELECT doc, i, md5(substr(x, 2 * i + 1, 400)) AS h
+  FROM (SELECT doc, x, unnest(range(0, len(x) // 2 - 199)) AS i FROM d)
+), again AS (
+  SELECT doc, i FROM starts QUALIFY count(*) OVER (PARTITION BY h) > 1
+), opened AS (
+  SELECT doc, i, coalesce(i > 200 + lag(i) OVER (PARTITION BY doc ORDER BY i), true)::INT AS opens FROM again
+), spans AS (
+  SELECT doc, min(i) AS a, max(i) + 200 AS b
+  FROM (SELECT doc, i, sum(opens) OVER (PARTITION BY doc ORDER BY i) AS span FROM opened)
+  GROUP BY doc, span
+), kept AS (
+  SELECT doc, sum(b - a) AS n_removed, count(*) AS n_spans,
+         list(a ORDER BY a) AS a, list(b ORDER BY a) AS b
+  FROM spans GROUP BY doc
+)
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(array_to_string(list_transform(range(0, coalesce(len(a), 0) + 1), lambda i:
+         substr(x, 2 * CASE WHEN i = 0 THEN 0 ELSE b[i] END + 1,
+                2 * (CASE WHEN i = coalesce(len(a), 0) THEN len(x) // 2 ELSE a[i + 1] END
+                     - CASE WHEN i = 0 THEN 0 ELSE b[i] END))), ''))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc)
+"""

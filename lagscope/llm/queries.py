@@ -66,4 +66,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_decontamination": oracle.DECONTAMINATION,
         "op6_url_filter": oracle.URL_FILTER,
         "op9_exact_dedup": oracle.EXACT_DEDUP,
+        "op11_merkle_manifest": oracle.MERKLE,
+        "op12_collocations": oracle.COLLOCATIONS,
+        "op13_suffix_dedup": oracle.SUFFIX_DEDUP,
     }
