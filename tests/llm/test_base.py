@@ -13,11 +13,26 @@ def test_words(spark):
     assert found == [["Äpfel", "a", "z", "09", "x"], [], [], ["É", "é", "b", "c"], ["a"]]
 
 
-def test_bounded_broadcasts_small_frames_only(spark):
-    assert base.bounded(spark.range(10), 10) is not None
+def test_bounded_broadcasts_by_bytes(spark):
     plan = lambda df: df._jdf.queryExecution().logical().toString()
-    assert "broadcast" in plan(base.bounded(spark.range(10), 10))
-    assert "broadcast" not in plan(base.bounded(spark.range(11), 10))
+    row = 16 + 8
+    assert "broadcast" in plan(base.bounded(spark.range(10), 10 * row))
+    assert "broadcast" not in plan(base.bounded(spark.range(10), 10 * row - 1))
+    rows = [("ab", [1, 2, 3], [("é", None)], None)]
+    df = spark.createDataFrame(rows, "s string, a array<long>, b array<struct<x:string,y:long>>, `n.n` string")
+    sizes = (2 + 8) + (3 * 8 + 8) + (2 + 8 + 8 + 8 + 8) + 8
+    assert base.bytes_of(df) == 16 + sizes
+    assert base.bytes_of(df.limit(0)) == 0
+
+
+def test_numbered(spark):
+    rows = [(i * 37 % 101, "x" * (i % 3)) for i in range(101)] + [(None, "y"), (5, "z"), (5, "z")]
+    df = spark.createDataFrame(rows, "a long, b string").repartition(5)
+    found = sorted((r["no"], r["a"], r["b"]) for r in base.numbered(df, "a", "b").collect())
+    assert [r[0] for r in found] == list(range(len(rows)))
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert [r[1:] for r in found] == order
+    assert base.numbered(df.limit(0), "a").count() == 0
 
 
 def test_null_safe_join(spark):

@@ -14,7 +14,7 @@ def test_all_are_registered():
     assert queries().keys() | {"pipeline"} <= registered.keys()
     assert all(isinstance(text, str) for text in sql.values())
     assert sql.keys() <= registered.keys()
-    assert [sum(k.startswith(f"op{n}_") for k in registered) for n in range(1, 11)] == [1] * 10
+    assert [sum(k.startswith(f"op{n}_") for k in registered) for n in range(1, 14)] == [1] * 13
 
 
 @pytest.mark.parametrize("name", list(oracle_sql()))
