@@ -44,9 +44,11 @@ _CELLS = 1 << _CELL_BITS
 _ID_BITS = 31
 #: Pairs of a block from which a tile is counted by addressing its cells.
 _DENSE = _CELLS // 16
-#: Dense tiles and sparse cells that a task holds.
-_HELD_TILES = 12
-_HELD_CELLS = 1 << 22
+#: Dense tiles and sparse cells that a task holds, cells of a row and of a step of merging.
+_HELD_TILES = 6
+_HELD_CELLS = 1 << 20
+_ROW_CELLS = 1 << 16
+_STEP_CELLS = 1 << 20
 #: Cells of a tile that one task merges.
 _MERGED_CELLS = 1 << 24
 #: Numbers of a block, distinct words of a partial count.
@@ -260,9 +262,11 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _tile_rows(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    """A row (tile, n, cells, counts) for each tile of sorted keys."""
+    """Rows (tile, n, cells, counts) for each tile of sorted keys, of a bounded size."""
     tiles = keys >> _CELL_BITS
-    firsts = np.flatnonzero(np.append(True, tiles[1:] != tiles[:-1])[: len(tiles)])
+    new = np.append(True, tiles[1:] != tiles[:-1])[: len(tiles)]
+    new[::_ROW_CELLS] = True
+    firsts = np.flatnonzero(new)
     edges = np.append(firsts, len(keys))
 
     def packed(values: np.ndarray) -> pa.Array:
@@ -310,9 +314,10 @@ def merged(emit: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.empty(0, np.int64), np.empty(0, np.int64)
         for batch in batches:
-            # Rows of a tile have up to a million cells each.
-            for part in (batch.slice(i, 64) for i in range(0, len(batch), 64)):
-                keys, counts = _unpacked(part)
+            step = np.cumsum(batch.column("n").to_numpy()) // _STEP_CELLS
+            edges = [0, *np.flatnonzero(np.diff(step)) + 1, len(batch)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                keys, counts = _unpacked(batch.slice(a, b - a))
                 keys, counts = added(np.append(held[0], keys), np.append(held[1], counts))
                 last = np.searchsorted(keys, keys[-1] >> _CELL_BITS << _CELL_BITS) if len(keys) else 0
                 held = keys[last:], counts[last:]
