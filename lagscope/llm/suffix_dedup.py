@@ -283,7 +283,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _of_documents(docs: DataFrame, rows: DataFrame, name: str, *columns: str) -> DataFrame:
     """Documents (doc_id, doc, text) that have ``rows``, which are an array ``name`` of ``columns``."""
     lists = rows.groupBy("doc_id", "doc").agg(F.collect_list(F.struct(*columns)).alias(name))
-    return _keyed(docs).join(bounded(cut(lists)), ["doc_id", "doc"])
+    return _keyed(docs).join(lists, ["doc_id", "doc"])
 
 
 def _level(
@@ -301,7 +301,7 @@ def _level(
         F.count("*").alias("times"), F.min("s").alias("low"), F.max("s").alias("high")
     )
     anchors = cut(anchors.filter("times > 1").select("h", (F.col("low") != F.col("high")).alias("several")))
-    met = spill.write(found.join(bounded(anchors), "h"), f"met{anchor}")
+    met = spill.write(found.join(anchors, "h"), f"met{anchor}")
     end = F.col("start") + F.col("n") + (window - 1)
     whole = met.filter("not several").select("doc_id", "doc", "start", end.alias("end"))
     several = met.filter("several")
@@ -412,7 +412,7 @@ def passage_digest(
     documents the result is empty. Other columns are not looked at.
     """
     spans = repeated_spans(docs, window, anchors, index_bytes)
-    rows = _keyed(docs).join(bounded(spans), ["doc_id", "doc"], "left").select("doc_id", "text", "spans")
+    rows = _keyed(docs).join(spans, ["doc_id", "doc"], "left").select("doc_id", "text", "spans")
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     found = cut(rows.mapInArrow(_digests, ddl))
     return found.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(NO_ID)))
