@@ -132,10 +132,3 @@ def test_texts_longer_than_a_chunk(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "_CHUNK", 5000)
     rows = [(1, LONG), (2, "x" + LONG[500:60_000]), (3, "z" * 3000)]
     compared(spark.createDataFrame(rows, "doc_id long, text string"), 200)
-
-
-def test_lists_beyond_a_broadcast(spark, monkeypatch):
-    from lagscope.llm import suffix_dedup
-
-    monkeypatch.setattr(suffix_dedup, "bounded", lambda df: df)
-    compared(odd_documents(spark), 20, anchors=(5, 20), index_bytes=500)
