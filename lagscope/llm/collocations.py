@@ -43,16 +43,18 @@ _CELLS = 1 << _CELL_BITS
 #: Numbers are below two to the power of this, so that tile and cell fit 64 bits.
 _ID_BITS = 31
 #: Pairs of a block from which a tile is counted by addressing its cells.
-_DENSE = _CELLS // 16
+_DENSE = _CELLS // 32
 #: Dense tiles and sparse cells that a task holds, cells of a row and of a step of merging.
 _HELD_TILES = 6
 _HELD_CELLS = 1 << 20
-_ROW_CELLS = 1 << 16
+_ROW_CELLS = 1 << 14
 _STEP_CELLS = 1 << 20
 #: Cells of a tile that one task merges.
 _MERGED_CELLS = 1 << 24
-#: Numbers of a block, distinct words of a partial count.
-_BLOCK = 1 << 20
+#: Numbers of a block, numbers whose pairs are counted at once, distinct words of a partial
+#: count. Writers hold a hundred rows at least, so that blocks are small.
+_BLOCK = 1 << 16
+_COUNTED = 1 << 19
 _HELD_WORDS = 300_000
 #: Bytes of numbers that are broadcast.
 LOOKUP_BYTES = 32 << 20
@@ -282,12 +284,19 @@ def _tile_rows(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
 
 def _tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks (codes) to partial counts of tiles."""
-    tiles = Tiles()
+    tiles, gap = Tiles(), np.array([-1], np.int32)
+    held, size = [], 0
     for batch in batches:
         for codes in batch.column("codes"):
-            tiles.add(np.frombuffer(codes.as_py(), np.int32))
-            if tiles.full:
-                yield from tiles.flushed()
+            held += [np.frombuffer(codes.as_py(), np.int32), gap]
+            size += len(held[-2]) + 1
+            if size >= _COUNTED:
+                tiles.add(np.concatenate(held))
+                held, size = [], 0
+                if tiles.full:
+                    yield from tiles.flushed()
+    if held:
+        tiles.add(np.concatenate(held))
     yield from tiles.flushed()
 
 
