@@ -7,6 +7,10 @@ network over them: the symbols are split in halves, and in each round every symb
 of one half is moved, modulo its radix, by a hash of the key and the other half.
 That is a permutation of all values of the format, so different values stay
 different and equal values are equal in every document, however they are written.
+Days are one set of values in all their formats.
+
+No pattern repeats a group without a bound or tries the same text in two ways, so that
+a text takes time in proportion to its length whatever it holds.
 
 All of it is column expressions: a text is split at the values and put together
 again. Nothing is shuffled.
@@ -23,14 +27,18 @@ ROUNDS = 8
 
 _BEFORE = r"(?<![0-9A-Za-z_])"
 _AFTER = r"(?![0-9A-Za-z_])"
-EMAIL = r"[0-9A-Za-z][0-9A-Za-z._%+-]*@(?:[0-9A-Za-z-]+\.)+[A-Za-z]{2,}"
+#: A local part has 64 characters at most, a label of the domain 63, and it has up to 126.
+EMAIL = r"(?<![.%+-])[0-9A-Za-z][0-9A-Za-z._%+-]{0,63}+@(?:[0-9A-Za-z-]{1,63}+\.){1,126}[A-Za-z]{2,63}"
 #: +1 (212) 555-0100, (212) 555-0100, 212-555-0100, 212.555.0100 and the like.
 PHONE = r"(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}"
 #: Numbers beyond those: area codes from 0 or 1 behind +1 with brackets, ten digits
 #: without separators, and others with + and a country's number.
 AREA_01 = r"\+1[ .-]?\([01][0-9]{2}\) ?[2-9][0-9]{2}[ .-][0-9]{4}"
-PLAIN = r"(?:\+?1)?[2-9][0-9]{2}[2-9][0-9]{6}"
-ABROAD = r"\+(?:[2-9][0-9]{0,2})(?:[ .-]?\(?[0-9]{1,5}\)?){2,6}"
+#: Ten bare digits may be any number: they are one of a phone behind +1 or a word that says so.
+CUE = r"(?<=(?i:\b(?:call|calls|cell|dial|fax|mobile|phone|ph|tel|telephone|text|whatsapp)[.:]{0,2}[ \t]{0,2}(?:at |no\.? |number |# ?)?))"
+_TEN = r"(?:\+?1)?[2-9][0-9]{2}[2-9][0-9]{6}"
+PLAIN = rf"(?:\+1[2-9][0-9]{{2}}[2-9][0-9]{{6}}|{CUE}1?[2-9][0-9]{{2}}[2-9][0-9]{{6}})"
+ABROAD = r"\+[2-9](?:[ .-]?[(]?[0-9][)]?){7,14}"
 DATE = (
     r"(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}"
     r"|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}"
@@ -173,52 +181,84 @@ def _address(x: Column, key: str) -> Column:
     return F.array_join(feistel(octets, _numbers(256, 256, 256, 256), key, "address"), ".")
 
 
-def _day_first(x: Column, key: str) -> Column:
-    """dd/MM where MM/dd is no date, so of a day from 13 on, which it stays: else its
-    pseudonym could be read as another one's. Days from 29 on keep their number."""
-    day = F.try_to_timestamp(x, F.lit("d/M/yyyy")).cast("date")
-    year, month, number = F.year(day).cast("long"), F.month(day).cast("long"), F.dayofmonth(day).cast("long")
-
-    def of(y: Column, m: Column, d: Column) -> Column:
-        return F.concat_ws("/", F.lpad(d.cast("string"), 2, "0"), F.lpad(m.cast("string"), 2, "0"), y.cast("string"))
-
-    def among(months: list[int]) -> Column:
-        known = _numbers(*months)
-        at = F.array_position(known, month) - 1
-        kind = F.concat(F.lit("day first "), number.cast("string"))
-        new = feistel(F.array(year - 1900, at), _numbers(200, len(months)), key, kind)
-        return of(F.get(new, F.lit(0)) + 1900, F.get(known, F.get(new, F.lit(1)).cast("int")), number)
-
-    low = feistel(F.array(year - 1900, month - 1, number - 13), _numbers(200, 12, 16), key, "day first")
-    leap = feistel(F.array(F.floor((year - 1904) / 4).cast("long")), _numbers(49), key, "leap day")
-    return (
-        F.when(day.isNull() | (number < 13), F.lit(None).cast("string"))
-        .when(number <= 28, of(F.get(low, F.lit(0)) + 1900, F.get(low, F.lit(1)) + 1, F.get(low, F.lit(2)) + 13))
-        .when(month == 2, of(F.get(leap, F.lit(0)) * 4 + 1904, month, number))
-        .when(number == 31, among([1, 3, 5, 7, 8, 10, 12]))
-        .otherwise(among([1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12]))
+_FIRST_DAY = "1900-01-01"
+_MONTHS = 200 * 12
+#: Days from the 13th on, of all months, and a format a little larger; a number that
+#: falls outside the days goes through the permutation again.
+_LATE_DAYS = 73_049 - 12 * _MONTHS
+_LATE_FORMAT = (211, 210)
+#: A number falls outside once in 700 times, so this many times in 10**22.
+_AGAIN = 8
+
+
+def _permuted_late(n: Column, key: str) -> Column:
+    def one(v: Column, _: Column) -> Column:
+        new = feistel(
+            F.array(F.floor(v / _LATE_FORMAT[1]).cast("long"), F.pmod(v, F.lit(_LATE_FORMAT[1]).cast("long"))),
+            _numbers(*_LATE_FORMAT), key, "late day",
+        )
+        return F.get(new, F.lit(0)) * _LATE_FORMAT[1] + F.get(new, F.lit(1))
+
+    walk = lambda v, i: F.when((i > 1) & (v < _LATE_DAYS), v).otherwise(one(v, i))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(_AGAIN)), n, walk)
+
+
+def _before(month: Column) -> Column:
+    """Days from the 13th on in the months before one, which are counted from 1900."""
+    first = F.add_months(F.lit(_FIRST_DAY).cast("date"), month.cast("int"))
+    return F.date_diff(first, F.lit(_FIRST_DAY).cast("date")).cast("long") - 12 * month
+
+
+def new_day(day: Column, key: str) -> Column:
+    """The pseudonym of a day of 1900 to 2099. Days up to the 12th stay among themselves,
+    and so do later ones: written with the day first, the former can be read with the
+    month first, the latter can't, and neither may become the other."""
+    first = F.lit(_FIRST_DAY).cast("date")
+    month = ((F.year(day) - 1900) * 12 + F.month(day) - 1).cast("long")
+    at = F.dayofmonth(day).cast("long")
+    early = feistel(F.array(month, at - 1), _numbers(_MONTHS, 12), key, "early day")
+    early_day = F.date_add(
+        F.add_months(first, F.get(early, F.lit(0)).cast("int")), F.get(early, F.lit(1)).cast("int")
     )
+    late = _permuted_late(_before(month) + at - 13, key)
+    # The month is found near where it would be if all were of the same length.
+    guess = F.floor(late * _MONTHS / _LATE_DAYS).cast("long")
+    near = F.sequence(F.greatest(guess - 2, F.lit(0)), F.least(guess + 2, F.lit(_MONTHS - 1)))
+    into = F.array_max(F.filter(near, lambda m: _before(m) <= late))
+    late_day = F.date_add(F.add_months(first, into.cast("int")), (late - _before(into) + 12).cast("int"))
+    return F.when(at <= 12, early_day).otherwise(late_day)
 
 
 def _date(x: Column, key: str) -> Column:
-    """Days of 1900 to 2099, 17 * 4297 of them."""
-    first = F.lit("1900-01-01").cast("date")
+    """Between slashes the month comes first if that is a date, else the day. One form
+    stands for all lengths of writing, with days and months of two digits."""
 
-    def moved(form: str) -> Column:
+    def read(form: str) -> Column:
         # Forms of one letter read days and months of one or two digits.
-        day = F.try_to_timestamp(x, F.lit(form)).cast("date")
-        n = F.date_diff(day, first).cast("long")
-        new = feistel(F.array(F.floor(n / 4297).cast("long"), F.pmod(n, F.lit(4297))), _numbers(17, 4297), key, "date")
-        number = F.get(new, F.lit(0)) * 4297 + F.get(new, F.lit(1))
-        # One form for all writings of a day, so that it stays equal.
-        return F.date_format(F.date_add(first, number.cast("int")), form.replace("d.M", "dd.MM").replace("M/d", "MM/dd"))
-
-    slashes = F.coalesce(moved("M/d/yyyy"), _day_first(x, key), x)
-    return (
-        F.when(x.rlike("^[0-9]{4}-"), F.coalesce(moved("yyyy-MM-dd"), x))
-        .when(x.contains("."), F.coalesce(moved("d.M.yyyy"), x))
-        .otherwise(slashes)
+        return F.try_to_timestamp(x, F.lit(form)).cast("date")
+
+    def written(day: Column, form: str) -> Column:
+        return F.date_format(day, form)
+
+    iso, dots, month_first, day_first = (read(f) for f in ("yyyy-MM-dd", "d.M.yyyy", "M/d/yyyy", "d/M/yyyy"))
+    slashes = F.coalesce(month_first, day_first)
+    form = F.when(x.rlike("^[0-9]{4}-"), F.struct(iso.alias("day"), F.lit("y").alias("form")))
+    form = form.when(x.contains("."), F.struct(dots.alias("day"), F.lit("d").alias("form"))).otherwise(
+        F.struct(slashes.alias("day"), F.when(month_first.isNull(), "s").otherwise("m").alias("form"))
+    )
+    # The day is worked out once, in an array of one.
+    moved = F.transform(
+        F.array(form),
+        lambda f: F.struct(new_day(f["day"], key).alias("day"), f["form"].alias("form")),
+    )
+    texts = F.transform(
+        moved,
+        lambda f: F.when(f["form"] == "y", written(f["day"], "yyyy-MM-dd"))
+        .when(f["form"] == "d", written(f["day"], "dd.MM.yyyy"))
+        .when(f["form"] == "s", written(f["day"], "dd/MM/yyyy"))
+        .otherwise(written(f["day"], "MM/dd/yyyy")),
     )
+    return F.coalesce(F.get(texts, F.lit(0)), x)
 
 
 def _email(x: Column, key: str) -> Column:
@@ -258,7 +298,7 @@ def pseudonym(x: Column, key: str) -> Column:
         .when(x.rlike(_whole(SSN)), _ssn(x, key))
         .when(x.rlike(_whole(PHONE)), _phone(x, key))
         .when(x.rlike(_whole(AREA_01)), _phone_01(x, key))
-        .when(x.rlike(_whole(PLAIN)), _phone(x, key))
+        .when(x.rlike(_whole(_TEN)), _phone(x, key))
         .when(x.startswith("+"), _abroad(x, key))
         .when(x.rlike(_whole(CARD)), _card(x, key))
         .otherwise(x)

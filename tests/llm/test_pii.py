@@ -1,8 +1,12 @@
+import bisect
 import datetime
 import hashlib
 import itertools
-import re
+import random
+import time
 
+import pytest
+import regex as re
 from pyspark.sql import functions as F
 
 from lagscope.llm import pii
@@ -38,6 +42,26 @@ def refilled(x, digits):
     return "".join(reversed(out))
 
 
+def month_start(month):
+    return datetime.date(1900 + month // 12, month % 12 + 1, 1)
+
+
+LATE = [d for d in (datetime.date(1900, 1, 1) + datetime.timedelta(i) for i in range(73_049)) if d.day > 12]
+
+
+def new_day(day):
+    month = (day.year - 1900) * 12 + day.month - 1
+    if day.day <= 12:
+        month, at = feistel([month, day.day - 1], [2400, 12], "early day")
+        return month_start(month) + datetime.timedelta(at)
+    n = bisect.bisect_left(LATE, day)
+    while True:
+        a, b = feistel([n // 210, n % 210], [211, 210], "late day")
+        n = a * 210 + b
+        if n < len(LATE):
+            return LATE[n]
+
+
 def pseudonym(x):
     digits = [int(c) for c in x if c.isdigit()]
     if "@" in x:
@@ -51,24 +75,26 @@ def pseudonym(x):
         ]
         return "".join(chars) + "@" + domain
     if re.fullmatch(pii.DATE, x):
-        form = "%Y-%m-%d" if x[4] == "-" else "%d.%m.%Y" if "." in x else "%m/%d/%Y"
-        try:
-            n = (datetime.datetime.strptime(x, form).date() - datetime.date(1900, 1, 1)).days
-        except ValueError:
-            return x
-        a, b = feistel([n // 4297, n % 4297], [17, 4297], "date")
-        return (datetime.date(1900, 1, 1) + datetime.timedelta(a * 4297 + b)).strftime(form)
+        for form in ["%Y-%m-%d"] if x[4:5] == "-" else ["%d.%m.%Y"] if "." in x else ["%m/%d/%Y", "%d/%m/%Y"]:
+            try:
+                return new_day(datetime.datetime.strptime(x, form).date()).strftime(form)
+            except ValueError:
+                pass
+        return x
     if re.fullmatch(pii.ADDRESS, x):
         return ".".join(map(str, feistel([int(o) for o in x.split(".")], [256] * 4, "address")))
     if re.fullmatch(pii.SSN, x):
         area, group, serial = map(int, x.split("-"))
         new = feistel([area - (2 if area > 666 else 1), group - 1, serial - 1], [898, 99, 9999], "ssn")
         return f"{new[0] + (2 if new[0] >= 665 else 1):03}-{new[1] + 1:02}-{new[2] + 1:04}"
-    if re.fullmatch(pii.PHONE, x):
-        low = [2, 0, 0, 2, 0, 0, 0, 0, 0, 0]
-        radix = [8, 10, 10, 8, 10, 10, 10, 10, 10, 10]
-        new = feistel([d - o for d, o in zip(digits[-10:], low, strict=True)], radix, "phone")
+    if re.fullmatch(pii.PHONE, x) or re.fullmatch(r"(\+?1)?[2-9]\d\d[2-9]\d{6}", x) or re.fullmatch(pii.AREA_01, x):
+        first, kind = (2, "phone") if digits[-10] > 1 else (0, "phone 01")
+        low = [first, 0, 0, 2, 0, 0, 0, 0, 0, 0]
+        radix = [8 if first else 2, 10, 10, 8, 10, 10, 10, 10, 10, 10]
+        new = feistel([d - o for d, o in zip(digits[-10:], low, strict=True)], radix, kind)
         return refilled(x, [v + o for v, o in zip(new, low, strict=True)])
+    if x[0] == "+":
+        return refilled(x, feistel(digits[2:], [10] * (len(digits) - 2), f"phone {digits[0]}{digits[1]}"))
     if luhn(digits):
         return x
     payload = feistel(digits[:-1], [10] * (len(digits) - 1), "card")
@@ -79,6 +105,9 @@ SAMPLES = [
     "Call +1 (988) 555-2485 or 988-555-2485, mail Bosbt.42@mail8.example.com and bosbt.42@MAIL.example.com",
     "cards 4041894974608795, 4041-8949-7460-8795 and 4041894974608796 (no valid one)",
     "from 70.123.182.155 and 256.1.1.1 and 1.2.3.4.5, v1.2.3",
+    "tel. 2125550100, Phone: 12125550100 and +12125550100; not 2147483647, 9876543210 or hotel 2125550100",
+    "+33 1 42 68 53 00, +49 (30) 901820, +4930901820 and +2 22",
+    "31/12/1984, 12/31/1984, 1984-12-31, 31.12.1984, 7.4.1984, 4/7/1984, 30/02/1984",
     "born 1984-02-29 or 29.02.1984 or 02/29/1984, not 1985-02-30; ssn 123-45-6789 666-45-6789 899-99-9999",
     "4041894974608795",
     "é4041894974608795x a@b.co",
@@ -125,14 +154,14 @@ def test_whole_table(spark):
 
 
 MORE = [
-    "31/12/1984", "4/7/1984", "7.4.1984", "+1 (017) 555-7713", "+1 (132) 555-1352", "2125550100", "+12125550100",
+    "31/12/1984", "4/7/1984", "7.4.1984", "+1 (017) 555-7713", "+1 (132) 555-1352", "tel 2125550100", "+12125550100",
     "+33 1 42 68 53 00", "+49 (30) 901820", "3782 822463 10005", "3782-822463-10005",
 ]
 
 
 def test_more_ways_of_writing(spark):
     rows = [(i, f"see {x} there", None) for i, x in enumerate(MORE)]
-    rows += [(100 + i, x, None) for i, x in enumerate(("32/13/1984", "31.2.1984", "+1 2 3", "1.2.3.1984", "3782 822463 10006"))]
+    rows += [(100 + i, x, None) for i, x in enumerate(("32/13/1984", "31.2.1984", "+1 2 3", "1.2.3.1984", "3782 822463 10006", "2147483647", "hotel 2125550100"))]
     got = {r.doc_id: (r.text, r.n_values) for r in pii.pseudonymise(odd_documents(spark, rows)).collect()}
     for i, text, _ in rows:
         assert got[i][1] == (i < 100) and (got[i][0] != text) == (i < 100), text
@@ -140,6 +169,7 @@ def test_more_ways_of_writing(spark):
     signs = [re.sub("[0-9]", "", got[i][0]) for i in range(3, len(MORE))]
     assert signs == [re.sub("[0-9]", "", rows[i][1]) for i in range(3, len(MORE))]
     assert re.sub("[^0-9]", "", got[5][0]) == re.sub("[^0-9]", "", got[6][0])[1:]
+    assert got[2][0][4:14] == "{2}.{1}.{0}".format(*new_day(datetime.date(1984, 4, 7)).strftime("%Y-%m-%d").split("-"))
     assert got[3][0][8] in "01"
 
 
@@ -155,3 +185,43 @@ def test_area_codes_from_0_and_1_stay_different(spark):
     values = [f"+1 ({a:03}) 555-{n:04}" for a in range(0, 200, 3) for n in range(0, 40)]
     docs = odd_documents(spark, [(i, v, None) for i, v in enumerate(values)])
     assert len({r.text for r in pii.pseudonymise(docs).collect()}) == len(values)
+
+
+def test_one_pseudonym_per_day(spark):
+    rng = random.Random(3)
+    days = [datetime.date(1984, 12, 31), datetime.date(1900, 1, 1), datetime.date(2099, 12, 31), datetime.date(2000, 2, 29)]
+    days += [datetime.date(1900, 1, 1) + datetime.timedelta(rng.randrange(73_049)) for _ in range(200)]
+    forms = ["%Y-%m-%d", "%d.%m.%Y", "%m/%d/%Y", "%d/%m/%Y"]
+    rows = [(i * 4 + k, d.strftime(f), None) for i, d in enumerate(days) for k, f in enumerate(forms)]
+    got = {r.doc_id: r.text for r in pii.pseudonymise(odd_documents(spark, rows)).collect()}
+    for i, day in enumerate(days):
+        # With the day first a day up to the 12th is read with the month first.
+        for k, form in enumerate(forms[: 3 if day.day <= 12 else 4]):
+            new = datetime.datetime.strptime(got[i * 4 + k], form).date()
+            assert new == new_day(day) and (new.day <= 12) == (day.day <= 12)
+
+
+def test_days_are_permuted(spark):
+    days = spark.range(73_049).select(F.expr("date_add(date '1900-01-01', cast(id as int))").alias("d"))
+    row = days.select(pii.new_day(F.col("d"), KEY).alias("d")).agg(F.count_distinct("d"), F.min("d"), F.max("d")).first()
+    assert tuple(row) == (73_049, datetime.date(1900, 1, 1), datetime.date(2099, 12, 31))
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["a.", "1.", "x@a.", "x@" + "a." * 40, "+1 (", "+2", "+2 2-", "1-", "12/", "a-a", "1.2.3.", "9" * 12 + " ", "tel 2", "%+-", "0x@b-"],
+)
+def test_long_texts_take_time_in_proportion(spark, part):
+    text = part * (1_000_000 // len(part))
+    rows = [(1, text, None), (2, text + " me@site.example.com " + text, None)]
+    began = time.time()
+    got = {r.doc_id: r.text for r in pii.pseudonymise(odd_documents(spark, rows)).collect()}
+    assert time.time() - began < 60
+    assert len(got[1]) == len(text) and " me@site" not in got[2] and "@site.example.com " in got[2]
+
+
+def test_mail_addresses_within_text(spark):
+    texts = ["(ann.lee@mail.example.com).", "x@" + "a." * 3000 + "com", "a." * 200 + "b@c.de", ".dot@c.de", "a" * 64 + "@c.de"]
+    got = {r.doc_id: r.text for r in pii.pseudonymise(odd_documents(spark, [(i, t, None) for i, t in enumerate(texts)])).collect()}
+    assert got[0] != texts[0] and got[0].endswith("@mail.example.com).")
+    assert [got[i] == t for i, t in enumerate(texts)] == [False, True, True, True, False]
