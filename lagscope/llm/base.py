@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
@@ -126,6 +128,18 @@ def numbered(df: DataFrame, *order: str, name: str = "no") -> DataFrame:
     return joined.withColumn(name, at).drop("_part", "_at", "_start")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> Iterator[None]:
+    """Jobs inside send tasks in Python at most so many bytes at once, on either side."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Spill:
     """Wide intermediate tables in the shared folder, removed on leaving."""
 

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import Spill, bounded, bytes_of, cut, numbered
+from .base import Spill, bounded, bytes_of, cut, numbered, small_batches
 
 #: Words of the longest phrase, occurrences of a candidate, phrases of a language.
 LONGEST = 5
@@ -483,7 +483,8 @@ def collocations(
     corpus without documents. Rows count as often as they are there. Other columns
     are not looked at. More than two to the power of 31 frequent phrases raise an error.
     """
-    with Spill(docs.sparkSession, "phrases") as spill:
+    spark = docs.sparkSession
+    with Spill(spark, "phrases") as spill, small_batches(spark):
         totals, levels = phrases(docs, spill, at_least, longest, lookup_bytes, merged_cells)
         candidates = []
         for level, above in zip(levels[1:], [*levels[2:], None], strict=True):
