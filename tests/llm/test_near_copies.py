@@ -134,10 +134,8 @@ def test_block_plans_find_every_near_simhash():
 
 
 def removed_by_pairs(rows):
-    import numpy as np
-
-    hashes = line_dedup.WordHashes()
-    first, marks, places = {}, {}, []
+    """By comparing all pairs of lines by edit similarity alone."""
+    first, places = {}, []
     order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
     for doc_id, text in order:
         for at, line in enumerate((text or "").split("\n")):
@@ -146,14 +144,11 @@ def removed_by_pairs(rows):
                 key = " ".join(words)
                 first.setdefault(key, (doc_id, at))
                 places.append((doc_id, at, key))
-                one = np.array([hashes[w] for w in words], np.uint64)
-                marks[key] = int(line_dedup.simhashes(one, np.array([len(words)]))[0])
     keys = list(first)
     forest = Forest(len(keys))
     for a in range(len(keys)):
         for b in range(a):
-            near = (marks[keys[a]] ^ marks[keys[b]]).bit_count() <= line_dedup.BITS
-            if near and line_dedup.similar(keys[a], keys[b], line_dedup.SIMILARITY):
+            if line_dedup.similar(keys[a], keys[b], line_dedup.SIMILARITY):
                 forest.join(a, b)
     kept = {}
     for i, key in enumerate(keys):
