@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 
 from lagscope.functions import dims
 from lagscope.functions import labels as L
+from lagscope.functions.sql_names import register_functions
 from lagscope.settings import Settings
 from lagscope.sources.exports import export_day
 
@@ -144,7 +145,8 @@ def point_facts(log: DataFrame, s: Settings, kinds: tuple[str, ...] = ()) -> Dat
 
 
 def register_views(log: DataFrame, s: Settings) -> None:
-    """Names the log and its views for use from SQL text."""
+    """Names the log, its views and the functions for use from SQL text."""
+    register_functions(log.sparkSession)
     log.createOrReplaceTempView("playback_raw")
     stall_view(log, s).createOrReplaceTempView("playback_stall")
     first_view(log, s).createOrReplaceTempView("playback_first")

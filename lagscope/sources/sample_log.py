@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,22 +79,36 @@ def write_sample_log(spark: SparkSession, sf_dir: str, path: str) -> None:
     log.hint("rebalance", PARTITION_COLUMN).write.partitionBy(PARTITION_COLUMN).parquet(path)
 
 
+#: Exports of this application, which it removes at its end.
+_WRITTEN: set[str] = set()
+
+
 def exported_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log read from its export, which is written once per application.
 
     The number of rows is recorded when the export is complete. It is compared each
-    time; an export that lost or gained rows is written again.
+    time; an export that lost or gained rows is written again. It is removed when the
+    application ends.
     """
     name = f"playlog-{spark.sparkContext.applicationId}-{zlib.crc32(sf_dir.encode()):08x}"
     path = f"{shared_root(spark)}/{name}"
     if not _is_complete(spark, path):
         for part in ("rows", "log"):
             remove(spark, f"{path}/{part}")
+        if path not in _WRITTEN:
+            _WRITTEN.add(path)
+            atexit.register(_forget, spark, path)
         write_sample_log(spark, sf_dir, f"{path}/log")
         _read_export(spark, path).selectExpr("count(*) AS n").write.json(f"{path}/rows")
     return _read_export(spark, path)
 
 
+def _forget(spark: SparkSession, path: str) -> None:
+    # A session that was stopped before can't remove anything.
+    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        remove(spark, path)
+
+
 def _is_complete(spark: SparkSession, path: str) -> bool:
     if not (exists(spark, f"{path}/rows/_SUCCESS") and exists(spark, f"{path}/log")):
         return False
