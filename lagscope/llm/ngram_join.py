@@ -44,13 +44,16 @@ def choose_bands(threshold: float, recall: float) -> tuple[int, int]:
 
     A pair of similarity s meets with probability ``1 - (1 - s**rows)**bands``.
     More rows mean fewer meetings by chance and more bands; the choice is the
-    largest number of rows that needs at most 128 hashes.
+    largest number of rows that needs at most 128 hashes. If not even one row does, it
+    raises an error.
     """
-    best = (1, 1)
+    best = None
     for rows in range(1, _MAX_ROWS + 1):
         bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows))
         if bands * rows <= 128:
             best = (bands, rows)
+    if best is None:
+        raise ValueError(f"128 hashes don't find pairs of similarity {threshold} with a recall of {recall}")
     return best
 
 

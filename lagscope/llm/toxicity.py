@@ -156,10 +156,13 @@ def learn_lexicon(docs: DataFrame, rows: DataFrame, entries: int = LEXICON) -> d
     """Words and word beginnings ("stem*") with their log-odds, at least three, from the
     different texts of the training rows. Bounded by ``entries``, so it may come to
     the driver."""
+    # Rows of one id are one document, the text with the smallest hash.
+    own = docs.select("doc_id", "text", text_hash().alias("doc")).join(
+        F.broadcast(rows.filter("part <> 0")), "doc_id"
+    )
+    own = own.groupBy("doc_id").agg(F.min_by("text", "doc").alias("text"), F.max("toxic").alias("toxic"))
     texts = cut(
-        docs.select("doc_id", "text")
-        .join(F.broadcast(rows.filter("part <> 0")), "doc_id")
-        .groupBy(F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("_text"))
+        own.groupBy(F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("_text"))
         .agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
     )
     per_doc = texts.select("toxic", F.array_distinct(words(F.col("text"))).alias("_words"))
@@ -233,7 +236,10 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[Toxicit
     entries = learn_lexicon(docs, rows)
     model = ToxicityModel(entries, None, None)
     features = cut(model.features(docs))
-    known = cut(features.join(F.broadcast(rows), "doc_id").coalesce(4))
+    # One row for each labelled id, so that there are at most ``size``.
+    known = features.join(F.broadcast(rows), "doc_id").groupBy("doc_id", "toxic", "part")
+    known = known.agg(F.min_by(F.struct(*FEATURES), "doc").alias("_row"))
+    known = cut(known.select("doc_id", "toxic", "part", "_row.*").repartition(4))
     kinds = {(r["part"] == 0, r["toxic"]) for r in known.select("part", "toxic").distinct().collect()}
     learned = {t for calibrates, t in kinds if not calibrates}
     if len(learned) < 2:

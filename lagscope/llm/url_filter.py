@@ -42,12 +42,14 @@ def path_of(url: Column) -> Column:
 
 
 def _key(labels: Column, path: Column) -> Column:
-    return F.concat(F.array_join(F.reverse(labels), "."), path)
+    # A host has no "#", so that no host's key begins with that of a shorter label.
+    return F.concat(F.array_join(F.reverse(labels), "."), F.lit("#"), path)
 
 
 def _events(rules: DataFrame) -> tuple[DataFrame, int]:
     """(key, kind, top) where a rule opens and where it closes, and the most labels
-    of a rule's host. Rules without a host or path fit nothing. Of rules for the
+    of a rule's host. Rules without a host or with a null path fit nothing; an empty path
+    fits all paths. Of rules for the
     same host and path a blocking one holds."""
     keyed = (
         rules.withColumn("host", lowered(F.col("host")))

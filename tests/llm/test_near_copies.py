@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from lagscope.llm import line_dedup, ngram_join
 from lagscope.llm.base import WORD_RE, table
 from lagscope.llm.components import Forest
@@ -94,6 +96,11 @@ def test_bands_reach_the_recall():
         assert 1 - (1 - threshold**rows) ** bands >= recall and bands * rows <= 128
 
 
+def test_bands_that_cannot_reach_the_recall_raise():
+    with pytest.raises(ValueError, match="recall"):
+        ngram_join.choose_bands(0.05, 0.9999)
+
+
 def test_nothing(spark):
     assert ngram_join.near_copies(no_documents(spark)).count() == 0
     assert ngram_join.one_of_each_group(no_documents(spark)).count() == 0

@@ -80,3 +80,16 @@ def test_sample_is_bounded(spark):
     rows = toxicity.training_rows(marks, 100)
     again = plain(toxicity.training_rows(marks.repartition(3), 100))
     assert rows.count() == 100 and rows_of(plain(rows), ["doc_id"]) == rows_of(again, ["doc_id"])
+
+
+def test_a_labelled_id_on_many_rows_is_learned_once(spark):
+    docs, labels = corpus(200)
+    many = docs + [(0, f"{docs[0][1]} {i}", "s") for i in range(300)]
+    frame = odd_documents(spark, many)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model, features = toxicity.fit(frame, marks, 150)
+    assert features.count() == len(many)
+    rows = toxicity.training_rows(marks, 150)
+    seen = toxicity.learn_lexicon(frame, rows)
+    again = toxicity.learn_lexicon(odd_documents(spark, many[::-1]), rows)
+    assert seen == again == model.entries

@@ -93,3 +93,10 @@ def test_nothing(spark):
     assert url_filter.judge(pages(spark, []), rules).count() == 0
     none = url_filter.judge(pages(spark, ["http://a.net/"]), rules.limit(0)).collect()
     assert [r.verdict for r in none] == ["allow"]
+
+
+def test_rules_for_all_paths_of_a_host(spark):
+    rules = [("net", "", "block"), ("example.net", "", "allow"), ("example.net", "/x", "block"), ("net", "/a", "allow")]
+    urls = ["http://net", "http://net/x", "http://network/x", "http://a.net?q", "http://example.net", "http://example.net/xy"]
+    urls += ["http://net.work/", "http://an.example.net/a", "http://example.network/x", "http://net/a/b", "http://x.net/a"]
+    check(spark, urls, rules)
