@@ -50,7 +50,7 @@ _HELD_CELLS = 1 << 20
 _ROW_CELLS = 1 << 14
 _STEP_CELLS = 1 << 20
 #: Cells of a tile that one task merges.
-_MERGED_CELLS = 1 << 24
+_MERGED_CELLS = 1 << 22
 #: Numbers of a block, numbers whose pairs are counted at once, distinct words of a partial
 #: count. Writers hold a hundred rows at least, so that blocks are small.
 _BLOCK = 1 << 16
@@ -357,17 +357,23 @@ def frequent_pairs(
     """(x, y, f) of the neighbours in blocks that occur at least so often."""
     ddl = "tile long, n long, cells binary, counts binary"
     parts = spill.write(blocks.mapInArrow(_tiled, ddl), f"tiles{level}")
-    sizes = parts.groupBy("tile").agg(F.sum("n").alias("size"))
-    large = cut(sizes.filter(F.col("size") > merged_cells))
-    if not large.isEmpty():
-        # A tile that many tasks fill: first in parts, then as a whole.
+    # A tile that many tasks fill is summed up in parts, and these again, until one task
+    # can take what is left.
+    settled, left = [], None
+    while True:
+        sizes = parts.groupBy("tile").agg(F.sum("n").alias("size"))
+        large = cut(sizes.filter(F.col("size") > merged_cells))
+        size = large.agg(F.sum("size")).first()[0]
+        if not size or left is not None and size >= left:
+            break
+        left = size
         own = F.pmod(F.xxhash64("cells", "counts"), F.ceil(F.col("size") / merged_cells))
         hot = parts.join(bounded(large), "tile").withColumn("part", own)
         hot = hot.repartition("tile", "part").sortWithinPartitions("tile", "part")
         hot = hot.select(parts.columns).mapInArrow(merged(_tile_rows), ddl)
-        cold = parts.join(bounded(large.select("tile")), "tile", "left_anti")
-        parts = spill.write(hot.unionByName(cold.select(parts.columns)), f"merged{level}")
-    dealt = parts.repartition("tile").sortWithinPartitions("tile")
+        settled.append(parts.join(bounded(large.select("tile")), "tile", "left_anti").select(parts.columns))
+        parts = spill.write(hot, f"merged{level}-{len(settled)}")
+    dealt = reduce(DataFrame.union, settled, parts).repartition("tile").sortWithinPartitions("tile")
     return dealt.mapInArrow(merged(_frequent(at_least)), "x long, y long, f long")
 
 

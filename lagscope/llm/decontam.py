@@ -1,24 +1,31 @@
 """Benchmark passages in training documents, by a positional inverted index.
 
-The index holds postings of the training tokens: document, term, position, and
-the words around the position. A passage is found from its rarest term: that
-term's postings, moved by its offset, give the starts, and the passage's other
-terms are compared, from the rarest to the most frequent, with the words that the
-posting holds around its position. These stand in for an intersection of posting
-lists: the other terms have none.
-Only terms that are the rarest of some passage need postings; which those are is
-counted over all documents.
+1. Documents are read into words once. The postings of all words that benchmark items
+   hold (document, term, position) are stored in the shared folder.
+2. The index counts its terms, and each passage orders its terms from the rarest on.
+3. The postings of the rarest term, moved by its offset, are the starts where a passage
+   may be. They are intersected with the moved postings of the second rarest term,
+   and what is left with those of all others: what remains are exact phrases.
+4. Passages are near a place where their rarest words stand close together in any
+   order: the postings of the rarest one, intersected with those of the others within
+   a reach, by stretches of as many positions.
+
+Only documents that the rarest term names are looked at again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import bounded, cut, null_safe_join, packed, text_hash, words
+from .base import Spill, bounded, cut, null_safe_join, packed, text_hash, words
 
 WIDTH = 10
+#: Rare words of a passage that must stand near each other.
+NEAR_TERMS = 3
 _DOC = ["doc_id", "_text"]
+#: Number of the posting that each document has.
+_HEADER = -1
 
 
 def windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -38,134 +45,145 @@ def windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
     )
 
 
-def _tokenized(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        "doc_id",
-        text_hash().alias("_text"),
-        words(F.col("text")).alias("_words"),
-    )
-
-
-def frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """How often each of ``terms`` (term) occurs in all documents; absent ones are left out."""
-    tokens = _tokenized(docs).select(F.explode("_words").alias("term"))
-    known = bounded(terms)
-    # Few terms filter the tokens where they are read; many are joined to the counts.
-    few = known is not terms
-    counts = (tokens.join(known, "term", "left_semi") if few else tokens).groupBy("term").count()
-    return counts if few else counts.join(terms, "term", "left_semi")
+def _numbered(passages: DataFrame) -> DataFrame:
+    """(term, t): the words of passages with numbers."""
+    terms = passages.select(F.explode("terms").alias("term")).distinct()
+    return cut(terms.withColumn("t", F.monotonically_increasing_id()))
 
 
-def by_rarity(passages: DataFrame, counts: DataFrame) -> DataFrame:
-    """Distinct ``passages`` (wid, terms) as (wid, term, offset, length, others): the
-    rarest term with its offset, and all terms with offsets from the rarest on.
-    A passage with a term that no document has is left out."""
-    terms = passages.select(
+def build_index(docs: DataFrame, terms: DataFrame, spill: Spill) -> DataFrame:
+    """Postings of ``terms`` (term, t) in all documents, stored: doc_id, _text (hash of the
+    text), n_words, t, pos. Each document also has a posting of its own, so that
+    documents without any are known."""
+    header = terms.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(_HEADER).cast("long").alias("t"))
+    tokens = docs.select("doc_id", text_hash().alias("_text"), words(F.col("text")).alias("_words"))
+    tokens = tokens.select(
+        *_DOC,
+        F.size("_words").alias("n_words"),
+        F.posexplode(F.concat(F.array(F.lit("")), F.col("_words"))).alias("pos", "term"),
+    ).withColumn("pos", F.col("pos") - 1)
+    known = bounded(cut(terms.select("term", "t").union(header)))
+    # A word that is no term of an item is dropped where it is read, while they are few.
+    return spill.write(tokens.join(known, "term").select(*_DOC, "n_words", "t", "pos"), "index")
+
+
+def by_rarity(passages: DataFrame, terms: DataFrame, index: DataFrame) -> DataFrame:
+    """Distinct ``passages`` (wid, terms) as (wid, length, others): their terms (count,
+    offset, t) from the rarest on. A passage with a term that no document has is left out."""
+    counts = index.filter(f"t <> {_HEADER}").groupBy("t").count().join(terms, "t")
+    split = passages.select(
         "wid", F.size("terms").alias("length"), F.posexplode("terms").alias("offset", "term")
     )
-    ordered = F.array_sort(F.collect_list(F.struct("count", "offset", "term")))
+    ordered = F.array_sort(F.collect_list(F.struct("count", "offset", "t")))
     return (
-        terms.join(counts, "term")
+        split.join(counts, "term")
         .groupBy("wid", "length")
         .agg(ordered.alias("others"))
         .filter(F.size("others") == F.col("length"))
-        .select(
-            "wid",
-            "length",
-            F.col("others")[0]["term"].alias("term"),
-            F.col("others")[0]["offset"].alias("offset"),
-            "others",
-        )
     )
 
 
-def build_index(docs: DataFrame, terms: DataFrame, reach: int = WIDTH - 1) -> DataFrame:
-    """Postings of ``terms`` (term) in all documents, stored in the shared folder:
-    doc_id, _text (hash of the text), n_words, term, pos, and near, the words from
-    ``first`` on that are at most ``reach`` away. Each document also has a posting
-    of the empty term, so that documents without any are known."""
-    entry = F.concat(F.array(F.lit("")), F.col("_words"))
-    tokens = (
-        _tokenized(docs)
-        .select(*_DOC, "_words", F.posexplode(entry).alias("pos", "term"))
-        .withColumn("pos", F.col("pos") - 1)
-    )
-    every = terms.select("term").union(terms.sparkSession.range(1).select(F.lit("")))
-    wanted = bounded(every)
-    first = F.greatest(F.col("pos") - reach, F.lit(0))
-    near = F.slice("_words", first + 1, F.col("pos") + reach + 1 - first)
-    columns = [
-        *_DOC,
-        F.size("_words").alias("n_words"),
-        "term",
-        "pos",
-        first.alias("first"),
-        F.when(F.col("pos") >= 0, F.array_join(near, " ")).alias("near"),
-    ]
-    # Few terms filter the tokens where they are read. Else all tokens are shuffled,
-    # and must not take the words of their whole document along.
-    if wanted is not every:
-        return cut(tokens.join(wanted, "term", "left_semi").select(*columns))
-    return cut(tokens.select(*columns).join(every, "term", "left_semi"))
-
-
-def _at(near: Column, place: Column) -> Column:
-    return F.get(near, place)
-
-
-def phrase_matches(index: DataFrame, passages: DataFrame) -> DataFrame:
-    """Where each passage of ``by_rarity`` occurs: doc_id, _text, wid, start, length."""
-    near = F.split("near", " ")
-    start = F.col("pos") - F.col("offset")
-    here = F.forall(
-        "others", lambda t: _at(F.col("_near"), F.col("start") - F.col("first") + t["offset"]) == t["term"]
-    )
-    return (
-        index.join(bounded(passages), "term")
-        .withColumns({"start": start, "_near": near})
-        .filter((F.col("start") >= 0) & (F.col("start") + F.col("length") <= F.col("n_words")))
-        .filter(here)
-        .select(*_DOC, "wid", "start", "length")
-    )
+class Search:
+    """Passages (by_rarity) in an index, and the postings of the documents that have
+    the rarest term of any."""
+
+    def __init__(self, index: DataFrame, passages: DataFrame, spill: Spill):
+        first = passages.select("wid", "length", F.col("others")[0].alias("_rarest"))
+        first = first.select("wid", "length", F.col("_rarest.t").alias("t"), F.col("_rarest.offset").alias("offset"))
+        self.passages = passages
+        self.starts = cut(
+            index.join(bounded(first), "t").select(
+                *_DOC, "wid", "pos", (F.col("pos") - F.col("offset")).alias("start"), "length", "n_words"
+            )
+        )
+        named = cut(self.starts.select(*_DOC).distinct())
+        self.own = spill.write(
+            null_safe_join(index, bounded(named), _DOC, "left_semi").select(*_DOC, "t", "pos"), "own"
+        )
+
+    def _kept(self, found: DataFrame, start: int, n: int) -> DataFrame:
+        """Those of ``found`` (wid, start) that the moved postings of some of the
+        passage's terms hold as well."""
+        terms = self.passages.select("wid", F.slice("others", start + 1, n).alias("_terms"))
+        asked = found.join(bounded(terms), "wid").withColumn("_n", F.size("_terms"))
+        alone = asked.filter("_n = 0").select(*_DOC, "wid", "start", "length")
+        asked = asked.withColumn("_term", F.explode("_terms")).select(
+            *_DOC, "wid", "start", "length", "_n", F.col("_term.t").alias("t"),
+            (F.col("start") + F.col("_term.offset")).alias("pos"),
+        )
+        met = null_safe_join(asked, self.own, [*_DOC, "t", "pos"], "left_semi")
+        met = met.groupBy(*_DOC, "wid", "start", "length", "_n").count().filter("count = _n")
+        return met.select(*_DOC, "wid", "start", "length").union(alone)
+
+    def phrases(self) -> DataFrame:
+        """Where each passage occurs: doc_id, _text, wid, start, length."""
+        fits = (F.col("start") >= 0) & (F.col("start") + F.col("length") <= F.col("n_words"))
+        found = self.starts.filter(fits).select(*_DOC, "wid", "start", "length").distinct()
+        # The second rarest term leaves few; the others are intersected at once.
+        return cut(self._kept(cut(self._kept(found, 1, 1)), 2, 1 << 20))
+
+    def near(self, terms: int = NEAR_TERMS, reach: int = WIDTH - 1) -> DataFrame:
+        """Where the ``terms`` rarest words of a passage stand, in any order, each at most
+        ``reach`` words from the rarest one: doc_id, _text, wid, pos (of the rarest)."""
+        # Neighbouring passages have the same rare words, which are looked for once.
+        rare = self.passages.select("wid", F.transform(F.slice("others", 1, terms), lambda o: o["t"]).alias("_rare"))
+        rare = cut(rare.withColumn("_set", F.md5(F.array_join("_rare", ",").cast("binary"))))
+        sets = rare.select("_set", "_rare").distinct()
+        places = self.starts.join(bounded(rare.select("wid", "_set")), "wid").select(*_DOC, "_set", "pos").distinct()
+        asked = (
+            places.join(bounded(cut(sets)), "_set")
+            .withColumn("_t", F.array_distinct(F.slice("_rare", 2, terms)))
+            .withColumn("_n", F.size("_t"))
+        )
+        stretch = F.expr(f"pos div {reach + 1}")
+        around = F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda d: stretch + d)
+        others = asked.withColumn("t", F.explode("_t")).withColumn("_stretch", F.explode(around))
+        held = self.own.select(*_DOC, "t", stretch.alias("_stretch"), F.col("pos").alias("_at"))
+        met = null_safe_join(others, held, [*_DOC, "t", "_stretch"], "inner")
+        met = met.filter(F.abs(F.col("_at") - F.col("pos")) <= reach)
+        met = met.groupBy(*_DOC, "_set", "pos", "_n").agg(F.count_distinct("t").alias("_met"))
+        found = met.filter("_met = _n").select(*_DOC, "_set", "pos")
+        found = found.union(asked.filter("_n = 0").select(*_DOC, "_set", "pos"))
+        return found.join(bounded(rare.select("wid", "_set")), "_set").select(*_DOC, "wid", "pos")
+
+
+def _searched(docs: DataFrame, found: DataFrame, spill: Spill) -> tuple[DataFrame, Search]:
+    """The index of documents for windows ``found``, and the search for them."""
+    passages = found.select("wid", "terms").distinct()
+    terms = _numbered(passages)
+    index = build_index(docs, terms, spill)
+    return index, Search(index, cut(by_rarity(passages, terms, index)), spill)
 
 
-def proximity_matches(
-    index: DataFrame, passages: DataFrame, terms: int = 3, reach: int = WIDTH - 1
-) -> DataFrame:
-    """Where the ``terms`` rarest words of a passage occur, in any order, each at most
-    ``reach`` words from the rarest one: doc_id, _text, wid, pos (of the rarest).
-    ``reach`` must not exceed that of the index."""
-    lo = F.greatest(F.col("pos") - reach - F.col("first"), F.lit(0))
-    around = F.slice(F.split("near", " "), lo + 1, F.col("pos") - F.col("first") - lo + reach + 1)
-    rare = F.slice("others", 1, terms)
-    return (
-        index.join(bounded(passages), "term")
-        .withColumns({"_around": around, "_rare": rare})
-        .filter(F.forall("_rare", lambda t: F.array_contains(F.col("_around"), t["term"])))
-        .select(*_DOC, "wid", "pos")
-        .distinct()
-    )
+def _items(places: DataFrame, found: DataFrame) -> DataFrame:
+    """The sorted ids of the items of each document's windows: doc_id, _text, _items."""
+    named = places.select(*_DOC, "wid").distinct().join(bounded(found.select("wid", "item_id")), "wid")
+    return named.groupBy(*_DOC).agg(F.array_sort(F.collect_set("item_id")).alias("_items"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated,
+    n_near (items with a window whose three rarest words stand near each other).
 
     A word is hit if it lies in an occurrence of a window of an item. Null and
     empty texts have no words. Rows with equal id and text get equal results, one
     each; a null id is an id. Without documents the result is empty, without items
     nothing is hit. Other columns of the inputs are not looked at.
     """
+    with Spill(docs.sparkSession, "decontam") as spill:
+        return cut(_decontaminate(docs, items, width, spill))
+
+
+def _decontaminate(docs: DataFrame, items: DataFrame, width: int, spill: Spill) -> DataFrame:
     found = cut(windows(items, width))
-    passages = found.select("wid", "terms").distinct()
-    terms = found.select(F.explode("terms").alias("term")).distinct()
-    passages = cut(by_rarity(passages, frequencies(docs, terms)))
-    index = build_index(docs, passages.select("term").distinct(), width - 1)
-    matches = phrase_matches(index, passages)
+    index, search = _searched(docs, found, spill)
+    matches = search.phrases()
     span = F.struct("start", "length")
+    none = F.lit(None).cast("int")
     rows = (
-        index.filter("pos < 0")
-        .select(*_DOC, "n_words", F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("length"))
-        .unionByName(matches.drop("wid").withColumn("n_words", F.lit(None).cast("int")))
+        index.filter(f"t = {_HEADER}")
+        .select(*_DOC, "n_words", none.alias("start"), none.alias("length"))
+        .unionByName(matches.drop("wid").withColumn("n_words", none))
     )
     # Spans in order: what reaches beyond those before it is new.
     hit = F.aggregate(
@@ -187,16 +205,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> Data
         F.count("n_words").cast("int").alias("_copies"),
         F.collect_set(F.when(F.col("start").isNotNull(), span)).alias("_spans"),
     )
-    in_items = (
-        matches.select(*_DOC, "wid")
-        .distinct()
-        .join(bounded(found.select("wid", "item_id")), "wid")
-        .groupBy(*_DOC)
-        .agg(F.array_sort(F.collect_set("item_id")).alias("_items"))
-    )
+    near = _items(search.near(reach=width - 1), found).select(*_DOC, F.size("_items").alias("_near"))
     listed = F.coalesce(F.col("_items"), F.array().cast("array<string>"))
+    judged = null_safe_join(per_doc, _items(matches, found), _DOC, "left")
     return (
-        null_safe_join(per_doc, in_items, _DOC, "left")
+        null_safe_join(judged, near, _DOC, "left")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
         .select(
             "doc_id",
@@ -205,6 +218,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> Data
             F.size(listed).cast("long").alias("n_items"),
             F.sha2(F.array_join(listed, ",").cast("binary"), 256).alias("items_sha256"),
             (F.size("_spans") > 0).alias("contaminated"),
+            F.coalesce("_near", F.lit(0)).cast("long").alias("n_near"),
         )
     )
 
@@ -212,12 +226,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> Data
 def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     """``docs`` without the documents that hold a window of an item. Same defined
     cases as ``decontaminate``; all columns are kept."""
-    found = cut(windows(items, width))
-    terms = found.select(F.explode("terms").alias("term")).distinct()
-    passages = cut(
-        by_rarity(found.select("wid", "terms").distinct(), frequencies(docs, terms))
-    )
-    index = build_index(docs, passages.select("term").distinct(), width - 1)
-    bad = cut(phrase_matches(index, passages).select(*_DOC).distinct())
+    with Spill(docs.sparkSession, "decontam") as spill:
+        _, search = _searched(docs, cut(windows(items, width)), spill)
+        bad = cut(search.phrases().select(*_DOC).distinct())
     rows = packed(docs, "doc_id", text_hash().alias("_text"))
     return null_safe_join(rows, bounded(bad), _DOC, "left_anti").select("_row.*")

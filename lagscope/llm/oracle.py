@@ -97,11 +97,34 @@ windows AS (
   SELECT doc_id, count(DISTINCT item_id) AS n_items,
          string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids
   FROM found GROUP BY doc_id
+), postings AS (
+  SELECT doc_id, unnest(ws) AS term, generate_subscripts(ws, 1) AS pos FROM d
+), counts AS (
+  SELECT term, count(*) AS c FROM postings GROUP BY term
+), parts AS (
+  SELECT gram, n, unnest(string_split(gram, ' ')) AS term,
+         generate_subscripts(string_split(gram, ' '), 1) AS place
+  FROM (SELECT DISTINCT gram, n FROM windows)
+), rare AS (
+  SELECT gram, term, row_number() OVER (PARTITION BY gram ORDER BY c, place) AS rank
+  FROM parts JOIN counts USING (term)
+  QUALIFY count(*) OVER (PARTITION BY gram) = n
+), together AS (
+  SELECT DISTINCT a.doc_id, r.gram
+  FROM rare r JOIN postings a ON r.rank = 1 AND a.term = r.term
+  LEFT JOIN rare r2 ON r2.gram = r.gram AND r2.rank = 2
+  LEFT JOIN postings b ON b.doc_id = a.doc_id AND b.term = r2.term AND abs(b.pos - a.pos) <= 9
+  LEFT JOIN rare r3 ON r3.gram = r.gram AND r3.rank = 3
+  LEFT JOIN postings c ON c.doc_id = a.doc_id AND c.term = r3.term AND abs(c.pos - a.pos) <= 9
+  WHERE (r2.term IS NULL OR b.pos IS NOT NULL) AND (r3.term IS NULL OR c.pos IS NOT NULL)
+), nears AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_near
+  FROM together JOIN windows USING (gram) GROUP BY doc_id
 )
 SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+       coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN nears USING (doc_id)
 """
 
 URL_FILTER = r"""

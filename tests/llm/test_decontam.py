@@ -1,11 +1,13 @@
+import random
+
 import pandas as pd
 
-from lagscope.llm import decontam
+from lagscope.llm import base, decontam
 from lagscope.llm.oracle import DECONTAMINATION
 
 from .cases import ODD, documents_frame, in_duckdb, no_documents, odd_documents, plain, rows_of
 
-COLUMNS = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+COLUMNS = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near"]
 ITEMS = [
     (1, "quick brown fox jumps over the lazy dog and runs far"),
     (2, "THE QUICK BROWN FOX JUMPS OVER THE LAZY DOG AND RUNS FAR AWAY"),
@@ -43,8 +45,6 @@ def test_odd_documents_like_sql(spark):
 
 
 def test_many_terms_are_joined_by_shuffles(spark, monkeypatch):
-    import lagscope.llm.base as base
-
     monkeypatch.setattr(decontam, "bounded", lambda df: base.bounded(df, 0))
     docs = odd_documents(spark)
     found = plain(decontam.decontaminate(docs, benchmark(spark)))
@@ -63,13 +63,23 @@ def test_clean_keeps_the_rest_whole(spark):
 def test_proximity(spark):
     docs = odd_documents(spark, [(1, "x a b c y", None), (2, "c q q b q a", None), (3, "a " + "q " * 12 + "b c", None)])
     items = benchmark(spark, [(1, "a b c")])
-    windows = decontam.windows(items)
-    terms = windows.selectExpr("explode(terms) AS term").distinct()
-    passages = decontam.by_rarity(windows, decontam.frequencies(docs, terms))
-    index = decontam.build_index(docs, passages.select("term"))
-    near = lambda reach: sorted(r.doc_id for r in decontam.proximity_matches(index, passages, 3, reach).collect())
-    assert near(9) == [1, 2] and near(2) == [1]
-    assert [r.doc_id for r in decontam.phrase_matches(index, passages).collect()] == [1]
+    with base.Spill(spark, "test") as spill:
+        _, search = decontam._searched(docs, decontam.windows(items), spill)
+        near = lambda reach: sorted(r.doc_id for r in search.near(3, reach).collect())
+        assert near(9) == [1, 2] and near(2) == [1]
+        assert [r.doc_id for r in search.phrases().collect()] == [1]
+
+
+def test_random_documents_like_sql(spark):
+    rng = random.Random(8)
+    text = lambda n: " ".join(rng.choices("abcdefgh", [20, 15, 10, 5, 3, 2, 1, 1], k=n))
+    items = [(i, text(rng.choice([1, 2, 3, 9, 10, 14]))) for i in range(25)]
+    rows = [(i, text(rng.randint(0, 60)), None) for i in range(80)]
+    rows += [(100 + i, f"{text(4)} {rng.choice(items)[1]} {text(5)}", None) for i in range(40)]
+    docs = odd_documents(spark, rows)
+    found = plain(decontam.decontaminate(docs, benchmark(spark, items)))
+    assert rows_of(found, COLUMNS) == rows_of(expected(docs, items), COLUMNS)
+    assert (found["n_near"] >= found["n_items"]).all() and (found["n_near"] > found["n_items"]).any()
 
 
 def test_nothing(spark):
