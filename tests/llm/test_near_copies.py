@@ -206,23 +206,6 @@ def test_large_clusters_are_compared_in_parts(spark, monkeypatch):
     assert 20 < len(got) < 60
 
 
-def test_pairs_that_span_a_bucket():
-    import numpy as np
-
-    rng = random.Random(6)
-    seeds = [rng.getrandbits(64) for _ in range(20)]
-    marks = np.array([rng.choice(seeds) ^ 1 << rng.randrange(64) for _ in range(300)], np.uint64)
-    spanned, whole = Forest(300), Forest(300)
-    for x, y in line_dedup.spanning(marks, 3):
-        assert (int(marks[x]) ^ int(marks[y])).bit_count() <= 3
-        assert spanned.join(x, y)
-    for x in range(300):
-        for y in range(x):
-            if (int(marks[x]) ^ int(marks[y])).bit_count() <= 3:
-                whole.join(x, y)
-    assert [spanned.root(x) for x in range(300)] == [whole.root(x) for x in range(300)]
-
-
 def test_odd_lines(spark):
     rows = line_dedup.duplicate_lines(odd_documents(spark)).collect()
     assert len(rows) == len(ODD)
