@@ -10,12 +10,12 @@
    order: the postings of the rarest one, intersected with those of the others within
    a reach, by stretches of as many positions.
 
-Only documents that the rarest term names are looked at again.
+Only postings near those of a rarest term are looked at again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .base import Spill, bounded, cut, null_safe_join, packed, text_hash, words
@@ -83,23 +83,31 @@ def by_rarity(passages: DataFrame, terms: DataFrame, index: DataFrame) -> DataFr
     )
 
 
+def _stretch(reach: int, d: Column | int = 0) -> Column:
+    """A hash of a stretch of ``reach`` + 1 positions of a document, or of the d-th one after it."""
+    return F.xxhash64(*_DOC, F.expr(f"pos div {reach + 1}") + d)
+
+
 class Search:
-    """Passages (by_rarity) in an index, and the postings of the documents that have
-    the rarest term of any."""
+    """Passages (by_rarity) in an index, and the postings about ``reach`` positions or
+    less away from the rarest term of any."""
 
-    def __init__(self, index: DataFrame, passages: DataFrame, spill: Spill):
+    def __init__(self, index: DataFrame, passages: DataFrame, spill: Spill, reach: int = WIDTH - 1):
         first = passages.select("wid", "length", F.col("others")[0].alias("_rarest"))
         first = first.select("wid", "length", F.col("_rarest.t").alias("t"), F.col("_rarest.offset").alias("offset"))
-        self.passages = passages
+        self.passages, self.reach = passages, reach
         self.starts = cut(
             index.join(bounded(first), "t").select(
                 *_DOC, "wid", "pos", (F.col("pos") - F.col("offset")).alias("start"), "length", "n_words"
             )
         )
-        named = cut(self.starts.select(*_DOC).distinct())
-        self.own = spill.write(
-            null_safe_join(index, bounded(named), _DOC, "left_semi").select(*_DOC, "t", "pos"), "own"
-        )
+        # Most postings are far from any place to look at. Hashes of stretches tell them:
+        # what they let pass by a clash does no harm.
+        around = F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda d: _stretch(reach, d))
+        about = cut(self.starts.select(F.explode(around).alias("_about")).distinct())
+        own = index.filter(f"t <> {_HEADER}").withColumn("_about", _stretch(reach))
+        own = own.join(bounded(about), "_about", "left_semi")
+        self.own = spill.write(own.select(*_DOC, "t", "pos"), "own")
 
     def _kept(self, found: DataFrame, start: int, n: int) -> DataFrame:
         """Those of ``found`` (wid, start) that the moved postings of some of the
@@ -122,9 +130,11 @@ class Search:
         # The second rarest term leaves few; the others are intersected at once.
         return cut(self._kept(cut(self._kept(found, 1, 1)), 2, 1 << 20))
 
-    def near(self, terms: int = NEAR_TERMS, reach: int = WIDTH - 1) -> DataFrame:
+    def near(self, terms: int = NEAR_TERMS, reach: int | None = None) -> DataFrame:
         """Where the ``terms`` rarest words of a passage stand, in any order, each at most
-        ``reach`` words from the rarest one: doc_id, _text, wid, pos (of the rarest)."""
+        ``reach`` words (that of the search at most) from the rarest one: doc_id, _text,
+        wid, pos (of the rarest)."""
+        reach = self.reach if reach is None else min(reach, self.reach)
         # Neighbouring passages have the same rare words, which are looked for once.
         rare = self.passages.select("wid", F.transform(F.slice("others", 1, terms), lambda o: o["t"]).alias("_rare"))
         rare = cut(rare.withColumn("_set", F.md5(F.array_join("_rare", ",").cast("binary"))))
@@ -147,12 +157,12 @@ class Search:
         return found.join(bounded(rare.select("wid", "_set")), "_set").select(*_DOC, "wid", "pos")
 
 
-def _searched(docs: DataFrame, found: DataFrame, spill: Spill) -> tuple[DataFrame, Search]:
+def _searched(docs: DataFrame, found: DataFrame, spill: Spill, width: int = WIDTH) -> tuple[DataFrame, Search]:
     """The index of documents for windows ``found``, and the search for them."""
     passages = found.select("wid", "terms").distinct()
     terms = _numbered(passages)
     index = build_index(docs, terms, spill)
-    return index, Search(index, cut(by_rarity(passages, terms, index)), spill)
+    return index, Search(index, cut(by_rarity(passages, terms, index)), spill, width - 1)
 
 
 def _items(places: DataFrame, found: DataFrame) -> DataFrame:
@@ -176,7 +186,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> Data
 
 def _decontaminate(docs: DataFrame, items: DataFrame, width: int, spill: Spill) -> DataFrame:
     found = cut(windows(items, width))
-    index, search = _searched(docs, found, spill)
+    index, search = _searched(docs, found, spill, width)
     matches = search.phrases()
     span = F.struct("start", "length")
     none = F.lit(None).cast("int")
@@ -205,7 +215,7 @@ def _decontaminate(docs: DataFrame, items: DataFrame, width: int, spill: Spill)
         F.count("n_words").cast("int").alias("_copies"),
         F.collect_set(F.when(F.col("start").isNotNull(), span)).alias("_spans"),
     )
-    near = _items(search.near(reach=width - 1), found).select(*_DOC, F.size("_items").alias("_near"))
+    near = _items(search.near(), found).select(*_DOC, F.size("_items").alias("_near"))
     listed = F.coalesce(F.col("_items"), F.array().cast("array<string>"))
     judged = null_safe_join(per_doc, _items(matches, found), _DOC, "left")
     return (
@@ -227,7 +237,7 @@ def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     """``docs`` without the documents that hold a window of an item. Same defined
     cases as ``decontaminate``; all columns are kept."""
     with Spill(docs.sparkSession, "decontam") as spill:
-        _, search = _searched(docs, cut(windows(items, width)), spill)
+        _, search = _searched(docs, cut(windows(items, width)), spill, width)
         bad = cut(search.phrases().select(*_DOC).distinct())
     rows = packed(docs, "doc_id", text_hash().alias("_text"))
     return null_safe_join(rows, bounded(bad), _DOC, "left_anti").select("_row.*")
