@@ -1,25 +1,31 @@
 """Main text of web pages: the best contiguous region of words and tags.
 
-A page is read as a sequence of words and tags. Words score by their place: words
-of the text are positive, words in menus, links, forms and the like negative, and
-tags negative or positive by what they enclose. The region with the largest sum of
-scores, found in one linear scan, is the article. Its boilerplate parts, such as
-an advert between two paragraphs, are left out of the text.
-
-The scores are log-odds from labelled pages: pages whose article is marked by an
-article or main element show which tokens lie inside. They are counted on a
-bounded sample, ``SAMPLE`` pages with the smallest hash of their html; pages are
-then judged by the scores alone. Without labelled pages fixed scores serve.
+A page is read as a sequence of words and tags. Words score by their place: the elements
+around them and their names, the length of their block and how much of it are links.
+Words of the article are positive, others and tags negative. The region with the largest
+sum of scores, found in one linear scan, is the article. Parts of it that are negative,
+such as an advert between two paragraphs, are left out of the text.
+
+The scores are sums of weights, learned by logistic regression from labelled pages: pages
+whose article is marked by an article or main element show which words lie inside. The
+mark itself is no feature. Each place is learned twice, with the names and kinds
+of the elements around it and without, so that lengths, links and paragraphs also decide
+where names are unknown. Weights start from fixed ones, which serve where there are no
+labelled pages and on pages where nothing looks like an article. An element that holds
+most of a page's words is no menu or advert, whatever its name.
+
+Places are counted on a bounded sample, ``SAMPLE`` pages with the smallest hash of their
+id; all pages are then judged by the weights alone.
 """
 
 from __future__ import annotations
 
 import html as entities
-import math
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +33,8 @@ from pyspark.sql import functions as F
 from .base import with_id, without_null
 
 SAMPLE = 2000
+#: Different places that are learned from, the most frequent ones.
+PLACES = 2000
 
 #: Elements whose content is no text at all.
 _RAW = "script|style|noscript|template|iframe|object|svg|math|textarea|title|noembed|noframes|xmp"
@@ -54,121 +62,186 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 #: Elements that may be left open.
 _REPEATED = frozenset("p li dt dd option tr td th".split())
 _BOILERPLATE = frozenset("nav header footer aside form button select menu dialog label".split())
-#: Class, id and role values, or parts of them. Such an element is taken for
-#: boilerplate unless it holds most of the page's words.
+#: Class, id and role values, or parts of them, that name what is no text.
 _NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsored sponsor promo promotion menu nav navbar"
     " navigation sidebar side-bar breadcrumb breadcrumbs footer header masthead cookie cookies consent notice"
     " notices gdpr comment comments disqus replies respond reactions related recommended share sharing social"
     " newsletter subscribe subscription signup login popup modal widget pagination pager toolbar"
-    " complementary contentinfo search skip".split()
+    " complementary contentinfo search skip discussion discussions".split()
 )
 #: Each attribute of a tag, with its value.
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 _NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[0-9]+")
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 _SPACES = re.compile(r"\s+")
-#: A wrapper of a listed name is none of boilerplate if its words are more than so many
+#: An element of such a name or kind counts for nothing if its words are more than so many
 #: times those outside of any.
-_LIFTED = {"named": 3, "part": 1}
-#: What a run of boilerplate costs at most.
+_LIFTED = {"kind": 3, "named": 3, "part": 1}
+#: What a run of negative words costs at most, and a tag.
 _MOST_FOR_A_RUN = -8.0
-
-#: Scores without labelled pages, and for tokens the labelled pages don't have.
+_FOR_A_TAG = -0.1
+#: On a page that marks its article, what stands outside costs so much more. This is
+#: fixed and not learned.
+_OUTSIDE = -6.0
+#: Blocks within the region stay at this score of a word or more.
+_LEAST = -1.0
+#: Elements that say nothing of the words in them, and the marks of an article.
+_PLAIN = frozenset("html body head article main div span section center b i em strong u s small big font sub sup".split())
+#: Weights to begin with. Elements that are not listed have none.
 _FIXED = {
-    "word": 1.0,
-    "word/outside": -1.0,
-    "word/boilerplate": -3.0,
-    "tag": -0.3,
-    "tag/outside": -0.3,
-    "tag/boilerplate": -3.0,
+    "": 0.5,
+    "named": -8.0,
+    "part": -6.0,
+    **{f"in:{tag}": -6.0 for tag in _BOILERPLATE},
+    "in:a": -1.0,
+    "in:p": 1.0,
+    "in:li": 2.0,
+    "in:ul": 0.3,
+    "in:ol": 0.3,
+    **{f"in:h{n}": 1.5 for n in (1, 2)},
+    "links:most": -2.0,
+    "links:some": -0.5,
+    "words:2": -0.5,
+    "words:40": 0.5,
+    "bare": -0.3,
 }
-
+#: What names and kinds of elements say; the rest is the structure of a page.
+_NAMED_FEATURES = frozenset(("named", "part", *(f"in:{tag}" for tag in _BOILERPLATE)))
+#: How strongly weights are held at the fixed ones, and words that are learned from in effect.
+_HELD, _EFFECTIVE = 1.0, 400.0
 
 def _flag(tag: str, attributes: str) -> str:
-    """What a tag says of all it encloses: ``boilerplate`` if its kind is a menu or the
-    like or it isn't shown, ``named`` if its class, id or role is a listed name, ``part``
+    """What a tag says of all it encloses: ``hidden`` if it isn't shown, ``kind`` if its kind
+    is a menu or the like, ``named`` if its class, id or role is a listed name, ``part``
     if that is a part of it, or nothing."""
-    if tag in _BOILERPLATE:
-        return "boilerplate"
+    found = "kind" if tag in _BOILERPLATE else ""
     if len(attributes) < 4 or tag in ("body", "html"):
-        return ""
-    found = ""
+        return found
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name == "hidden" and value.lower() != "false":
-            return "boilerplate"
+            return "hidden"
         if name == "style" and _NO_DISPLAY.search(value):
-            return "boilerplate"
+            return "hidden"
         if name in ("class", "id", "role"):
             if not _NAMES.isdisjoint(value.lower().split()):
                 found = "named"
             elif not found and not _NAMES.isdisjoint(p.lower() for p in _NAME_PARTS.findall(value)):
                 found = "part"
-    return "" if tag in ("article", "main") else found
+    return "" if tag in ("article", "main") and found != "hidden" else found
 
 
 class Token:
-    """A tag, or the words between two tags.
+    """A tag, or the words between two tags: their text, number, whether they begin or end
+    a block, the element around them, if the article is open, and their features."""
 
-    ``kind`` is what is scored: ``word`` or the tag's name, with ``/boilerplate``
-    within menus and the like, or else ``/outside`` on a page that marks its
-    article, beside it. ``inside`` tells if the article is open.
-    """
-
-    __slots__ = ("kind", "text", "n", "inside", "block")
+    __slots__ = ("text", "n", "block", "element", "inside", "features")
 
-    def __init__(self, kind: str, text: str, n: int, inside: bool, block: bool):
-        self.kind, self.text, self.n, self.inside, self.block = kind, text, n, inside, block
+    def __init__(self, text: str, n: int, block: bool, element: int, inside: bool):
+        self.text, self.n, self.block, self.element, self.inside = text, n, block, element, inside
+        self.features: frozenset[str] = frozenset()
 
 
 class _Place:
-    """The open elements."""
+    """The elements of a page, by number in page order, and which are open."""
 
     def __init__(self, article: str):
         self.article = article
-        self.stack: list[tuple[str, bool, bool, bool, int]] = []
+        self.tag: list[str] = []
+        self.flag: list[str] = []
+        #: The element around each, and the words in each outside of others.
+        self.up: list[int] = []
+        self.own: list[int] = []
+        self.stack: list[int] = []
         #: How many elements of each tag are open, so that a stray end tag searches nothing.
-        self.tags: Counter = Counter()
-        self.shut = self.hidden = self.articles = 0
-        #: The innermost element of a listed name.
-        self.wrapper = -1
-
-    def open(self, tag: str, boilerplate: bool, hidden: bool, number: int) -> None:
-        is_article = tag == self.article and not self.shut
-        self.stack.append((tag, boilerplate, hidden, is_article, self.wrapper))
-        self.tags[tag] += 1
-        self.shut += boilerplate
-        self.hidden += hidden
-        self.articles += is_article
-        self.wrapper = number if number >= 0 else self.wrapper
+        self.open_tags: Counter = Counter()
+        self.hidden = self.articles = 0
+        #: Headers with a title, which are those of a text.
+        self.titled: set[int] = set()
+
+    @property
+    def here(self) -> int:
+        return self.stack[-1] if self.stack else -1
+
+    def add(self, tag: str, flag: str) -> int:
+        self.tag.append(tag)
+        self.flag.append(flag)
+        self.up.append(self.here)
+        self.own.append(0)
+        return len(self.tag) - 1
+
+    def open(self, element: int) -> None:
+        if self.tag[element] == "h1" and self.open_tags["header"]:
+            self.titled.update(e for e in self.stack if self.tag[e] == "header")
+        self.stack.append(element)
+        self.open_tags[self.tag[element]] += 1
+        self.hidden += self.flag[element] == "hidden"
+        self.articles += self.tag[element] == self.article
 
     def close_from(self, at: int) -> None:
-        for tag, boilerplate, hidden, is_article, _ in self.stack[at:]:
-            self.tags[tag] -= 1
-            self.shut -= boilerplate
-            self.hidden -= hidden
-            self.articles -= is_article
-        self.wrapper = self.stack[at][4]
+        for element in self.stack[at:]:
+            self.open_tags[self.tag[element]] -= 1
+            self.hidden -= self.flag[element] == "hidden"
+            self.articles -= self.tag[element] == self.article
         del self.stack[at:]
 
     def close(self, tag: str) -> None:
-        if not self.tags[tag]:
+        if not self.open_tags[tag]:
             return
         for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at][0] == tag:
+            if self.tag[self.stack[at]] == tag:
                 self.close_from(at)
                 return
 
     def end_open(self, tag: str) -> None:
         """An open element ends where the next of its kind begins."""
         for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at][0] == tag:
+            name = self.tag[self.stack[at]]
+            if name == tag:
                 self.close_from(at)
                 return
-            if self.stack[at][0] in _BLOCKS:
+            if name in _BLOCKS:
                 return
 
+    def features(self) -> list[frozenset[str]]:
+        """What the elements say of the words in each, those around it included."""
+        total = list(self.own)
+        for at in range(len(total) - 1, -1, -1):
+            if self.up[at] >= 0:
+                total[self.up[at]] += total[at]
+        for at in self.titled:
+            if self.flag[at] == "kind":
+                self.flag[at] = ""
+        # Flagged elements hold what isn't plain; from the outside in, those with most of the
+        # page's words count for nothing.
+        under = [False] * len(total)
+        for at, flag in enumerate(self.flag):
+            under[at] = flag in _LIFTED or self.up[at] >= 0 and under[self.up[at]]
+        plain = sum(n for n, u in zip(self.own, under, strict=True) if not u)
+        lifted: set[int] = set()
+        shut = [False] * len(total)
+        found: list[frozenset[str]] = []
+        for at, (tag, flag, up) in enumerate(zip(self.tag, self.flag, self.up, strict=True)):
+            around = found[up] if up >= 0 else frozenset()
+            shut[at] = up >= 0 and shut[up]
+            if flag in _LIFTED:
+                if not shut[at] and total[at] > _LIFTED[flag] * plain:
+                    lifted.add(at)
+                    plain += self.own[at]
+                else:
+                    shut[at] = True
+            elif not shut[at] and up >= 0 and under[up]:
+                # Within a lifted element, but in no other flagged one.
+                plain += self.own[at]
+            own = set()
+            if tag not in _PLAIN and not (at in lifted and tag in _BOILERPLATE) and at not in self.titled:
+                own.add(f"in:{tag}")
+            if flag in ("named", "part") and at not in lifted:
+                own.add(flag)
+            found.append(around if around >= own else around | own)
+        return found
+
 
 def _matches(page: str) -> Iterator[re.Match]:
     """Tags, texts and comments in page order; elements whose content is no text are
@@ -200,114 +273,95 @@ def _matches(page: str) -> Iterator[re.Match]:
             at = block
 
 
-class _Wrappers:
-    """The elements of listed names, by number in page order, and their words."""
-
-    def __init__(self):
-        self.flags: list[str] = []
-        self.up: list[int] = []
-        self.own: list[int] = []
-
-    def add(self, flag: str, up: int) -> int:
-        self.flags.append(flag)
-        self.up.append(up)
-        self.own.append(0)
-        return len(self.flags) - 1
-
-    def lifted(self, plain: int) -> frozenset[int]:
-        """Those that hold the text of the page, which has ``plain`` words outside of all."""
-        total = list(self.own)
-        for at in range(len(total) - 1, -1, -1):
-            if self.up[at] >= 0:
-                total[self.up[at]] += total[at]
-        found: set[int] = set()
-        for at, flag in enumerate(self.flags):
-            if (self.up[at] < 0 or self.up[at] in found) and total[at] > _LIFTED[flag] * plain:
-                found.add(at)
-                plain += self.own[at]
-        return frozenset(found)
+#: Blocks of these elements, or in them, are not bare text.
+_TEXT_ELEMENTS = frozenset(f"in:{t}" for t in "p h1 h2 h3 h4 h5 h6 li dd dt td th blockquote pre figcaption caption".split())
+_SIZES = (2, 5, 10, 20, 40)
 
 
 def tokens(page: str | None) -> list[Token]:
-    """Words and tags in page order."""
-    wrappers = _Wrappers()
-    parts = _tokens(page, wrappers, frozenset())
-    if wrappers.flags:
-        plain = sum(t.n for t in parts if t.kind in ("word", "word/outside"))
-        if lifted := wrappers.lifted(plain):
-            return _tokens(page, _Wrappers(), lifted)
-    return parts
-
-
-def _tokens(page: str | None, wrappers: _Wrappers, lifted: frozenset[int]) -> list[Token]:
+    """Words and tags in page order; what isn't shown is left out."""
     page = page or ""
     place = _Place("article" if re.search(r"<article\b", page, re.I) else "main")
     parts: list[Token] = []
-
-    def add(name: str, text: str, n: int, boilerplate: bool, block: bool) -> None:
-        kind = f"{name}/boilerplate" if boilerplate else name
-        parts.append(Token(kind, text, n, place.articles > 0, block))
-
     for m in _matches(page):
         if (text := m["text"]) is not None:
+            if place.hidden:
+                continue
             decoded = entities.unescape(text)
             n = len(decoded.split())
-            add("word", decoded, n, place.shut > 0, False)
-            if place.wrapper >= 0 and not place.hidden:
-                wrappers.own[place.wrapper] += n
+            if place.stack:
+                place.own[place.here] += n
+            parts.append(Token(decoded, n, False, place.here, place.articles > 0))
             continue
         if (tag := m["tag"]) is None:
             continue
         tag = tag.lower()
         if m["close"]:
-            add(f"/{tag}", "", 1, place.shut > 0, tag in _BLOCKS)
             place.close(tag)
-            continue
-        attributes = m["attributes"]
-        flag = _flag(tag, attributes)
-        if tag in _REPEATED:
-            place.end_open(tag)
-        number = wrappers.add(flag, place.wrapper) if flag in _LIFTED else -1
-        boilerplate = flag == "boilerplate" or number >= 0 and number not in lifted
-        if tag not in _VOID and not attributes.endswith("/>"):
-            place.open(tag, boilerplate, flag == "boilerplate", number)
-        add(tag, "", 1, place.shut > 0 or boilerplate, tag in _BLOCKS)
-    if any(t.inside for t in parts):
-        for t in parts:
-            if not t.inside and not t.kind.endswith("/boilerplate"):
-                t.kind += "/outside"
+        else:
+            if tag in _REPEATED:
+                place.end_open(tag)
+            attributes = m["attributes"]
+            if tag not in _VOID and not attributes.endswith("/>"):
+                place.open(place.add(tag, _flag(tag, attributes)))
+        parts.append(Token("", 0, tag in _BLOCKS, -1, place.articles > 0))
+    around = place.features()
+    start = 0
+    for at in range(len(parts) + 1):
+        if at == len(parts) or parts[at].block:
+            _describe(parts[start:at], around)
+            start = at + 1
     return parts
 
 
-def learned_scores(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
-    """Log-odds of kinds of tokens to lie in the article, from (kind, inside) counts.
-    Every word of text gains something, every word of boilerplate costs something,
-    and no tag alone outweighs a few words."""
+def _describe(block: list[Token], around: list[frozenset[str]]) -> None:
+    """Features of the words of a block, which has no tags of blocks in it."""
+    words = [t for t in block if t.n]
+    if not words:
+        return
+    total = sum(t.n for t in words)
+    linked = sum(t.n for t in words if t.element >= 0 and "in:a" in around[t.element])
+    size = next((f"words:{n}" for n in _SIZES if total <= n), "words:more")
+    links = "links:most" if 2 * linked >= total else "links:some" if linked else "links:none"
+    known: dict[int, frozenset[str]] = {}
+    for t in words:
+        if t.element not in known:
+            own = around[t.element] if t.element >= 0 else frozenset()
+            bare = {"bare"} if own.isdisjoint(_TEXT_ELEMENTS) else set()
+            known[t.element] = own | {"", size, links} | bare
+        t.features = known[t.element]
+
+
+def learned_weights(counts: dict[tuple[frozenset[str], bool], int]) -> dict[str, float]:
+    """Weights of features by logistic regression, from the words of each place (features,
+    inside the article). Words inside and outside weigh the same in all."""
     inside = sum(n for (_, i), n in counts.items() if i)
     outside = sum(n for (_, i), n in counts.items() if not i)
     if not inside or not outside:
         return dict(_FIXED)
-    scores = dict(_FIXED)
-    for kind in {k for k, _ in counts}:
-        a, b = counts.get((kind, True), 0), counts.get((kind, False), 0)
-        odds = math.log((a + 1) / (inside + 2)) - math.log((b + 1) / (outside + 2))
-        if kind == "word":
-            odds = max(odds, 0.5)
-        elif kind.startswith("word/"):
-            odds = min(odds, -0.5)
-        scores[kind] = max(-3.0, min(1.5, odds))
-    return scores
-
-
-def _score(token: Token, scores: dict[str, float]) -> float:
-    kind = token.kind
-    if kind.endswith("/boilerplate") and token.inside:
-        # Within the article it is left out of the text, and doesn't part it.
-        return 0.0
-    if kind not in scores:
-        place = kind.rpartition("/")[2]
-        kind = f"tag/{place}" if place in ("boilerplate", "outside") else "tag"
-    return scores[kind] * token.n
+    rows = [
+        (place - drop, i, n)
+        for (place, i), n in sorted(counts.items(), key=lambda x: (sorted(x[0][0]), x[0][1]))
+        for drop in (frozenset(), _NAMED_FEATURES)
+    ]
+    names = sorted({f for place, _, _ in rows for f in place} | set(_FIXED))
+    column = {f: i for i, f in enumerate(names)}
+    x = np.zeros((len(rows), len(names)))
+    for r, (place, _, _) in enumerate(rows):
+        x[r, [column[f] for f in place]] = 1
+    y = np.array([i for _, i, _ in rows], float)
+    share = np.array([n / (inside if i else outside) for _, i, n in rows]) * _EFFECTIVE / 2
+    start = np.array([_FIXED.get(f, 0.0) for f in names])
+    w = start.copy()
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (share * (p - y)) + _HELD * (w - start)
+        curve = (x * (share * np.maximum(p * (1 - p), 1e-3))[:, None]).T @ x + _HELD * np.eye(len(names))
+        step = np.linalg.solve(curve, slope)
+        w -= step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-9))
+        if np.abs(step).max() < 1e-6:
+            break
+    return {f: float(v) for f, v in zip(names, w, strict=True)}
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -324,32 +378,64 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return region
 
 
-def main_text(page: str | None, scores: dict[str, float]) -> str:
-    """The article's blocks, one per line; white space within a block is one space."""
-    parts = tokens(page)
-    gains, run = [], 0.0
+def _gains(parts: list[Token], weights: dict[str, float]) -> list[float]:
+    """The score of each token's words, or of a tag."""
+    marked = any(t.inside for t in parts)
+    scores: dict[frozenset[str], float] = {}
+    gains = []
     for t in parts:
-        gain = _score(t, scores)
-        if t.kind.endswith("/boilerplate"):
-            # A run of boilerplate parts short texts, not paragraphs around an advert.
+        if not t.n:
+            gains.append(0.0 if t.text else _FOR_A_TAG)
+            continue
+        if t.features not in scores:
+            scores[t.features] = sum(weights.get(f, 0.0) for f in t.features)
+        score = scores[t.features] + (_OUTSIDE if marked and not t.inside else 0.0)
+        gains.append(score * t.n)
+    return gains
+
+
+def _bounded_runs(gains: list[float]) -> list[float]:
+    """Runs of negative words part short texts, not paragraphs around an advert."""
+    held, run = [], 0.0
+    for gain in gains:
+        if gain < 0:
             gain = max(gain, _MOST_FOR_A_RUN - run)
             run += gain
-        elif t.n:
+        elif gain > 0:
             run = 0.0
-        gains.append(gain)
-    start, end = best_region(gains)
-    # Words cut off within a block belong to it.
-    while start > 0 and not parts[start - 1].block and parts[start - 1].kind == "word":
+        held.append(gain)
+    return held
+
+
+def main_text(page: str | None, weights: dict[str, float]) -> str:
+    """The article's blocks, one per line; white space within a block is one space."""
+    parts = tokens(page)
+    text = _region_text(parts, _gains(parts, weights))
+    if not text and weights is not _FIXED:
+        text = _region_text(parts, _gains(parts, _FIXED))
+    return text
+
+
+def _region_text(parts: list[Token], gains: list[float]) -> str:
+    start, end = best_region(_bounded_runs(gains))
+    if start == end:
+        return ""
+    # A block is taken whole.
+    while start > 0 and not parts[start - 1].block:
         start -= 1
-    blocks, held = [], []
-    for t in parts[start:end]:
+    while end < len(parts) and not parts[end - 1].block:
+        end += 1
+    blocks, held, score, n = [], [], 0.0, 0
+    for t, gain in zip(parts[start:end], gains[start:end], strict=True):
         if t.block:
-            blocks.append("".join(held))
-            held = []
-        elif t.kind == "word":
+            blocks.append(("".join(held), score >= _LEAST * n))
+            held, score, n = [], 0.0, 0
+        elif t.text:
             held.append(t.text)
-    blocks.append("".join(held))
-    lines = (_SPACES.sub(" ", b).strip() for b in blocks)
+            score += gain
+            n += t.n
+    blocks.append(("".join(held), score >= _LEAST * n))
+    lines = (_SPACES.sub(" ", b).strip() for b, stays in blocks if stays)
     return "\n".join(line for line in lines if line)
 
 
@@ -357,36 +443,44 @@ def _counting(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         counts: Counter = Counter()
         for page in frame["html"]:
-            for t in tokens(page):
+            parts = tokens(page)
+            if not any(t.inside for t in parts):
+                continue
+            for t in parts:
                 if t.n:
-                    counts[t.kind, t.inside] += t.n
-        rows = [(k, i, n) for (k, i), n in counts.items()]
-        yield pd.DataFrame(rows, columns=["kind", "inside", "n"])
+                    counts[t.features, t.inside] += t.n
+        rows = [(" ".join(sorted(place)), i, n) for (place, i), n in counts.items()]
+        yield pd.DataFrame(rows, columns=["place", "inside", "n"])
+
+
+def _place_of(names: str) -> Iterable[str]:
+    return frozenset(names.split(" "))
 
 
-def learn_scores(pages: DataFrame, size: int = SAMPLE) -> dict[str, float]:
-    """Scores from at most ``size`` pages that mark their article."""
-    labelled = pages.select("html").filter(F.col("html").rlike(r"(?i)<(article|main)\b"))
-    sample = labelled.select("html", F.xxhash64("html").alias("_hash"))
-    edge = sample.select("_hash").orderBy("_hash").limit(size).agg(F.max("_hash")).first()[0]
+def learn_weights(pages: DataFrame, size: int = SAMPLE, most: int = PLACES) -> dict[str, float]:
+    """Weights from those of at most ``size`` pages that mark their article, by the ``most``
+    frequent places of words in them."""
+    hashed = F.xxhash64("page_id").alias("_hash")
+    edge = pages.select(hashed).distinct().orderBy("_hash").limit(size).agg(F.max("_hash")).first()[0]
     if edge is None:
         return dict(_FIXED)
-    # Copies of a page have the same hash and count once.
-    chosen = sample.filter(F.col("_hash") <= edge).dropDuplicates(["_hash"]).select("html")
+    # Rows with the same id count once.
+    chosen = pages.select("page_id", "html").withColumn("_hash", hashed).filter(F.col("_hash") <= edge)
+    chosen = chosen.filter(F.col("html").rlike(r"(?i)<(article|main)\b"))
+    chosen = chosen.groupBy("_hash").agg(F.min("html").alias("html")).select("html")
     counts = (
-        chosen.mapInPandas(_counting, "kind string, inside boolean, n long")
-        .groupBy("kind", "inside")
+        chosen.mapInPandas(_counting, "place string, inside boolean, n long")
+        .groupBy("place", "inside")
         .agg(F.sum("n").alias("n"))
     )
-    # A row for each kind of tag, of which a page may invent some: the frequent ones.
-    top = counts.orderBy(F.col("n").desc(), "kind").limit(1000).collect()
-    return learned_scores({(r["kind"], r["inside"]): r["n"] for r in top})
+    top = counts.orderBy(F.col("n").desc(), "place", "inside").limit(most).collect()
+    return learned_weights({(_place_of(r["place"]), r["inside"]): r["n"] for r in top})
 
 
-def extracting(scores: dict[str, float]) -> Callable:
+def extracting(weights: dict[str, float]) -> Callable:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts = [main_text(h, scores) for h in frame["html"]]
+            texts = [main_text(h, weights) for h in frame["html"]]
             yield pd.DataFrame(
                 {
                     "page_id": frame["page_id"],
@@ -406,11 +500,11 @@ def extract(pages: DataFrame) -> DataFrame:
     results, one each; other columns are not looked at. An empty table gives an
     empty result.
     """
-    scores = learn_scores(pages)
+    weights = learn_weights(pages)
     rows = pages.select(without_null("page_id"), "url", "html")
     return with_id(
         rows.mapInPandas(
-            extracting(scores), "page_id long, url string, text string, n_chars long"
+            extracting(weights), "page_id long, url string, text string, n_chars long"
         ),
         "page_id",
     )
