@@ -98,7 +98,7 @@ def describer(entries: dict[str, float]) -> Callable:
         if len(raw) > 2:
             k = kinds[raw]
             # A mark or digit right between two letters.
-            inside = int(((k[1:-1] >= 2) & (k[:-2] <= 1) & (k[2:] <= 1)).sum())
+            inside = int(((k[1:-1] == 2) & (k[:-2] <= 1) & (k[2:] <= 1)).sum())
         chars = max(1, len(raw))
         return (
             float(strong),

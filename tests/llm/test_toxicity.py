@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import pytest
@@ -93,3 +94,44 @@ def test_a_labelled_id_on_many_rows_is_learned_once(spark):
     seen = toxicity.learn_lexicon(frame, rows)
     again = toxicity.learn_lexicon(odd_documents(spark, many[::-1]), rows)
     assert seen == again == model.entries
+
+
+def plain_features(text, entries):
+    """Word by word and character by character."""
+    text = text or ""
+    found = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
+
+    def odds(word):
+        if len(word) > 40:
+            return max((entries.get(word[:n] + "*", 0.0) for n in (4, 5, 6, 7)), default=0.0)
+        stems = [entries.get(word[:n] + "*", 0.0) for n in (4, 5, 6, 7) if len(word) > n]
+        return max([entries.get(word, 0.0), *stems])
+
+    hits = [i for i, w in enumerate(found) if odds(w)]
+    strong = [i for i in hits if odds(found[i]) >= 5]
+    different = {found[i]: odds(found[i]) for i in hits}
+    near = [i for i in hits if any(w in toxicity.SECOND_PERSONS for w in found[max(0, i - 5) : i + 6])]
+    octets = text.encode()
+    letter = lambda b: b >= 128 or chr(b).isalpha()
+    mark = lambda b: b < 128 and not chr(b).isalpha() and b not in b" \t\n\v\f\r"
+    inside = sum(letter(a) and mark(b) and letter(c) for a, b, c in zip(octets, octets[1:], octets[2:], strict=False))
+    n, chars = max(1, len(found)), max(1, len(octets))
+    return (
+        len(strong), len(strong) / n, len(hits) - len(strong), (len(hits) - len(strong)) / n,
+        max(different.values(), default=0), min(50, sum(different.values())), len(different),
+        len(near) / max(1, len(hits)), sum(65 <= b <= 90 for b in octets) / chars,
+        sum(map(mark, octets)) / chars, inside / n, len(found),
+    )
+
+
+def test_features_like_plain_python(spark):
+    entries = {"zorgon": 6.0, "zorg*": 4.0, "blif*": 5.5, "Ünï*": 3.5, "w1": 3.0, "ünïc*": 3.2}
+    texts = ["You zorgon! z0rg.on a-b c d", "BLIFTER blif w1 w1 far away from you", "x" * 50 + " zorg" + "y" * 50, "é.é 1a2"]
+    rows = [(100 + i, t, "s") for i, t in enumerate(texts)] + ODD
+    model = toxicity.ToxicityModel(entries, None, None)
+    got = model.features(odd_documents(spark, rows)).select("doc_id", *toxicity.FEATURES).collect()
+    want = sorted(((i, *plain_features(t, entries)) for i, t, _ in rows), key=repr)
+    got = sorted((tuple(r) for r in got), key=lambda r: repr((r[0], *r[1:])))
+    by_id = lambda rows: sorted(([r[0] is None, r[0] or 0, *map(float, r[1:])] for r in rows))
+    for a, b in zip(by_id(got), by_id(want), strict=True):
+        assert a == pytest.approx(b)
