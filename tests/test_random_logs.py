@@ -19,6 +19,7 @@ NULL_VENDORS = [
     for province in ("A", "B")
 ]
 
+SEEN: list[int] = []
 MINIMA = {"province": 0, "node": 1, "weekly_province": 5, "point_node": 8}
 
 
@@ -37,8 +38,10 @@ def test_queries_on_random_logs(spark, monkeypatch, rows):
     con.register("micro", arrow_log(*rows))
     sql = oracle_queries("SELECT * FROM micro", MINIMA)
     made = __spark_entry__.queries()
+    # Stored reports write a store each time: on the first three logs.
+    SEEN.append(len(rows))
     for name in sql:
-        if "roundtrip" in name:
+        if "roundtrip" in name or name.startswith("stored_") and len(SEEN) > 3:
             continue
         query = made[name]
         names, expected, _ = duckdb_result(con, sql[name])
