@@ -106,7 +106,7 @@ class Search:
         around = F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda d: _stretch(reach, d))
         about = cut(self.starts.select(F.explode(around).alias("_about")).distinct())
         own = index.filter(f"t <> {_HEADER}").withColumn("_about", _stretch(reach))
-        own = own.join(bounded(about), "_about", "left_semi")
+        own = own.join(about, "_about", "left_semi")
         self.own = spill.write(own.select(*_DOC, "t", "pos"), "own")
 
     def _kept(self, found: DataFrame, start: int, n: int) -> DataFrame:
