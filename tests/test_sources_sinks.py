@@ -14,7 +14,7 @@ from lagscope.sinks.csv_report import report_text, write_report
 from lagscope.sinks.point_log import all_points, read_points, write_points
 from lagscope.sinks.shared import exists, remove, scratch, shared_dir, written
 from lagscope.sources import exports, schema
-from lagscope.sources.sample_log import exported_log, sample_log
+from lagscope.sources.sample_log import exported_log, sample_log, write_sample_log
 from tests.micro import SETTINGS, at, micro_log, values
 
 
@@ -73,6 +73,31 @@ def test_export_of_the_sample_log_is_the_sample_log(spark):
     assert query.dtypes == exported.dtypes
 
 
+def test_the_sample_log_is_merged_at_any_size(spark):
+    # A broadcast on small tables that becomes a shuffle on large ones is growth.
+    plan = sample_log(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and plan.count("BroadcastExchange") == 1
+    # What is moved is narrow: no column of the log that is a text.
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) == 4 and not any("CASE" in line for line in moved)
+
+
+def test_an_export_is_written_where_its_rows_are(spark, tmp_path):
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    writers = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    spark.conf.set(name, "false")
+    try:
+        write_sample_log(spark, "/root/testdata/sf0.001", f"{tmp_path}/log")
+    finally:
+        spark.conf.unset(name)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == writers
+    written = spark.read.parquet(f"{tmp_path}/log")
+    assert written.select("event_date").distinct().count() == 14
+    # Gathered by day it would be one file each.
+    assert len(written.inputFiles()) > 2 * 14
+    assert written.count() == sample_log(spark, "/root/testdata/sf0.001").count()
+
+
 def test_windows(spark):
     log = micro_log(spark, *[{"time": at(14, h)} for h in (0, 23)], {"time": at(15, 0)}, {"time": None})
     assert exports.in_window(log, SETTINGS.day()).count() == 2
