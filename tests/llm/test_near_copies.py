@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from lagscope.llm import line_dedup, ngram_join
@@ -127,6 +130,54 @@ def test_edit_distance():
         assert line_dedup.edit_distance(a, b) == distance(a, b)
 
 
+def test_pairs_compared_many_at_a_time(monkeypatch):
+    monkeypatch.setattr(line_dedup, "_SHORT_LINE", 600)
+    rng = random.Random(3)
+    pairs = [("", ""), ("a", ""), ("", "b"), ("a", "b")]
+    for _ in range(1500):
+        a = "".join(rng.choices("abcd\u4e2d ", k=rng.choice([1, 3, 10, 63, 64, 65, 128, 129, 200, 500, 700])))
+        edited = rng.choice([0.05, 0.2, 0.3, 0.5])
+        b = "".join(c if rng.random() > edited else rng.choice(["", "x", c + "y"]) for c in a)
+        pairs.append((a, b if rng.random() < 0.8 else b[len(b) // 5 :] + b[: len(b) // 5]))
+    want = [line_dedup.similar(a, b, 0.8) for a, b in pairs]
+    assert 300 < sum(want) < 1300
+    for lefts, rights in (zip(*pairs, strict=True), zip(*(p[::-1] for p in pairs), strict=True)):
+        assert line_dedup.similar_pairs(lefts, rights, 0.8).tolist() == want
+
+
+def test_packed_blocks():
+    # Rows of a key and an id took 16 bytes a block, before they were compressed.
+    rng = random.Random(8)
+    base = [mutated(rng, [f"w{rng.randrange(99)}" for _ in range(30)], 0).encode() for _ in range(400)]
+    lines = base + [x + b" more" for x in base[:60]]
+    plan, ids = line_dedup.block_plan(len(lines)), np.arange(len(lines), dtype=np.int64) * 3 + (5 << 33)
+    ids[200:] += 1 << 34
+    marks = {k: line_dedup._marks(k, lines) for k in line_dedup._SAMPLES}
+    simhash = pa.array(np.arange(len(lines), dtype=np.int64) % 350)
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), simhash, *marks.values()], ["id", "simhash", *marks])
+    parts = pa.Table.from_batches(list(line_dedup.in_blocks(4, plan)(iter([batch])))).to_pandas()
+    n, size = parts["n"].sum(), parts["keys"].str.len().sum() + parts["ids"].str.len().sum()
+    assert n > 25 * len(lines) and size <= 9 * n
+    members = {}
+    for kind in line_dedup._KINDS_OF_BLOCKS:
+        column = batch.column(kind)
+        own = ids[column.is_valid().to_numpy(zero_copy_only=False)]
+        found = column.to_numpy().view(np.uint64) if kind == "simhash" else np.array(
+            [list(x) for x in column.drop_null().to_pylist()], np.uint8
+        )
+        for i, keys in zip(own.tolist(), line_dedup.block_keys(kind, found, plan).tolist() if len(own) else (), strict=True):
+            for key in keys:
+                members.setdefault(key, []).append(i)
+    want = sorted(sorted(x) for x in members.values() if len(x) > 1)
+    frame = parts.sort_values("part", kind="stable").reset_index(drop=True)
+    got = pd.concat(line_dedup.repeated(2048)(iter([frame])))
+    assert sorted(sorted(g["id"].tolist()) for _, g in got.groupby("key")) == want
+    # Lines of a large block meet in pairs of its parts.
+    got = pd.concat(line_dedup.repeated(1)(iter([frame])))
+    sizes = got.groupby("key").apply(lambda g: len(g) == g["id"].nunique() ** 2, include_groups=False)
+    assert sizes.all() and (got["i"] <= got["j"]).all()
+
+
 @pytest.mark.parametrize("lines", [1_000, 40_000, 410_000, 120_000_000])
 def test_lines_meet_few_others_by_chance(lines):
     # In four sets of 16 bits each of 410,000 lines met 25 others and moved its sample.
