@@ -265,6 +265,29 @@ def test_large_clusters_are_compared_in_parts(spark, monkeypatch):
     assert 20 < len(got) < 60
 
 
+def test_lines_of_dense_blocks(spark, monkeypatch):
+    # Blocks whose lines agree with too many others are connected by clusters, not by all pairs.
+    assert not [pairs for dense, pairs in dense_blocks() if dense]
+    monkeypatch.setattr(line_dedup, "_SMALL", 2)
+    monkeypatch.setattr(line_dedup, "_PAIRS_OF_LINE", 0)
+    assert all(dense and len(pairs) == 19 for dense, pairs in dense_blocks())
+    monkeypatch.setattr(line_dedup, "_CLUSTER_BLOCK", 3)
+    rng = random.Random(6)
+    base = [f"l0w{rng.randrange(200)}" for _ in range(40)]
+    orders = [base, base[::-1], sorted(base)]
+    rows = [(i, mutated(rng, rng.choice(orders), rng.choice([0, 1, 1]))) for i in range(40)]
+    docs = odd_documents(spark, [(*r, None) for r in rows])
+    got = {r.doc_id: set(r.removed) for r in line_dedup.duplicate_lines(docs).collect() if r.n_removed}
+    assert got == removed_by_pairs(rows)
+
+
+def dense_blocks():
+    """(dense, pairs) of a block of twenty lines with the same SimHash."""
+    frame = pd.DataFrame({"key": 0, "i": 0, "j": 0, "id": np.arange(20), "sample": [bytes(8)] * 20})
+    found = pd.concat(line_dedup.agreeing(line_dedup.BITS)(iter([frame])))
+    return [(dense, g) for dense, g in found.groupby("dense")]
+
+
 def test_odd_lines(spark):
     rows = line_dedup.duplicate_lines(odd_documents(spark)).collect()
     assert len(rows) == len(ODD)
