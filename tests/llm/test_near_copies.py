@@ -145,6 +145,46 @@ def test_pairs_compared_many_at_a_time(monkeypatch):
         assert line_dedup.similar_pairs(lefts, rights, 0.8).tolist() == want
 
 
+def test_lines_equal_but_for_some_words_need_no_distance(monkeypatch):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(3, 9)))
+    pairs = []
+    for size in (20, 60, 300, 3000):
+        words = [word() for _ in range(size)]
+        other = list(words)
+        for at in rng.sample(range(size), size // 20):
+            other[at : at + 1] = rng.choice([[word()], [], [word(), words[at]]])
+        pairs.append((" ".join(words), " ".join(other)))
+    for a, b in pairs:
+        most = line_dedup.edit_distance(a, b)
+        assert not line_dedup._laid(a, b, most - 1) and line_dedup._laid(a, b, 3 * most)
+    # Any distance that is counted ends the test.
+    monkeypatch.setattr(line_dedup, "edit_distance", None)
+    monkeypatch.setattr(line_dedup, "_within", None)
+    assert line_dedup.similar_pairs(*zip(*pairs, strict=True), 0.8).all()
+
+
+def test_pairs_of_many_frames_are_compared_together(monkeypatch):
+    import pandas as pd
+
+    frames = [pd.DataFrame({"a": [i], "b": [i + 1], "left": ["abcdefghij"], "right": ["abcdefghi"[: i + 1]]}) for i in range(10)]
+    calls, real = [], line_dedup.similar_pairs
+    monkeypatch.setattr(line_dedup, "_STEP_PAIRS", 4)
+    monkeypatch.setattr(line_dedup, "similar_pairs", lambda a, b, least: calls.append(len(a)) or real(a, b, least))
+    found = pd.concat(line_dedup.comparing(0.8)(iter(frames)))
+    assert found["a"].tolist() == [7, 8, 9] and calls == [4, 4, 2]
+
+
+def test_word_hashes():
+    lines = [b"a bc a", b"bc", ("é" * 300).encode() + b" cb a"]
+    a, bc, again, other, long, cb, last = line_dedup.word_hashes(lines).tolist()
+    assert a == again == last and bc == other and len({a, bc, long, cb}) == 4
+
+
+def test_samples_of_all_kinds_are_moved_once():
+    assert sum(line_dedup._MOVED, ()) == line_dedup._KINDS_OF_BLOCKS
+
+
 def test_packed_blocks():
     # Rows of a key and an id took 16 bytes a block, before they were compressed.
     rng = random.Random(8)
