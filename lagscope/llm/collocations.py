@@ -24,6 +24,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -120,7 +121,16 @@ def _blocks(names: tuple[str, ...]) -> Callable[..., pa.RecordBatch]:
 
 
 def _binary(numbers: np.ndarray) -> pa.Array:
-    return pa.array([numbers.astype(np.int32).tobytes()], pa.binary())
+    """Numbers of a block, compressed after their size in bytes."""
+    plain = numbers.astype(np.int32).tobytes()
+    found = pa.compress(plain, codec="zstd", asbytes=True)
+    return pa.array([len(plain).to_bytes(8, "little") + found], pa.binary())
+
+
+def _codes(block: pa.BinaryScalar) -> np.ndarray:
+    found = memoryview(block.as_buffer())
+    size = int.from_bytes(found[:8], "little")
+    return np.frombuffer(pa.decompress(found[8:], size, codec="zstd"), np.int32)
 
 
 def word_blocks(lookup) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -169,7 +179,7 @@ def pair_blocks(lookup) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, codes in zip(*batch.columns, strict=True):
-                codes = np.frombuffer(codes.as_py(), np.int32)
+                codes = _codes(codes)
                 at, pairs = _pairs(codes)
                 out = np.full(max(len(codes) - 1, 0), -1, np.int64)
                 columns = [pa.array([block.as_py()])]
@@ -193,7 +203,7 @@ def _renumbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, codes, found) to (block, codes): places become the numbers found for them."""
     for batch in batches:
         for block, codes, found in zip(*batch.columns, strict=True):
-            codes = np.frombuffer(codes.as_py(), np.int32)
+            codes = _codes(codes)
             numbers = np.full(codes.max(initial=-1) + 2, -1, np.int64)
             for pair in found.as_py() or ():
                 numbers[pair["at"]] = pair["id"]
@@ -278,7 +288,9 @@ def _tile_rows(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         ).cast(pa.binary())
 
     cells = packed((keys & (_CELLS - 1)).astype(np.int32))
-    columns = [pa.array(tiles[firsts]), pa.array(np.diff(edges)), cells, packed(counts.astype(np.int64))]
+    # As narrow as the counts of all rows.
+    counts = counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+    columns = [pa.array(tiles[firsts]), pa.array(np.diff(edges)), cells, packed(counts)]
     return pa.RecordBatch.from_arrays(columns, names=["tile", "n", "cells", "counts"])
 
 
@@ -288,7 +300,7 @@ def _tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
     for batch in batches:
         for codes in batch.column("codes"):
-            held += [np.frombuffer(codes.as_py(), np.int32), gap]
+            held += [_codes(codes), gap]
             size += len(held[-2]) + 1
             if size >= _COUNTED:
                 tiles.add(np.concatenate(held))
@@ -303,7 +315,12 @@ def _tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     tiles, sizes = batch.column("tile").to_numpy(), batch.column("n").to_numpy()
     cells = np.frombuffer(b"".join(batch.column("cells").to_pylist()), np.int32)
-    counts = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.int64)
+    counts, found = np.empty(len(cells), np.int64), batch.column("counts")
+    widths = pc.binary_length(found).to_numpy() // np.maximum(sizes, 1)
+    for width in np.unique(widths):
+        own = np.flatnonzero(widths == width)
+        values = np.frombuffer(b"".join(found.take(pa.array(own)).to_pylist()), f"u{width}")
+        counts[np.repeat(widths == width, sizes)] = values
     return np.repeat(tiles, sizes) << _CELL_BITS | cells, counts
 
 
@@ -352,11 +369,11 @@ def _frequent(at_least: int) -> Callable[[np.ndarray, np.ndarray], pa.RecordBatc
 
 
 def frequent_pairs(
-    blocks: DataFrame, at_least: int, spill: Spill, level: int, merged_cells: int = _MERGED_CELLS
+    blocks: DataFrame, at_least: int, spill: Spill, merged_cells: int = _MERGED_CELLS
 ) -> DataFrame:
     """(x, y, f) of the neighbours in blocks that occur at least so often."""
     ddl = "tile long, n long, cells binary, counts binary"
-    parts = spill.write(blocks.mapInArrow(_tiled, ddl), f"tiles{level}")
+    parts = spill.keep(blocks.mapInArrow(_tiled, ddl))
     # A tile that many tasks fill is summed up in parts, and these again, until one task
     # can take what is left.
     settled, left = [], None
@@ -372,7 +389,7 @@ def frequent_pairs(
         hot = hot.repartition("tile", "part").sortWithinPartitions("tile", "part")
         hot = hot.select(parts.columns).mapInArrow(merged(_tile_rows), ddl)
         settled.append(parts.join(bounded(large.select("tile")), "tile", "left_anti").select(parts.columns))
-        parts = spill.write(hot, f"merged{level}-{len(settled)}")
+        parts = spill.keep(hot)
     dealt = reduce(DataFrame.union, settled, parts).repartition("tile").sortWithinPartitions("tile")
     return dealt.mapInArrow(merged(_frequent(at_least)), "x long, y long, f long")
 
@@ -402,8 +419,9 @@ def phrases(
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
     counted = texts.mapInArrow(_counted, "lang string, word string, f long")
     counted = counted.groupBy("lang", "word").agg(F.sum("f").alias("f"))
-    counted = cut(counted.filter((F.col("f") >= at_least) | F.col("word").isNull()))
-    totals = counted.filter("word is null").select("lang", F.col("f").alias("n"))
+    counted = spill.keep(counted.filter((F.col("f") >= at_least) | F.col("word").isNull()))
+    # Few rows of many partitions, brought together before they become files.
+    totals = cut(counted.filter("word is null").select("lang", F.col("f").alias("n")).repartition("lang"))
     known = _by_frequency(counted.filter("word is not null"), "lang", "word")
     if bytes_of(known) <= lookup_bytes:
         by_lang: dict[str, dict[bytes, int]] = {}
@@ -416,14 +434,15 @@ def phrases(
         local = spill.write(texts.mapInArrow(word_blocks(None), ddl), "words")
         asked = local.select("block", "lang", F.posexplode("words").alias("at", "word"))
         blocks = _by_join(local.select("block", "codes"), asked, known, ["lang", "word"])
-    blocks = spill.write(blocks, "blocks1")
+    blocks = spill.keep(blocks)
     none = F.array().cast("array<long>")
     levels = [
         known.select("id", "lang", F.array("word").alias("words"), "f", none.alias("ahead"), none.alias("behind"))
     ]
     for level in range(2, longest + 1):
-        found = frequent_pairs(blocks, at_least, spill, level, merged_cells)
+        found = frequent_pairs(blocks, at_least, spill, merged_cells)
         known = _by_frequency(found, "x", "y")
+        spill.drop(blocks)
         below = levels[-1]
         without_last = below.select(
             F.col("id").alias("x"), "lang", "words", F.concat("ahead", F.array("f")).alias("ahead")
@@ -456,7 +475,7 @@ def phrases(
                 F.col("pair").bitwiseAND(F.lit((1 << _ID_BITS) - 1)).alias("y"),
             )
             blocks = _by_join(local.select("block", "codes"), asked, known, ["x", "y"])
-        blocks = spill.write(blocks, f"blocks{level}")
+        blocks = spill.keep(blocks)
     return totals, levels
 
 

@@ -80,6 +80,39 @@ def test_random_documents(spark, seed):
     compared(docs, 5, first=50)
 
 
+def test_blocks_and_tiles_are_not_files(spark, monkeypatch):
+    """Each file that a task makes costs a process beside a local executor."""
+    from lagscope.llm.base import Spill
+
+    kept, real = [], Spill.keep
+    monkeypatch.setattr(Spill, "write", None)
+    monkeypatch.setattr(Spill, "keep", lambda self, df: kept.append(df) or real(self, df))
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    compared(random_documents(spark, 3), 5)
+    # The words, blocks and tiles of four levels; none is left.
+    assert len(kept) == 9
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_packed_numbers():
+    from lagscope.llm import collocations as module
+
+    for numbers in (np.array([], np.int64), np.array([-1, 3, 2**31 - 1]), np.zeros(70_000, np.int64)):
+        packed = module._binary(numbers)
+        assert module._codes(packed[0]).tolist() == numbers.tolist()
+    assert len(packed[0].as_py()) < 1000
+    # Rows whose counts are of one, two and eight bytes, in one batch.
+    import pyarrow as pa
+
+    keys = np.array([3, 9, (1 << 20) + 1])
+    batches = [module._tile_rows(keys, np.array([1, top, 2])) for top in (255, 256, 1 << 40)]
+    assert [len(b.column("counts")[0].as_py()) for b in batches] == [2, 4, 16]
+    together = pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+    found_keys, counts = module._unpacked(together)
+    assert found_keys.tolist() == keys.tolist() * 3
+    assert counts.tolist() == [1, 255, 2, 1, 256, 2, 1, 1 << 40, 2]
+
+
 def test_numbers_by_join_and_tiles_in_parts(spark):
     """As beyond the size of a broadcast, and with tiles that many tasks fill."""
     compared(random_documents(spark, 7), 3, lookup_bytes=0, merged_cells=50, inside=70)
