@@ -394,10 +394,10 @@ def frequent_pairs(
     return dealt.mapInArrow(merged(_frequent(at_least)), "x long, y long, f long")
 
 
-def _by_frequency(found: DataFrame, *ties: str) -> DataFrame:
+def _by_frequency(found: DataFrame, spill: Spill, *ties: str) -> DataFrame:
     """``found`` with id, from 0, by frequency."""
     ranked = numbered(found.withColumn("less", -F.col("f")), "less", *ties, name="id")
-    ranked = cut(ranked.drop("less"))
+    ranked = spill.keep(ranked.drop("less"))
     top = ranked.agg(F.max("id")).first()[0] or 0
     if top >> _ID_BITS:
         raise ValueError(f"more than {1 << _ID_BITS} frequent phrases: raise at_least")
@@ -422,7 +422,7 @@ def phrases(
     counted = spill.keep(counted.filter((F.col("f") >= at_least) | F.col("word").isNull()))
     # Few rows of many partitions, brought together before they become files.
     totals = cut(counted.filter("word is null").select("lang", F.col("f").alias("n")).repartition("lang"))
-    known = _by_frequency(counted.filter("word is not null"), "lang", "word")
+    known = _by_frequency(counted.filter("word is not null"), spill, "lang", "word")
     if bytes_of(known) <= lookup_bytes:
         by_lang: dict[str, dict[bytes, int]] = {}
         for lang, word, number in known.select("lang", "word", "id").toLocalIterator():
@@ -434,15 +434,16 @@ def phrases(
         local = spill.write(texts.mapInArrow(word_blocks(None), ddl), "words")
         asked = local.select("block", "lang", F.posexplode("words").alias("at", "word"))
         blocks = _by_join(local.select("block", "codes"), asked, known, ["lang", "word"])
-    blocks = spill.keep(blocks)
+    blocks, ranked = spill.keep(blocks), [known]
     none = F.array().cast("array<long>")
     levels = [
         known.select("id", "lang", F.array("word").alias("words"), "f", none.alias("ahead"), none.alias("behind"))
     ]
     for level in range(2, longest + 1):
         found = frequent_pairs(blocks, at_least, spill, merged_cells)
-        known = _by_frequency(found, "x", "y")
-        spill.drop(blocks)
+        known = _by_frequency(found, spill, "x", "y")
+        ranked.append(known)
+        spill.drop(blocks, *ranked)
         below = levels[-1]
         without_last = below.select(
             F.col("id").alias("x"), "lang", "words", F.concat("ahead", F.array("f")).alias("ahead")

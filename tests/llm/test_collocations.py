@@ -89,8 +89,8 @@ def test_blocks_and_tiles_are_not_files(spark, monkeypatch):
     monkeypatch.setattr(Spill, "keep", lambda self, df: kept.append(df) or real(self, df))
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     compared(random_documents(spark, 3), 5)
-    # The words, blocks and tiles of four levels; none is left.
-    assert len(kept) == 9
+    # Counts and numbers of words; blocks, tiles and numbers of four levels; none is left.
+    assert len(kept) == 2 + 4 * 3
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
